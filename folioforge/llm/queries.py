@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from folioforge.llm import mixing, token_counts, url_filter
+from folioforge.llm import mixing, quality_rules, secrets, token_counts, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,6 +16,12 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents")).drop("source")
 
 
+def op2_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.secret_spans(_table(spark, sf_dir, "documents"))
+    text = secrets.joined_spans(F.col("spans"))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2(text, 256).alias("base_sha256"), text.alias("spans"))
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = url_filter.fit(url_filter.labelled_urls(spark))
     return url_filter.filter_urls(_table(spark, sf_dir, "pages"), model).drop("score")
@@ -24,6 +31,12 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op7_url_filter, op8_token_counts)}
+def op10_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    rules = quality_rules.fit(docs, _table(spark, sf_dir, "labels"))
+    return quality_rules.judge(docs, rules)
+
+
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_secret_ledger, op7_url_filter, op8_token_counts, op10_decision_list)}
 
 ORACLE_SQL: dict[str, str] = {}

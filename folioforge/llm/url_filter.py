@@ -91,7 +91,7 @@ def with_parts(table: DataFrame, url: Column, *more: Column) -> DataFrame:
     return parts.withColumns({"_h": framed(F.col("host")), "_p": framed(F.col("path"))})
 
 
-def fit(labelled: DataFrame, *, url_col: str = "url", label_col: str = "blocked", steps: int = 250, rate: float = 2.0, l2: float = 1e-3) -> dict:
+def fit(labelled: DataFrame, *, url_col: str = "url", label_col: str = "blocked", steps: int = 250, rate: float = 2.0, l2: float = 1e-4) -> dict:
     """Weights by part and the intercept. Features are the shares of a part's n-grams in each bucket.
 
     An empty table gives the model that allows everything.
@@ -123,7 +123,7 @@ def fit(labelled: DataFrame, *, url_col: str = "url", label_col: str = "blocked"
         for name in change:
             own = weights[name]
             for g, d in enumerate(change[name]):
-                own[g] += rate * (8 * d / len(examples) - l2 * own[g])
+                own[g] += rate * (40 * d / len(examples) - l2 * own[g])
         weights["bias"] += rate * bias / len(examples)
     return {"host": weights["host"], "path": weights["path"], "bias": weights["bias"]}
 
@@ -153,7 +153,7 @@ def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     return name, verdict
 
 
-def filter_urls(pages: DataFrame, model: dict, *, id_col: str = "page_id", url_col: str = "url", rules=RULES, threshold: float = 0.75) -> DataFrame:
+def filter_urls(pages: DataFrame, model: dict, *, id_col: str = "page_id", url_col: str = "url", rules=RULES, threshold: float = 0.65) -> DataFrame:
     """id, host, path, rule, verdict (allow or block), score for every row.
 
     Without a rule, a URL is blocked where the model's probability is above ``threshold``.
