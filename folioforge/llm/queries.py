@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioforge.llm import mixing, quality_rules, secrets, simhash, token_counts, url_filter
+from folioforge.llm import decontaminate, mixing, quality_rules, secrets, simhash, token_counts, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +27,11 @@ def op5_simhash_covering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_of(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.withColumn("items", F.array_join(F.transform("items", lambda i: i.cast("string")), ","))
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = url_filter.fit(url_filter.labelled_urls(spark))
     return url_filter.filter_urls(_table(spark, sf_dir, "pages"), model).drop("score")
@@ -42,6 +47,6 @@ def op10_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(docs, rules)
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_secret_ledger, op5_simhash_covering, op7_url_filter, op8_token_counts, op10_decision_list)}
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_secret_ledger, op5_simhash_covering, op6_decontaminate, op7_url_filter, op8_token_counts, op10_decision_list)}
 
 ORACLE_SQL: dict[str, str] = {}
