@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = (
@@ -24,3 +28,20 @@ def get_session(app: str = "folioforge", **conf: str) -> SparkSession:
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table by name; Spark's own readers resolve the path, so any file system works."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application, so they can import it."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="folioforge-")) / "folioforge.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
