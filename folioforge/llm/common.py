@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -33,10 +34,11 @@ def shared_folder(spark: SparkSession) -> str:
     return _own_folder[app]
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, *, release: bool = False) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 
     This cuts the lineage and survives lost executors. The table goes when the driver's JVM ends.
+    ``release`` has the JVM look for shuffles that nothing refers to any more and delete their files.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/staged/{name}-{uuid.uuid4().hex}"
@@ -44,7 +46,11 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     jvm = spark.sparkContext._jvm
     at = jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    if release:
+        gc.collect()
+        jvm.System.gc()
+    return out
 
 
 def text_of(column: str | Column = "text") -> Column:

@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioforge.llm import decontaminate, mixing, quality_rules, secrets, simhash, token_counts, url_filter
+from folioforge.session import ship
+from folioforge.llm import decontaminate, mixing, quality_rules, secrets, simhash, suffix_dedup, token_counts, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -41,12 +43,16 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(_table(spark, sf_dir, "documents"))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup_substrings(_table(spark, sf_dir, "documents"))
+
+
 def op10_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     rules = quality_rules.fit(docs, _table(spark, sf_dir, "labels"))
     return quality_rules.judge(docs, rules)
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_secret_ledger, op5_simhash_covering, op6_decontaminate, op7_url_filter, op8_token_counts, op10_decision_list)}
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_secret_ledger, op5_simhash_covering, op6_decontaminate, op7_url_filter, op8_token_counts, op9_suffix_dedup, op10_decision_list)}
 
 ORACLE_SQL: dict[str, str] = {}
