@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioforge.session import ship
-from folioforge.llm import decontaminate, mixing, quality_rules, secrets, simhash, suffix_dedup, token_counts, url_filter
+from folioforge.llm import decontaminate, mixing, pii, quality_rules, secrets, simhash, suffix_dedup, token_counts, url_filter, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +24,19 @@ def op2_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2(text, 256).alias("base_sha256"), text.alias("spans"))
 
 
+def op3_skip_chain_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_personal_data(_table(spark, sf_dir, "documents"))
+
+
+def op4_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.resolve_revisits(warc.records_of_pages(_table(spark, sf_dir, "pages")))
+    header = lambda e: F.concat_ws("=", e["key"], e["value"])
+    headers = F.array_join(F.array_sort(F.transform(F.map_entries("headers"), header)), "\n")
+    return found.select(
+        F.col("record_id").alias("page_id"), "canonical", "at", "response_id", "verdict", "digest", headers.alias("headers")
+    )
+
+
 def op5_simhash_covering(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_of(F.col("fp")).alias("fingerprint"), "component_id")
@@ -53,6 +66,35 @@ def op10_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(docs, rules)
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_secret_ledger, op5_simhash_covering, op6_decontaminate, op7_url_filter, op8_token_counts, op9_suffix_dedup, op10_decision_list)}
-
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_secret_ledger, op3_skip_chain_pii, op4_warc_revisits, op5_simhash_covering, op6_decontaminate, op7_url_filter, op8_token_counts, op9_suffix_dedup, op10_decision_list)}
+
+ORACLE_SQL: dict[str, str] = {
+    "op4_warc_revisits": r"""
+        with page as (
+            select page_id, md5(coalesce(html, '')) as digest,
+                regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)([^?#]*)\??([^#]*)', 1) as h,
+                regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)([^?#]*)\??([^#]*)', 2) as p,
+                '&' || regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)([^?#]*)\??([^#]*)', 3) as q
+            from pages
+        ), clean as (
+            select page_id, digest,
+                regexp_replace(regexp_replace(lower(h), '^www\.', ''), ':(80|443)$', '') || regexp_replace(p, '/+$', '') as base,
+                regexp_replace(regexp_replace(q, '&(utm_[a-z]+|ref|fbclid|gclid|sessionid)=[^&]*', '', 'g'), '^&', '') as query
+            from page
+        ), one as (
+            select page_id, digest, base || case when query <> '' then '?' || query else '' end as canonical,
+                page_id * 2 as at, page_id * 2 + 1 + (page_id * 7919 % 1009) * 2 as back
+            from clean
+        ), met as (
+            select r.page_id, r.canonical, r.back as at, r.digest as own, f.page_id as response_id, f.digest, f.at as f_at,
+                row_number() over (partition by r.page_id order by f.at desc, f.page_id desc) as k
+            from one r left join one f on r.canonical = f.canonical and f.at < r.back
+        )
+        select page_id, canonical, at, response_id,
+            case when response_id is null then 'unresolved' when own = digest then 'resolved' else 'changed' end as verdict,
+            case when own = digest then digest end as digest,
+            case when own = digest then 'cache-control=max-age=600' || chr(10) || 'content-type=text/html' || chr(10) ||
+                'date=' || at || chr(10) || 'etag=W/"' || own || '"' end as headers
+        from met where k = 1
+    """,
+}
