@@ -33,7 +33,7 @@ def op4_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     header = lambda e: F.concat_ws("=", e["key"], e["value"])
     headers = F.array_join(F.array_sort(F.transform(F.map_entries("headers"), header)), "\n")
     return found.select(
-        F.col("record_id").alias("page_id"), "canonical", "at", "response_id", "verdict", "digest", headers.alias("headers")
+        F.col("record_id").alias("page_id"), "canonical", F.col("at").alias("revisit_time"), "response_id", "verdict", "digest", headers.alias("headers")
     )
 
 
@@ -83,18 +83,18 @@ ORACLE_SQL: dict[str, str] = {
             from page
         ), one as (
             select page_id, digest, base || case when query <> '' then '?' || query else '' end as canonical,
-                page_id * 2 as at, page_id * 2 + 1 + (page_id * 7919 % 1009) * 2 as back
+                page_id * 2 as stored_time, page_id * 2 + 1 + (page_id * 7919 % 1009) * 2 as back
             from clean
         ), met as (
-            select r.page_id, r.canonical, r.back as at, r.digest as own, f.page_id as response_id, f.digest, f.at as f_at,
-                row_number() over (partition by r.page_id order by f.at desc, f.page_id desc) as k
-            from one r left join one f on r.canonical = f.canonical and f.at < r.back
+            select r.page_id, r.canonical, r.back as revisit_time, r.digest as own, f.page_id as response_id, f.digest,
+                row_number() over (partition by r.page_id order by f.stored_time desc, f.page_id desc) as k
+            from one r left join one f on r.canonical = f.canonical and f.stored_time < r.back
         )
-        select page_id, canonical, at, response_id,
+        select page_id, canonical, revisit_time, response_id,
             case when response_id is null then 'unresolved' when own = digest then 'resolved' else 'changed' end as verdict,
             case when own = digest then digest end as digest,
             case when own = digest then 'cache-control=max-age=600' || chr(10) || 'content-type=text/html' || chr(10) ||
-                'date=' || at || chr(10) || 'etag=W/"' || own || '"' end as headers
+                'date=' || revisit_time || chr(10) || 'etag=W/"' || own || '"' end as headers
         from met where k = 1
     """,
 }

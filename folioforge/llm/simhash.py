@@ -155,3 +155,93 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 def hex_of(fp: Column) -> Column:
     """16 lowercase hex digits."""
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
+
+
+# ---------------------------------------------------------------- near copies by similarity
+
+
+#: Nodes of a bucket that a crowded bucket's nodes are compared with, on average.
+PIVOTS = 8
+CROWDED = 16
+
+
+def similar_pairs(nodes: DataFrame, radius: int, most_bits: int) -> DataFrame:
+    """Distinct candidate pairs (u, v), u < v, of (node, fp) rows: they share a bucket and differ in ``most_bits`` at most.
+
+    Buckets up to CROWDED give all their pairs. In a crowded bucket, which near copies of one text
+    make, every node meets the same few nodes, picked by hash; so the pairs are linear in the bucket,
+    and the copies hang together through those nodes, in this table or another.
+    """
+    masks = F.array(*(F.lit(m) for m in covering_masks(radius)))
+    placed = nodes.select("node", "fp", F.posexplode(F.transform(masks, lambda m: m.bitwiseAND(F.col("fp")))).alias("t", "key"))
+    sizes = placed.groupBy("t", "key").agg(F.count("*").alias("n")).where("n > 1")
+    buckets = staged(placed.join(sizes, ["t", "key"]), "simhash-tables", release=True)
+    ours = buckets.select("t", "key", "n", F.col("node").alias("u"), F.col("fp").alias("fu"))
+    theirs = buckets.select("t", "key", F.col("node").alias("v"), F.col("fp").alias("fv"))
+    pivots = buckets.where((F.col("n") > CROWDED) & (F.pmod(F.xxhash64("node", "t"), F.col("n")) < PIVOTS))
+    pivots = pivots.select("t", "key", F.col("node").alias("v"), F.col("fp").alias("fv"))
+    near = distance(F.col("fu"), F.col("fv")) <= most_bits
+    at = [F.col("a.t") == F.col("b.t"), F.col("a.key") == F.col("b.key")]
+    small = ours.where(F.col("n") <= CROWDED).alias("a").join(theirs.alias("b"), [*at, F.col("u") < F.col("v"), near])
+    large = ours.where(F.col("n") > CROWDED).alias("a").join(pivots.alias("b"), [*at, F.col("u") != F.col("v"), near])
+    both = small.select("u", "v").union(large.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")))
+    return both.distinct()
+
+
+def _shingle_sets(size: int):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            sets = [np.unique((shingle_hashes(words_of(t), size) >> np.uint64(32)).astype(np.uint32)).view(np.int32) for t in batch["text"]]
+            yield pd.DataFrame({"node": batch["node"], "shingles": sets})
+
+    return run
+
+
+def _text_keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        raw = [t.encode("utf-8", "surrogatepass") for t in batch["text"]]
+        yield pd.DataFrame(
+            {
+                "id": batch["id"],
+                "h1": np.array([xxhash.xxh64_intdigest(r, 1) for r in raw], dtype=np.uint64).view(np.int64),
+                "h2": np.array([xxhash.xxh64_intdigest(r, 2) for r in raw], dtype=np.uint64).view(np.int64),
+                "fp": np.array([fingerprint(t, 1, True) for t in batch["text"]], dtype=np.int64),
+            }
+        )
+
+
+def similar_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", radius: int = 5, most_bits: int = 8, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+    """(id, group) for every distinct id: copies, and texts linked by a Jaccard similarity of their shingle sets.
+
+    Fingerprints are over the distinct words, in which near copies differ least; pairs within ``radius``
+    bits all meet, pairs up to ``most_bits`` meet often; every candidate is decided by its shingles.
+    """
+    bare = docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text"))
+    rows = staged(bare.mapInPandas(_text_keys, "id long, h1 long, h2 long, fp long"), "similar-rows")
+    texts = rows.groupBy("h1", "h2").agg(F.min("id").alias("node"), F.first("fp").alias("fp"))
+    nodes = staged(texts.where("node is not null"), "similar-nodes")
+    pairs = staged(similar_pairs(nodes.select("node", "fp"), radius, most_bits), "similar-pairs", release=True)
+    wanted = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct()
+    sets = staged(
+        bare.withColumnRenamed("id", "node").join(wanted, "node").mapInPandas(_shingle_sets(shingle), "node long, shingles array<int>").dropDuplicates(["node"]),
+        "similar-shingles",
+        release=True,
+    )
+    a, b = sets.select(F.col("node").alias("u"), F.col("shingles").alias("a")), sets.select(F.col("node").alias("v"), F.col("shingles").alias("b"))
+    shared = F.size(F.array_intersect("a", "b"))
+    alike = F.col("shared") >= similarity * (F.size("a") + F.size("b") - F.col("shared"))
+    links = pairs.join(a, "u").join(b, "v").withColumn("shared", shared).where(alike & (F.col("shared") > 0)).select("u", "v")
+    found = components(links).withColumnRenamed("component", "group")
+    by_text = nodes.select("h1", "h2", "node").join(found, "node", "left").select("h1", "h2", F.coalesce("group", "node").alias("group"))
+    return rows.join(by_text, ["h1", "h2"], "left").select(F.col("id").alias(id_col), "group").distinct()
+
+
+def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+    """The document with the least id of each group, columns unchanged; of rows that repeat an id, one.
+
+    Rows without id have no place in a group's order and stay.
+    """
+    groups = similar_groups(docs, id_col=id_col, text_col=text_col, **how)
+    first = groups.where(F.col(id_col) == F.col("group")).select(F.col(id_col).alias("_first")).distinct()
+    stay = docs.join(first, F.col(id_col).cast("long") == F.col("_first")).drop("_first").dropDuplicates([id_col])
+    return stay.unionByName(docs.where(F.col(id_col).isNull()))
