@@ -11,13 +11,13 @@ repeat are sorted:
    of ties, is its anchor. This depends on the string's bytes alone, so equal strings have the same
    anchor at the same place. A rolling hash gives anchors for one position in about 35. Anchors that
    occur once are dropped; only their hashes have been moved.
-2. Context: an anchor's context is all the bytes that 100-byte strings round it can hold. Occurrences
-   are grouped by (anchor, context) hashes with the earliest kept; a later one repeats all its strings.
-   Copies of a text end here.
+2. Context: the bytes that the 100-byte strings of an anchor cover. Occurrences are grouped by (anchor,
+   context) hashes with the earliest kept; a later one repeats all its strings. Copies of a text end here.
 3. An anchor with several contexts is where repeats begin and end. The earliest occurrence of each such
-   context fetches its bytes; the suffixes that belong to the anchor are sorted in a task per anchor
+   context fetches its bytes, and the suffixes that belong to the anchor are sorted in a task per anchor
    group: multikey quicksort to a shallow depth, then blind tries over the groups that still agree.
-   Runs of 100 agreeing bytes give the repeats. Bytes are compared here, not hashes.
+   Suffixes whose rolling hash is alone in their group are left out, since they repeat nothing; those
+   sorted are compared by bytes. Runs of 100 agreeing bytes give the repeats.
    An anchor with over ``CROWD`` contexts splits by a hash of each suffix's 100 bytes, which keeps
    equal ones together.
 
@@ -40,7 +40,7 @@ from folioforge.llm.common import staged, text_of
 
 LENGTH, PIECE = 100, 32
 CROWD = 2_000
-SHALLOW = 24
+KEY, SHALLOW = 8, 24
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 
 
@@ -106,8 +106,8 @@ class Winnower:
     def occurrences(self, data: bytes):
         """(anchor hash, context hash, place, first string, last string) of a text.
 
-        The strings that belong to an anchor start at first..last. Contexts at a text's ends are shorter,
-        and the hash tells so. Anchor and context take different hash families, so a pair has 128 bits.
+        The strings that belong to an anchor start at first..last; its context is the bytes they cover
+        and where in them it stands. Anchor and context take different hash families: a pair has 128 bits.
         """
         n = len(data)
         if n < LENGTH:
@@ -120,34 +120,32 @@ class Winnower:
         first = np.flatnonzero(np.concatenate(([True], chosen[1:] != chosen[:-1])))
         place = chosen[first]
         last = np.concatenate((first[1:], [len(chosen)])) - 1
-        low, high = np.maximum(place - (LENGTH - PIECE), 0), np.minimum(place + LENGTH, n)
-        shape = ((place - low) * 256 + (high - place)).astype(np.uint64)
-        return pieces[place], _mixed(self.two.hashes(low, high) ^ (shape << np.uint64(20))), place, first, last
+        shape = (place - first).astype(np.uint64)
+        return pieces[place], _mixed(self.two.hashes(first, last + LENGTH) ^ (shape << np.uint64(20))), place, first, last
 
 
 # ---------------------------------------------------------------- deep-shallow sorting
 
 
-def _blind_trie(group: list[int], text: bytes, starts: list[int], depth: int) -> list[tuple[int, int]]:
-    """Sorts suffixes that agree on ``depth`` bytes; returns (suffix, common prefix with the one before).
+def _blind_trie(group: list[int], text: bytes, starts: list[int], depth: int) -> list[list[int]]:
+    """Sorts suffixes that agree on ``depth`` bytes; returns the runs that agree on LENGTH bytes, in order.
 
     A blind trie keeps in each inner node only the place where its branches part and the byte of each
     branch. An insertion goes down blindly to some leaf, compares with that leaf once to find where the
-    two part, and enters there. Prefixes count up to LENGTH.
+    two part, and enters there.
     """
     root = group[0]  # a leaf is a suffix; an inner node is [place, {byte: node}]
     same: dict[int, list[int]] = {root: [root]}
     for s in group[1:]:
-        node = root
-        a = starts[s]
+        node, a = root, starts[s]
         while type(node) is list:
             branch = node[1].get(text[a + node[0]])
             node = branch if branch is not None else next(iter(node[1].values()))
         b = starts[node]
-        part = _agree(text, a, b, depth)
-        if part >= LENGTH:
+        if text[a + depth : a + LENGTH] == text[b + depth : b + LENGTH]:
             same[node].append(s)
             continue
+        part = _agree(text, a, b, depth)
         same[s] = [s]
         above, way, at = None, None, root
         while type(at) is list and at[0] < part:
@@ -161,24 +159,18 @@ def _blind_trie(group: list[int], text: bytes, starts: list[int], depth: int) ->
             root = new
         else:
             above[1][way] = new
-    out: list[tuple[int, int]] = []
-    stack: list = [(root, depth)]
+    out, stack = [], [root]
     while stack:
-        node, common = stack.pop()
+        node = stack.pop()
         if type(node) is list:
-            ways = sorted(node[1])
-            for k in range(len(ways) - 1, -1, -1):
-                stack.append((node[1][ways[k]], common if k == 0 else node[0]))
+            stack.extend(node[1][k] for k in sorted(node[1], reverse=True))
         else:
-            for k, s in enumerate(same[node]):
-                out.append((s, common if k == 0 else LENGTH))
+            out.append(same[node])
     return out
 
 
 def _agree(text: bytes, a: int, b: int, depth: int) -> int:
-    """Common prefix length of the strings at a and b, known to be at least depth, at most LENGTH."""
-    if text[a : a + LENGTH] == text[b : b + LENGTH]:
-        return LENGTH
+    """Common prefix length of the different strings at a and b, known to be at least depth."""
     low, high = depth, LENGTH - 1
     while low < high:
         mid = (low + high + 1) // 2
@@ -189,50 +181,41 @@ def _agree(text: bytes, a: int, b: int, depth: int) -> int:
     return low
 
 
-def deep_shallow(text: bytes, starts: list[int]) -> list[tuple[int, int]]:
-    """The suffixes of ``text`` at ``starts``, each at least LENGTH long, in the order of their first LENGTH bytes.
+def deep_shallow(text: bytes, starts: list[int]) -> list[list[int]]:
+    """Indexes of ``starts`` in the order of the strings of LENGTH bytes there; equal strings make one run.
 
-    Returns (index into starts, common prefix with the one before, at most LENGTH). Multikey quicksort
-    parts the suffixes byte by byte down to SHALLOW; blind tries order what still agrees.
+    Multikey quicksort parts the suffixes by KEY bytes at a time, three ways round a pivot, down to
+    SHALLOW bytes; blind tries order the groups that agree so far.
     """
-    out: list[tuple[int, int]] = []
-    stack = [(list(range(len(starts))), 0, 0)]
+    out: list[list[int]] = []
+    stack = [(list(range(len(starts))), 0)]
     while stack:
-        group, depth, common = stack.pop()
+        group, depth = stack.pop()
         if len(group) == 1:
-            out.append((group[0], common))
+            out.append(group)
             continue
         if depth >= SHALLOW:
-            tail = _blind_trie(group, text, starts, depth)
-            out.append((tail[0][0], common))
-            out.extend(tail[1:])
+            out += _blind_trie(group, text, starts, depth)
             continue
-        keys = [text[starts[s] + depth] for s in group]
+        keys = [text[a : a + KEY] for a in [starts[s] + depth for s in group]]
         pivot = sorted((keys[0], keys[len(keys) // 2], keys[-1]))[1]
         less = [s for s, k in zip(group, keys) if k < pivot]
         equal = [s for s, k in zip(group, keys) if k == pivot]
-        more = [s for s, k in zip(group, keys) if k > pivot]
-        first = common
-        parts = []
-        for part, deeper in ((less, depth), (equal, depth + 1), (more, depth)):
-            if part:
-                parts.append((part, deeper, first))
-                first = depth
-        stack.extend(reversed(parts))
+        if len(less) + len(equal) < len(group):
+            stack.append(([s for s, k in zip(group, keys) if k > pivot], depth))
+        stack.append((equal, depth + KEY))
+        if less:
+            stack.append((less, depth))
     return out
 
 
 def repeats(text: bytes, starts: list[int], order: list) -> list[int]:
     """Indexes into starts of the strings that an earlier one equals; ``order`` says which is earlier."""
     found: list[int] = []
-    run: list[int] = []
-    for s, common in [*deep_shallow(text, starts), (-1, 0)]:
-        if common < LENGTH and run:
-            if len(run) > 1:
-                first = min(run, key=lambda x: order[x])
-                found.extend(x for x in run if x != first)
-            run = []
-        run.append(s)
+    for run in deep_shallow(text, starts):
+        if len(run) > 1:
+            first = min(run, key=order.__getitem__)
+            found.extend(x for x in run if x != first)
     return found
 
 
@@ -280,41 +263,75 @@ def _context_bytes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=["a", "n", "doc", "ver", "first", "bytes"])
 
 
-def _sort_group(rows) -> list[tuple[int, int, int, int]]:
-    """rows: (doc, ver, first, bytes) of occurrences of one anchor. Returns (doc, ver, start, end) to remove."""
-    text = b"".join(r[3] for r in rows)
-    starts, owner, base = [], [], 0
-    for doc, ver, first, data in rows:
-        for k in range(len(data) - LENGTH + 1):
-            starts.append(base + k)
-            owner.append((doc, ver, first + k))
-        base += len(data)
-    out: list[tuple[int, int, int, int]] = []
-    for doc, ver, p in sorted(owner[x] for x in repeats(text, starts, owner)):
-        if out and out[-1][:2] == (doc, ver) and p <= out[-1][3]:
-            out[-1] = (doc, ver, out[-1][2], p + LENGTH)
-        else:
-            out.append((doc, ver, p, p + LENGTH))
-    return out
+class _Sorter:
+    """Collects whole groups of occurrences and sorts the suffixes of many groups at a time."""
+
+    def __init__(self):
+        self.roller = Roller(3)
+        self.clear()
+
+    def clear(self) -> None:
+        self.groups: list[list[tuple]] = []
+        self.size = 0
+
+    def add(self, rows: list[tuple]) -> None:
+        """rows: (doc, ver, first, bytes), of one anchor."""
+        if len(rows) > 1:
+            self.groups.append(rows)
+            self.size += sum(len(r[3]) for r in rows)
+
+    def spans(self) -> list[tuple[int, int, int, int]]:
+        """(doc, ver, start, end) to remove of the groups held, which are let go."""
+        if not self.groups:
+            return []
+        rows = [r for g in self.groups for r in g]
+        text = b"".join(r[3] for r in rows)
+        size = np.array([len(r[3]) for r in rows], dtype=np.int64)
+        base = np.cumsum(size) - size
+        count = size - (LENGTH - 1)
+        row = np.repeat(np.arange(len(rows)), count)
+        within = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+        start = base[row] + within
+        group = np.repeat(np.arange(len(self.groups)), [len(g) for g in self.groups])[row]
+        self.roller.load(np.frombuffer(text, dtype=np.uint8))
+        key = _mixed(self.roller.hashes(start, start + LENGTH) + group.astype(np.uint64) * _BASE)
+        by_key = np.argsort(key, kind="stable")
+        line = key[by_key]
+        alike = np.concatenate(([False], line[1:] == line[:-1], [False]))
+        kept = np.sort(by_key[alike[1:] | alike[:-1]])
+        out: list[tuple[int, int, int, int]] = []
+        edges = np.flatnonzero(np.diff(group[kept], prepend=-1, append=-1))
+        starts, owners, places = start[kept].tolist(), row[kept].tolist(), within[kept].tolist()
+        for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+            owner = [(*rows[r][:2], rows[r][2] + p) for r, p in zip(owners[a:b], places[a:b], strict=True)]
+            for doc, ver, p in sorted(owner[x] for x in repeats(text, starts[a:b], owner)):
+                if out and out[-1][:2] == (doc, ver) and out[-1][2] <= p <= out[-1][3]:
+                    out[-1] = (doc, ver, out[-1][2], p + LENGTH)
+                else:
+                    out.append((doc, ver, p, p + LENGTH))
+        self.clear()
+        return out
 
 
 def _sort_all(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Over partitions sorted by group: sorts each group's suffixes."""
     names = ["doc", "ver", "start", "end"]
-    key, held, out = None, {}, []
+    key, held, sorter = None, {}, _Sorter()
+
+    def close():
+        sorter.add([(*k, v) for k, v in held.items()])
+        held.clear()
+
     for batch in batches:
         for g, doc, ver, first, data in zip(batch["g"], batch["doc"], batch["ver"], batch["first"], batch["bytes"], strict=True):
-            if g != key and held:
-                out += _sort_group([(*k, v) for k, v in held.items()])
-                held = {}
-            key = g
+            if g != key:
+                close()
+                key = g
+                if sorter.size > 2_000_000:
+                    yield pd.DataFrame(sorter.spans(), columns=names)
             held[doc, ver, first] = data
-        if len(out) > 20_000:
-            yield pd.DataFrame(out, columns=names)
-            out = []
-    if held:
-        out += _sort_group([(*k, v) for k, v in held.items()])
-    yield pd.DataFrame(out, columns=names)
+    close()
+    yield pd.DataFrame(sorter.spans(), columns=names)
 
 
 def _cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
