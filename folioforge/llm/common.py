@@ -66,3 +66,9 @@ def word_count(text: Column) -> Column:
 def broadcast_if_small(df: DataFrame, rows: int, most: int = 200_000) -> DataFrame:
     """A broadcast hint only where the counted rows stay below ``most``; else Spark shuffles."""
     return F.broadcast(df) if rows <= most else df
+
+
+def packed(docs: DataFrame, **columns: Column) -> DataFrame:
+    """The rows of ``docs`` whole, as the struct "row", and the named columns: no name of theirs can clash."""
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+    return docs.select(row, *(c.alias(name) for name, c in columns.items()))

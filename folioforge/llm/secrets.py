@@ -24,7 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from folioforge.llm.common import staged, text_of
+from folioforge.llm.common import packed, staged, text_of
 
 
 @dataclass(frozen=True)
@@ -170,18 +170,15 @@ def redact(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", m
             ),
         ).otherwise(F.concat(done, F.array(F.struct(s["start"].alias("start"), s["end"].alias("end"))))),
     )
-    cuts = findings.select(F.col("blob").alias("_blob"), F.coalesce(merged, empty).alias("_cuts"))
-    cut = (
-        docs.withColumn("_blob", F.sha2(text_of(text_col), 256))
-        .join(cuts, "_blob", "left")
-        .withColumn(
-            "_kept",
-            F.zip_with(
-                F.concat(F.array(F.lit(0)), F.transform("_cuts", lambda c: c["end"])),
-                F.concat(F.transform("_cuts", lambda c: c["start"]), F.array(F.length(text_col))),
-                lambda a, b: F.substring(F.col(text_col), a + 1, b - a),
-            ),
-        )
+    cuts = findings.select("blob", F.coalesce(merged, empty).alias("cuts"))
+    rows = packed(docs, text=F.col(text_col), key=F.sha2(text_of(text_col), 256))
+    cut = rows.join(cuts, F.col("key") == F.col("blob"), "left").withColumn(
+        "pieces",
+        F.zip_with(
+            F.concat(F.array(F.lit(0)), F.transform("cuts", lambda c: c["end"])),
+            F.concat(F.transform("cuts", lambda c: c["start"]), F.array(F.length("text"))),
+            lambda a, b: F.substring(F.col("text"), a + 1, b - a),
+        ),
     )
-    text = F.when(F.col("_cuts").isNull(), F.col(text_col)).otherwise(F.array_join("_kept", mark))
-    return cut.withColumn(text_col, text).select(*docs.columns)
+    text = F.when(F.col("cuts").isNull(), F.col("text")).otherwise(F.array_join("pieces", mark))
+    return cut.select(F.col("row").withField(text_col, text).alias("row")).select("row.*")

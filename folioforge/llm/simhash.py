@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folioforge.llm.common import SPACES, staged, text_of
+from folioforge.llm.common import SPACES, packed, staged, text_of
 from folioforge.llm.components import components
 
 SEED = 42
@@ -242,6 +242,7 @@ def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     Rows without id have no place in a group's order and stay.
     """
     groups = similar_groups(docs, id_col=id_col, text_col=text_col, **how)
-    first = groups.where(F.col(id_col) == F.col("group")).select(F.col(id_col).alias("_first")).distinct()
-    stay = docs.join(first, F.col(id_col).cast("long") == F.col("_first")).drop("_first").dropDuplicates([id_col])
+    first = groups.where(F.col(id_col) == F.col("group")).select(F.col(id_col).alias("first")).distinct()
+    rows = packed(docs, key=F.col(id_col).cast("long"))
+    stay = rows.join(first, F.col("key") == F.col("first")).dropDuplicates(["key"]).select("row.*")
     return stay.unionByName(docs.where(F.col(id_col).isNull()))

@@ -145,6 +145,8 @@ def score(model: dict) -> Column:
 
 def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     """The longest rule that fits, as text, and its verdict; null where none does."""
+    if not rules:
+        return F.lit(None).cast("string"), F.lit(None).cast("string")
     name = verdict = None
     for h, p, v in sorted(rules, key=lambda r: -len(r[0] + r[1])):
         fits = ((host == h) | host.endswith(f".{h}")) & path.startswith(p)
