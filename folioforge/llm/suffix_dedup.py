@@ -23,7 +23,7 @@ repeat are sorted:
 
 Counting and minima combine before the shuffle, and hot anchors are split, so one passage in a third of
 all texts spreads over the cluster. Null texts count as empty. Rows with one id and one text are one
-text and share the result; rows with one id and different texts are ordered by the texts' hash.
+text and share the result; rows with one id and different texts are ordered by the texts' checksum.
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folioforge.llm.common import staged, text_of
@@ -104,7 +104,7 @@ class Winnower:
         self.one, self.two = Roller(1), Roller(2)
 
     def occurrences(self, data: bytes):
-        """(anchor hash, context hash, place, first string, last string) of a text.
+        """(anchor hash, context hash, packed places) of the anchors of a text.
 
         The strings that belong to an anchor start at first..last; its context is the bytes they cover
         and where in them it stands. Anchor and context take different hash families: a pair has 128 bits.
@@ -121,7 +121,8 @@ class Winnower:
         place = chosen[first]
         last = np.concatenate((first[1:], [len(chosen)])) - 1
         shape = (place - first).astype(np.uint64)
-        return pieces[place], _mixed(self.two.hashes(first, last + LENGTH) ^ (shape << np.uint64(20))), place, first, last
+        at = place << 16 | (place - first) << 8 | (last - first)
+        return pieces[place], _mixed(self.two.hashes(first, last + LENGTH) ^ (shape << np.uint64(20))), at
 
 
 # ---------------------------------------------------------------- deep-shallow sorting
@@ -221,7 +222,9 @@ def repeats(text: bytes, starts: list[int], order: list) -> list[int]:
 
 # ---------------------------------------------------------------- the operator
 
-_OCCURRENCE = "doc long, ver long, a long, c long, place int, first int, last int"
+#: ``at`` packs the anchor's place, how far before it its first string starts, and how many more follow:
+#: place << 16 | (place - first) << 8 | (last - first). Both distances are below LENGTH.
+_OCCURRENCE = "doc long, ver int, a long, c long, at long"
 
 
 def _find_anchors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -230,9 +233,9 @@ def _find_anchors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     def frame(parts):
         size = [len(p[0]) for _, _, p in parts]
         columns = {name: np.repeat(np.array([p[k] for p in parts], dtype=np.int64), size) for k, name in enumerate(("doc", "ver"))}
-        for k, name in enumerate(("a", "c", "place", "first", "last")):
-            joined = np.concatenate([p[k] for _, _, p in parts])
-            columns[name] = joined.view(np.int64) if k < 2 else joined.astype(np.int32)
+        columns["ver"] = columns["ver"].astype(np.int32)
+        for k, name in enumerate(("a", "c", "at")):
+            columns[name] = np.concatenate([p[k] for _, _, p in parts]).view(np.int64)
         return pd.DataFrame(columns)
 
     for batch in batches:
@@ -353,29 +356,38 @@ def _cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=["doc", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
 
+def _first(at: Column) -> Column:
+    return (F.shiftright(at, 16) - F.shiftright(at, 8).bitwiseAND(255)).cast("int")
+
+
+def _last(at: Column) -> Column:
+    return (_first(at) + at.bitwiseAND(255)).cast("int")
+
+
 def removed_spans(texts: DataFrame) -> DataFrame:
     """(doc, ver, start, end) intervals to remove of (doc, ver, text) rows; they may touch or overlap."""
     seen = texts.mapInPandas(_find_anchors, _OCCURRENCE)
     shared = staged(seen.groupBy("a").agg(F.count("*").alias("n")).where("n > 1").select("a"), "suffix-shared", release=True)
     dup = staged(seen.join(shared, "a"), "suffix-anchors", release=True)
 
-    earliest = F.min(F.struct("doc", "ver", "place", "first", "last")).alias("e")
-    contexts = staged(dup.groupBy("a", "c").agg(earliest, F.count("*").alias("n")), "suffix-contexts", release=True)
+    contexts = staged(
+        dup.groupBy("a", "c").agg(F.min(F.struct("doc", "ver", "at")).alias("e"), F.count("*").alias("n")), "suffix-contexts", release=True
+    )
     copies = contexts.where("n > 1").select("a", "c", "e")
     later = (
         dup.join(copies, ["a", "c"])
-        .where(F.struct("doc", "ver", "place") != F.struct("e.doc", "e.ver", "e.place"))
-        .select("doc", "ver", F.col("first").alias("start"), (F.col("last") + LENGTH).alias("end"))
+        .where(F.struct("doc", "ver", "at") != F.col("e"))
+        .select("doc", "ver", _first(F.col("at")).alias("start"), (_last(F.col("at")) + LENGTH).alias("end"))
     )
     several = contexts.groupBy("a").agg(F.count("*").alias("n")).where("n > 1")
     asked = (
         contexts.drop("n")
         .join(several, "a")
         .groupBy(F.col("e.doc").alias("doc"), F.col("e.ver").alias("ver"))
-        .agg(F.collect_list(F.struct("a", "n", F.col("e.first").alias("first"), F.col("e.last").alias("last"))).alias("asked"))
+        .agg(F.collect_list(F.struct("a", "n", _first(F.col("e.at")).alias("first"), _last(F.col("e.at")).alias("last"))).alias("asked"))
     )
     with_bytes = staged(
-        texts.join(asked, ["doc", "ver"]).mapInPandas(_context_bytes, "a long, n long, doc long, ver long, first int, bytes binary"),
+        texts.join(asked, ["doc", "ver"]).mapInPandas(_context_bytes, "a long, n long, doc long, ver int, first int, bytes binary"),
         "suffix-bytes",
         release=True,
     )
@@ -387,7 +399,7 @@ def removed_spans(texts: DataFrame) -> DataFrame:
     split = F.pmod(F.xxhash64("string"), F.expr(f"n div {CROWD} * 8 + 8"))
     many = many.select(F.xxhash64("a", split).alias("g"), "doc", "ver", (F.col("first") + F.col("k")).cast("int").alias("first"), F.col("string").alias("bytes"))
     groups = few.union(many).repartition("g").sortWithinPartitions("g")
-    partial = groups.mapInPandas(_sort_all, "doc long, ver long, start int, end int")
+    partial = groups.mapInPandas(_sort_all, "doc long, ver int, start int, end int")
     return later.union(partial)
 
 
@@ -395,7 +407,7 @@ def dedup_substrings(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     """id, n_bytes, n_removed, n_spans, kept_sha256 for every row. A null id counts as the smallest."""
     text = text_of(text_col)
     key = F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63)))
-    texts = docs.select(key.alias("doc"), F.xxhash64(text).alias("ver"), text.alias("text"))
+    texts = docs.select(key.alias("doc"), F.crc32(text).bitwiseAND(2**31 - 1).cast("int").alias("ver"), text.alias("text"))
     spans = removed_spans(texts).groupBy("doc", "ver").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     spans = staged(spans, "suffix-spans", release=True)
     cut = texts.join(spans, ["doc", "ver"], "left").mapInPandas(_cut, "doc long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
