@@ -68,7 +68,45 @@ def op10_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_secret_ledger, op3_skip_chain_pii, op4_warc_revisits, op5_simhash_covering, op6_decontaminate, op7_url_filter, op8_token_counts, op9_suffix_dedup, op10_decision_list)}
 
+_ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op2_secret_ledger": rf"""
+        with rules(k, kind, p, g, least) as (values (0, 'assign', '{_ASSIGN}', 2, 6), (1, 'access', 'AKIA[A-Z0-9]+', 0, 20), (2, 'hex', '[0-9a-f]+', 0, 24)),
+        texts as (select distinct coalesce(text, '') as text from documents),
+        cut as (
+            select text, 0 as k, string_split_regex(text, '{_ASSIGN}') as gaps, regexp_extract_all(text, '{_ASSIGN}', 0) as whole, regexp_extract_all(text, '{_ASSIGN}', 2) as part from texts
+            union all select text, 1, string_split_regex(text, 'AKIA[A-Z0-9]+'), regexp_extract_all(text, 'AKIA[A-Z0-9]+'), regexp_extract_all(text, 'AKIA[A-Z0-9]+') from texts
+            union all select text, 2, string_split_regex(text, '[0-9a-f]+'), regexp_extract_all(text, '[0-9a-f]+'), regexp_extract_all(text, '[0-9a-f]+') from texts
+        ), each as (
+            select text, k, n, length(gaps[n]) as gap, length(whole[n]) as size, length(part[n]) as part from cut, unnest(range(1, len(whole) + 1)) as u(n)
+        ), placed as (
+            select *, sum(gap + size) over (partition by text, k order by n) as e from each
+        ), kept as (
+            select text, k, kind, (e - size)::bigint as s, e::bigint as e from placed join rules using (k) where part >= least
+        ), by_text as (
+            select text, count_if(k = 0) as a, count_if(k = 1) as b, count_if(k = 2) as c, string_agg(kind || ':' || s || ':' || e, ',' order by s, k) as spans from kept group by text
+        )
+        select doc_id, coalesce(a, 0) as n_assign, coalesce(b, 0) as n_access, coalesce(c, 0) as n_hex, sha256(coalesce(spans, '')) as base_sha256, coalesce(spans, '') as spans
+        from documents d left join by_text t on coalesce(d.text, '') = t.text
+    """,
+    "op9_suffix_dedup": """
+        with docs as (select doc_id, encode(coalesce(text, '')) as b from documents),
+        w as (select doc_id, p, hex(b)[2 * p + 1 : 2 * p + 200] as s from docs, unnest(range(0, octet_length(b) - 99)) as u(p)),
+        r as (select doc_id, p, row_number() over (partition by s order by doc_id, p) as k from w),
+        runs as (
+            select doc_id, p, sum(new) over (partition by doc_id order by p) as g from (
+                select doc_id, p, case when p - lag(p) over (partition by doc_id order by p) <= 100 then 0 else 1 end as new from r where k > 1)
+        ), gone as (select doc_id, g, min(p) as s, max(p) + 100 as e from runs group by doc_id, g),
+        keep as (
+            select doc_id, coalesce(lag(e) over (partition by doc_id order by s), 0) as s, s as e from gone
+            union all select doc_id, max(e), octet_length(any_value(b)) from gone join docs using (doc_id) group by doc_id
+            union all select doc_id, 0, octet_length(b) from docs where doc_id not in (select doc_id from gone)
+        ), kept as (select doc_id, string_agg(hex(b)[2 * s + 1 : 2 * e], '' order by s) as h from keep join docs using (doc_id) group by doc_id),
+        sums as (select doc_id, sum(e - s) as n_removed, count(*) as n_spans from gone group by doc_id)
+        select doc_id, octet_length(b)::bigint as n_bytes, coalesce(n_removed, 0)::bigint as n_removed, coalesce(n_spans, 0)::bigint as n_spans, sha256(unhex(h)) as kept_sha256
+        from docs join kept using (doc_id) left join sums using (doc_id)
+    """,
     "op4_warc_revisits": r"""
         with page as (
             select page_id, md5(coalesce(html, '')) as digest,
