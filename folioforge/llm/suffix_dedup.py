@@ -41,6 +41,8 @@ from folioforge.llm.common import staged, text_of
 LENGTH, PIECE = 100, 32
 CROWD = 2_000
 KEY, SHALLOW = 8, 24
+#: Bytes of a text that are hashed at a time; bounds the arrays for very long texts.
+STRETCH = 1 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 
 
@@ -103,26 +105,25 @@ class Winnower:
     def __init__(self):
         self.one, self.two = Roller(1), Roller(2)
 
-    def occurrences(self, data: bytes):
-        """(anchor hash, context hash, packed places) of the anchors of a text.
+    def occurrences(self, data: bytes) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(anchor hash, context hash, packed places) of the anchors of a text, a stretch of it at a time.
 
         The strings that belong to an anchor start at first..last; its context is the bytes they cover
-        and where in them it stands. Anchor and context take different hash families: a pair has 128 bits.
+        and where in them it stands. Anchor and context take different hash families: a pair has 128
+        bits. An anchor whose strings a stretch's end parts comes twice, with its strings dealt out.
         """
-        n = len(data)
-        if n < LENGTH:
-            return None
-        raw = np.frombuffer(data, dtype=np.uint8)
-        self.one.load(raw)
-        self.two.load(raw)
-        pieces = self.one.pieces(PIECE)
-        chosen = anchors(pieces, LENGTH - PIECE + 1)
-        first = np.flatnonzero(np.concatenate(([True], chosen[1:] != chosen[:-1])))
-        place = chosen[first]
-        last = np.concatenate((first[1:], [len(chosen)])) - 1
-        shape = (place - first).astype(np.uint64)
-        at = place << 16 | (place - first) << 8 | (last - first)
-        return pieces[place], _mixed(self.two.hashes(first, last + LENGTH) ^ (shape << np.uint64(20))), at
+        for begin in range(0, len(data) - LENGTH + 1, STRETCH):
+            raw = np.frombuffer(data, dtype=np.uint8, offset=begin, count=min(STRETCH + LENGTH - 1, len(data) - begin))
+            self.one.load(raw)
+            self.two.load(raw)
+            pieces = self.one.pieces(PIECE)
+            chosen = anchors(pieces, LENGTH - PIECE + 1)
+            first = np.flatnonzero(np.concatenate(([True], chosen[1:] != chosen[:-1])))
+            place = chosen[first]
+            last = np.concatenate((first[1:], [len(chosen)])) - 1
+            shape = (place - first).astype(np.uint64)
+            at = (place + begin) << 16 | (place - first) << 8 | (last - first)
+            yield pieces[place], _mixed(self.two.hashes(first, last + LENGTH) ^ (shape << np.uint64(20))), at
 
 
 # ---------------------------------------------------------------- deep-shallow sorting
@@ -241,13 +242,12 @@ def _find_anchors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         parts, size = [], 0
         for doc, ver, text in zip(batch["doc"], batch["ver"], batch["text"], strict=True):
-            got = winnow.occurrences(text.encode("utf-8", "surrogatepass"))
-            if got is not None:
+            for got in winnow.occurrences(text.encode("utf-8", "surrogatepass")):
                 parts.append((doc, ver, got))
                 size += len(got[0])
-            if size > 100_000:
-                yield frame(parts)
-                parts, size = [], 0
+                if size > 100_000:
+                    yield frame(parts)
+                    parts, size = [], 0
         if parts:
             yield frame(parts)
 

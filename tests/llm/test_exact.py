@@ -362,6 +362,21 @@ def test_suffix_dedup_splits_crowded_anchors(documents, prose, monkeypatch):
     assert {r.doc_id: tuple(r)[1:] for r in suffix_dedup.dedup_substrings(documents(rows)).collect()} == plain_dedup(rows)
 
 
+def test_every_string_has_one_anchor_in_any_stretch(prose, monkeypatch):
+    for stretch in (37, 150, 1 << 20):
+        monkeypatch.setattr(suffix_dedup, "STRETCH", stretch)
+        winnow = suffix_dedup.Winnower()
+        for _, text in substring_rows(prose):
+            data, starts = (text or "").encode(), []
+            for anchor, _, at in winnow.occurrences(data):
+                for a, x in zip(anchor.tolist(), at.tolist(), strict=True):
+                    place, first = x >> 16, (x >> 16) - (x >> 8 & 255)
+                    last = first + (x & 255)
+                    assert last <= place and place + suffix_dedup.PIECE <= first + 100 and a
+                    starts += range(first, last + 1)
+            assert sorted(starts) == list(range(max(0, len(data) - 99)))
+
+
 def test_deep_shallow_orders_and_groups():
     import random
 

@@ -201,3 +201,25 @@ def test_clashing_column_names(documents, prose):
         decontaminate.clean(docs, documents([(1, "x")]).select(F.col("doc_id").alias("item_id"), "text")),
     ):
         assert out.count() == 5
+
+
+def test_nulls_in_any_column(spark, documents, prose):
+    """Null ids, texts, languages, sources; ids beyond the doubles' whole numbers beside a null id."""
+    from folioforge.llm import mixing, pii, quality_rules, secrets, suffix_dedup, token_counts
+
+    big = 2**53 + 1
+    text = prose(80, 1)
+    docs = documents([(None, text, None), (None, None, None), (big, text), (big + 1, prose(90, 2)), (3, None)])
+    items = spark.createDataFrame([(None, text), (7, None), (None, None)], "item_id long, text string")
+    for out in (
+        mixing.mix(docs), secrets.secret_spans(docs), pii.find_personal_data(docs), simhash.near_duplicates(docs), token_counts.token_counts(docs),
+        suffix_dedup.dedup_substrings(docs), quality_rules.judge(docs, []), decontaminate.contamination(docs, items),
+    ):
+        assert sorted((r.doc_id for r in out.collect()), key=str) == sorted([None, None, big, big + 1, 3], key=str)
+    assert quality_rules.keep_good(docs, []).count() == 3 and secrets.redact(docs).count() == 5
+    assert {r.doc_id for r in simhash.keep_one(docs).collect()} >= {None, big, big + 1, 3}
+    assert decontaminate.clean(docs, items).count() <= 5
+    pages = spark.createDataFrame([(None, None, None), (1, None, "x"), (None, "http://a.com/", None)], "page_id long, url string, html string")
+    assert warc.resolve_revisits(warc.records_of_pages(pages)).count() == 3
+    labels = spark.createDataFrame([(None, None, None), (big, None, 1), (None, 1, None)], "doc_id long, quality int, toxic int")
+    assert quality_rules.fit(docs, labels) == []
