@@ -9,32 +9,43 @@ from folioforge.functions.replace import rotate_phrases
 from folioforge.functions.text import cleanup_paragraph, rstrip, split_paragraphs, strip
 
 
-def chunk_ids(lengths: Column, most: int, separator: int = 2) -> Column:
-    """Chunk number of each paragraph, greedily: a new chunk begins where a non-empty one would pass ``most``.
+def chunk_sizes(lengths: Column, most: int, separator: int = 2) -> Column:
+    """Number of paragraphs in each chunk, greedily: a new chunk begins where a non-empty one would pass ``most``.
 
     Each paragraph costs its length plus ``separator``. One that alone is too long is its own chunk. The
-    fold keeps (chunk, total, numbers) as its state; numbers grow by appending.
+    fold keeps the sizes of closed chunks, the open one's size and its cost, so its state grows by
+    chunks and not by paragraphs.
     """
-    zero = F.struct(F.lit(0).alias("chunk"), F.lit(0).cast("long").alias("total"), F.lit(False).alias("open"), F.array().cast("array<int>").alias("ids"))
+    zero = F.struct(F.array().cast("array<int>").alias("done"), F.lit(0).alias("n"), F.lit(0).cast("long").alias("total"))
 
-    def step(s: Column, n: Column) -> Column:
-        cost = n.cast("long") + separator
-        new = s["open"] & (s["total"] + cost > most)
-        chunk = s["chunk"] + F.when(new, 1).otherwise(0)
+    def step(s: Column, length: Column) -> Column:
+        cost = length.cast("long") + separator
+        full = (s["n"] > 0) & (s["total"] + cost > most)
         return F.struct(
-            chunk.alias("chunk"), F.when(new, cost).otherwise(s["total"] + cost).alias("total"), F.lit(True).alias("open"), F.concat(s["ids"], F.array(chunk)).alias("ids")
+            F.when(full, F.concat(s["done"], F.array(s["n"]))).otherwise(s["done"]).alias("done"),
+            F.when(full, 1).otherwise(s["n"] + 1).alias("n"),
+            F.when(full, cost).otherwise(s["total"] + cost).alias("total"),
         )
 
-    return F.aggregate(lengths, zero, step, lambda s: s["ids"])
+    return F.aggregate(lengths, zero, step, lambda s: F.when(s["n"] > 0, F.concat(s["done"], F.array(s["n"]))).otherwise(s["done"]))
+
+
+def chunk_ids(lengths: Column, most: int, separator: int = 2) -> Column:
+    """Chunk number of each paragraph."""
+    return F.flatten(F.transform(chunk_sizes(lengths, most, separator), lambda n, k: F.array_repeat(k, n)))
 
 
 def chunks(paragraphs: Column, most: int = 7000, separator: int = 2) -> Column:
     """Array of chunks, each an array of paragraphs."""
-    ids = chunk_ids(F.transform(paragraphs, F.length), most, separator)
-    both = F.arrays_zip(paragraphs.alias("p"), ids.alias("k"))
-    last = F.coalesce(F.array_max(ids), F.lit(-1))
-    groups = F.when(last >= 0, F.transform(F.sequence(F.lit(0), last), lambda k: F.transform(F.filter(both, lambda z: z["k"] == k), lambda z: z["p"])))
-    return F.coalesce(groups, F.array().cast("array<array<string>>"))
+    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<at:int,n:int>>").alias("cuts"))
+    sizes = chunk_sizes(F.transform(paragraphs, F.length), most, separator)
+    cuts = F.aggregate(
+        sizes,
+        zero,
+        lambda s, n: F.struct((s["at"] + n).alias("at"), F.concat(s["cuts"], F.array(F.struct(s["at"].alias("at"), n.alias("n")))).alias("cuts")),
+        lambda s: s["cuts"],
+    )
+    return F.transform(cuts, lambda c: F.slice(paragraphs, c["at"] + 1, c["n"]))
 
 
 def one_word_pattern(words: list[str]) -> str:

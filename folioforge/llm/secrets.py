@@ -24,7 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from folioforge.llm.common import packed, staged, text_of
+from folioforge.llm.common import broadcast_if_small, packed, staged, text_of
 
 
 @dataclass(frozen=True)
@@ -127,6 +127,25 @@ def scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", led
     return paths, by_blob, fresh
 
 
+LEDGER = "blob string, rule_version string, kind int, start int, end int"
+
+
+def scan_with_ledger(docs: DataFrame, path: str, **how) -> DataFrame:
+    """scan() against the ledger table at ``path``, which may not be there yet; what is new is appended to it.
+
+    Returns id, blob, spans for every row (null spans: clean). A run that breaks off before the append
+    leaves the ledger as it was, and the next run scans those blobs again.
+    """
+    spark = docs.sparkSession
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    there = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+    known = spark.read.schema(LEDGER).parquet(path) if there else None
+    paths, findings, fresh = scan(docs, ledger=known, **how)
+    out = paths.join(staged(findings, "secrets-findings"), "blob", "left")
+    fresh.write.mode("append").parquet(path)
+    return out
+
+
 def joined_spans(spans: Column, rules=RULES) -> Column:
     """kind:start:end by start, then kind, comma-joined."""
     names = F.array(*(F.lit(r.kind) for r in rules))
@@ -170,7 +189,8 @@ def redact(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", m
             ),
         ).otherwise(F.concat(done, F.array(F.struct(s["start"].alias("start"), s["end"].alias("end"))))),
     )
-    cuts = findings.select("blob", F.coalesce(merged, empty).alias("cuts"))
+    cuts = staged(findings.select("blob", F.coalesce(merged, empty).alias("cuts")), "secrets-cuts")
+    cuts = broadcast_if_small(cuts, cuts.agg(F.count("*") + F.coalesce(F.sum(F.size("cuts")), F.lit(0))).first()[0])  # blobs and cuts
     rows = packed(docs, text=F.col(text_col), key=F.sha2(text_of(text_col), 256))
     cut = rows.join(cuts, F.col("key") == F.col("blob"), "left").withColumn(
         "pieces",
