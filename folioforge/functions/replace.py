@@ -13,6 +13,10 @@ ANGLE = r"(?iu)<\s*(?:PROTECT|PROTEGER)\s*[_:\-\s]*?([^>]+?)\s*>"
 BARE = r"(?iu)\b(?:PROTECT|PROTEGER)\s*[_:\-\s]*?([^>\n]*?_\d+)(?U)\b"
 
 
+#: Up to so many rules become nested expressions; more are folded over an array, which keeps the plan flat.
+NESTED = 150
+
+
 def longest_first(rules: list[tuple[str, str]]) -> list[tuple[str, str]]:
     return sorted(rules, key=lambda r: -len(r[0]))
 
@@ -40,13 +44,19 @@ def replace_terms(c: Column, rules: list[tuple[str, str]], *, boundary: str = "w
     boundary "word" wants \b on both sides, "around" wants no word character next to the term (which
     differs for terms that begin or end in punctuation), "none" takes every occurrence.
     """
-    for term, text in longest_first(rules):
-        if boundary == "none":
-            c = F.replace(c, F.lit(term), F.lit(text))
-        else:
-            left, right = (r"\b", r"\b") if boundary == "word" else (r"(?<!\w)", r"(?!\w)")
-            c = F.regexp_replace(c, f"(?U){left}{quoted(term)}{right}", as_replacement(text))
-    return c
+    left, right = {"word": (r"\b", r"\b"), "around": (r"(?<!\w)", r"(?!\w)"), "none": ("", "")}[boundary]
+    ordered = longest_first(rules)
+    pairs = ordered if boundary == "none" else [(f"(?U){left}{quoted(t)}{right}", as_replacement(x)) for t, x in ordered]
+
+    def one(text: Column, find: Column, put: Column) -> Column:
+        return F.replace(text, find, put) if boundary == "none" else F.regexp_replace(text, find, put)
+
+    if len(pairs) <= NESTED:  # literal patterns are compiled once
+        for find, put in pairs:
+            c = one(c, F.lit(find), F.lit(put))
+        return c
+    held = F.array(*(F.struct(F.lit(find).alias("find"), F.lit(put).alias("put")) for find, put in pairs))
+    return F.aggregate(held, c, lambda s, r: one(s, r["find"], r["put"]))
 
 
 def restore_exact(c: Column, restore: list[tuple[str, str]]) -> Column:
@@ -197,12 +207,18 @@ def fix_leaked(c: Column, names: list[tuple[str, str]], unsafe: set[str] = froze
 
     Without ``apply`` the text stays as it is for all counts, so nested names count again.
     """
-    text, fixes = c, F.lit(0)
-    for found, wanted in longest_first([(a, b) for a, b in names if a != b and len(a) > 2 and a not in unsafe]):
-        fixes = fixes + count_of(text, found)
-        if apply:
-            text = F.replace(text, F.lit(found), F.lit(wanted))
-    return F.struct(text.alias("text"), fixes.cast("long").alias("fixes"))
+    rules = longest_first([(a, b) for a, b in names if a != b and len(a) > 2 and a not in unsafe])
+    zero = F.struct(c.alias("text"), F.lit(0).cast("long").alias("fixes"))
+    if not rules:
+        return zero
+    held = F.array(*(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in rules))
+
+    def step(s: Column, r: Column) -> Column:
+        found = ((F.length(s["text"]) - F.length(F.replace(s["text"], r["a"], F.lit("")))) / F.length(r["a"])).cast("long")
+        text = F.replace(s["text"], r["a"], r["b"]) if apply else s["text"]
+        return F.struct(text.alias("text"), (s["fixes"] + found).alias("fixes"))
+
+    return F.aggregate(held, zero, step)
 
 
 def rotate_phrases(c: Column, phrases: list[tuple[str, list[str]]]) -> Column:
@@ -211,27 +227,28 @@ def rotate_phrases(c: Column, phrases: list[tuple[str, list[str]]]) -> Column:
     A phrase with two or more matches keeps its last one; the match k places before it takes variant
     (k - 1) modulo their number, with the case of the match's first letter.
     """
-    for phrase, variants in phrases:
-        c = _rotate(c, accent_insensitive(phrase), variants)
-    return c
+    if not phrases:
+        return c
+    held = F.array(
+        *(F.struct(F.lit(accent_insensitive(p)).alias("pattern"), F.array(*(F.lit(v) for v in vs)).alias("variants")) for p, vs in phrases)
+    )
+    return F.aggregate(held, c, lambda text, rule: _rotate(text, rule["pattern"], rule["variants"]))
 
 
-def _rotate(c: Column, pattern: str, variants: list[str]) -> Column:
-    pieces = F.split(c, pattern, -1)
-    found = F.regexp_extract_all(c, F.lit(pattern), F.lit(0))
+def _rotate(text: Column, pattern: Column, variants: Column) -> Column:
+    pieces, found = F.split(text, pattern, -1), F.regexp_extract_all(text, pattern, F.lit(0))
     n = F.size(found)
-    held = F.array(*(F.lit(v) for v in variants))
 
     def put(match: Column, i: Column) -> Column:
-        text = F.get(held, (n - 2 - i) % len(variants))
-        first, tail = F.substring(text, 1, 1), F.substring(text, 2, 1_000_000)
+        new = F.get(variants, (n - 2 - i) % F.size(variants))
+        first, tail = F.substring(new, 1, 1), F.substring(new, 2, 1_000_000)
         return (
             F.when(i == n - 1, match)
-            .when(match.rlike(r"^\p{Lu}") & text.rlike(r"^\p{Ll}"), F.concat(F.upper(first), tail))
-            .when(match.rlike(r"^\p{Ll}") & text.rlike(r"^\p{Lu}"), F.concat(F.lower(first), tail))
-            .otherwise(text)
+            .when(match.rlike(r"^\p{Lu}") & new.rlike(r"^\p{Ll}"), F.concat(F.upper(first), tail))
+            .when(match.rlike(r"^\p{Ll}") & new.rlike(r"^\p{Lu}"), F.concat(F.lower(first), tail))
+            .otherwise(new)
         )
 
     written = F.concat(F.transform(found, put), F.array(F.lit("")))
     joined = F.transform(F.arrays_zip(pieces.alias("a"), written.alias("b")), lambda z: F.concat(z["a"], z["b"]))
-    return F.when(n < 2, c).otherwise(F.array_join(joined, ""))
+    return F.when(n < 2, text).otherwise(F.array_join(joined, ""))

@@ -157,3 +157,13 @@ def test_null_and_empty_texts(spark):
     for value in (None, ""):
         df = spark.createDataFrame([(value,)], "t string")
         df.select(T.slugify(F.col("t")), T.cleanup_paragraph(F.col("t")), S.chapter(F.col("t")), R.rotate_phrases(F.col("t"), [("a", ["b"])]), T.keyword_contexts(F.col("t"), "a"), S.raw_chapter(F.col("t")), T.split_paragraphs(F.col("t"))).collect()
+
+
+def test_many_rules_and_phrases_keep_the_plan_flat(spark):
+    rules = [(f"term{i}", f"T{i}") for i in range(400)]
+    text = "term7 term399 xterm1 term39"
+    for boundary, want in (("word", "T7 T399 xterm1 T39"), ("around", "T7 T399 xterm1 T39"), ("none", "T7 T399 xT1 T39")):
+        assert one(spark, R.replace_terms(F.col("t"), rules, boundary=boundary), t=text) == want
+    assert one(spark, R.fix_leaked(F.col("t"), rules), t=text).fixes == 4
+    phrases = [(f"uno {i}", ["dos", "tres"]) for i in range(40)]
+    assert one(spark, R.rotate_phrases(F.col("t"), phrases), t="uno 3 uno 3 a uno 3") == "tres dos a uno 3"
