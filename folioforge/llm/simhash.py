@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folioforge.llm.common import SPACES, packed, staged, text_of
+from folioforge.llm.common import SPACES, broadcast_if_small, packed, staged, text_of
 from folioforge.llm.components import components
 
 SEED = 42
@@ -159,33 +159,27 @@ def hex_of(fp: Column) -> Column:
 
 # ---------------------------------------------------------------- near copies by similarity
 
+#: Buckets up to CROWDED nodes are compared pair by pair; in larger ones every node meets PIVOTS others.
+PIVOTS = 5
+CROWDED = 6
 
-#: Nodes of a bucket that a crowded bucket's nodes are compared with, on average.
-PIVOTS = 8
-CROWDED = 16
 
+def _text_keys(shingle: int):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            raw = [t.encode("utf-8", "surrogatepass") for t in batch["text"]]
+            words = [words_of(t) for t in batch["text"]]
+            yield pd.DataFrame(
+                {
+                    "id": batch["id"],
+                    "h1": np.array([xxhash.xxh64_intdigest(r, 1) for r in raw], dtype=np.uint64).view(np.int64),
+                    "h2": np.array([xxhash.xxh64_intdigest(r, 2) for r in raw], dtype=np.uint64).view(np.int64),
+                    "fp": np.array([majority(np.unique(shingle_hashes(w, 1))) for w in words], dtype=np.int64),
+                    "check": np.array([majority(np.unique(shingle_hashes(w, shingle))) for w in words], dtype=np.int64),
+                }
+            )
 
-def similar_pairs(nodes: DataFrame, radius: int, most_bits: int) -> DataFrame:
-    """Distinct candidate pairs (u, v), u < v, of (node, fp) rows: they share a bucket and differ in ``most_bits`` at most.
-
-    Buckets up to CROWDED give all their pairs. In a crowded bucket, which near copies of one text
-    make, every node meets the same few nodes, picked by hash; so the pairs are linear in the bucket,
-    and the copies hang together through those nodes, in this table or another.
-    """
-    masks = F.array(*(F.lit(m) for m in covering_masks(radius)))
-    placed = nodes.select("node", "fp", F.posexplode(F.transform(masks, lambda m: m.bitwiseAND(F.col("fp")))).alias("t", "key"))
-    sizes = placed.groupBy("t", "key").agg(F.count("*").alias("n")).where("n > 1")
-    buckets = staged(placed.join(sizes, ["t", "key"]), "simhash-tables", release=True)
-    ours = buckets.select("t", "key", "n", F.col("node").alias("u"), F.col("fp").alias("fu"))
-    theirs = buckets.select("t", "key", F.col("node").alias("v"), F.col("fp").alias("fv"))
-    pivots = buckets.where((F.col("n") > CROWDED) & (F.pmod(F.xxhash64("node", "t"), F.col("n")) < PIVOTS))
-    pivots = pivots.select("t", "key", F.col("node").alias("v"), F.col("fp").alias("fv"))
-    near = distance(F.col("fu"), F.col("fv")) <= most_bits
-    at = [F.col("a.t") == F.col("b.t"), F.col("a.key") == F.col("b.key")]
-    small = ours.where(F.col("n") <= CROWDED).alias("a").join(theirs.alias("b"), [*at, F.col("u") < F.col("v"), near])
-    large = ours.where(F.col("n") > CROWDED).alias("a").join(pivots.alias("b"), [*at, F.col("u") != F.col("v"), near])
-    both = small.select("u", "v").union(large.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")))
-    return both.distinct()
+    return run
 
 
 def _shingle_sets(size: int):
@@ -197,41 +191,79 @@ def _shingle_sets(size: int):
     return run
 
 
-def _text_keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        raw = [t.encode("utf-8", "surrogatepass") for t in batch["text"]]
-        yield pd.DataFrame(
-            {
-                "id": batch["id"],
-                "h1": np.array([xxhash.xxh64_intdigest(r, 1) for r in raw], dtype=np.uint64).view(np.int64),
-                "h2": np.array([xxhash.xxh64_intdigest(r, 2) for r in raw], dtype=np.uint64).view(np.int64),
-                "fp": np.array([fingerprint(t, 1, True) for t in batch["text"]], dtype=np.int64),
-            }
-        )
+def _tables(nodes: DataFrame, radius: int) -> DataFrame:
+    """(node, fp, check, t, key, n, least) of the nodes that share a bucket; least is the bucket's first node."""
+    masks = F.array(*(F.lit(m) for m in covering_masks(radius)))
+    placed = nodes.select("*", F.posexplode(F.transform(masks, lambda m: m.bitwiseAND(F.col("fp")))).alias("t", "key"))
+    sizes = placed.groupBy("t", "key").agg(F.count("*").alias("n"), F.min("node").alias("least")).where("n > 1")
+    return placed.join(sizes, ["t", "key"])
 
 
-def similar_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", radius: int = 5, most_bits: int = 8, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+def _alike(pairs: DataFrame, bare: DataFrame, shingle: int, similarity: float, name: str) -> DataFrame:
+    """The pairs (u, v) whose sets of shingles have the similarity. Only texts of nodes in pairs are read on.
+
+    Those nodes are counted: if few, they are broadcast and no text moves.
+    """
+    pairs = staged(pairs, f"{name}-pairs", release=True)
+    wanted = staged(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct(), f"{name}-nodes")
+    texts = bare.withColumnRenamed("id", "node").join(broadcast_if_small(wanted, wanted.count()), "node")
+    sets = staged(texts.mapInPandas(_shingle_sets(shingle), "node long, shingles array<int>").dropDuplicates(["node"]), f"{name}-sets", release=True)
+    a, b = sets.select(F.col("node").alias("u"), F.col("shingles").alias("a")), sets.select(F.col("node").alias("v"), F.col("shingles").alias("b"))
+    both = pairs.join(a, "u").join(b, "v").withColumn("shared", F.size(F.array_intersect("a", "b")))
+    enough = F.col("shared") >= similarity * (F.size("a") + F.size("b") - F.col("shared"))
+    return staged(both.where(enough & (F.col("shared") > 0)).select("u", "v"), f"{name}-links", release=True)
+
+
+def similar_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", radius: int = 5, bits: tuple[int, int] = (8, 20), shingle: int = 5, similarity: float = 0.8) -> DataFrame:
     """(id, group) for every distinct id: copies, and texts linked by a Jaccard similarity of their shingle sets.
 
-    Fingerprints are over the distinct words, in which near copies differ least; pairs within ``radius``
-    bits all meet, pairs up to ``most_bits`` meet often; every candidate is decided by its shingles.
+    Fingerprints are over the distinct words, in which near copies differ least. Pairs within ``radius``
+    bits all meet in a table, pairs up to bits[0] often. A second fingerprint, over the shingles, must
+    agree up to bits[1]; what is left is decided by the shingle sets themselves. Two rounds keep this
+    linear in a group of copies:
+
+    1. every node and the first node that any of its buckets offers;
+    2. pairs whose ends round 1 left in different groups: all of them in buckets up to CROWDED; in a
+       crowded bucket every node with the same PIVOTS nodes, picked by hash, and so with the groups they are in.
     """
     bare = docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text"))
-    rows = staged(bare.mapInPandas(_text_keys, "id long, h1 long, h2 long, fp long"), "similar-rows")
-    texts = rows.groupBy("h1", "h2").agg(F.min("id").alias("node"), F.first("fp").alias("fp"))
+    rows = staged(bare.mapInPandas(_text_keys(shingle), "id long, h1 long, h2 long, fp long, check long"), "similar-rows")
+    texts = rows.groupBy("h1", "h2").agg(F.min("id").alias("node"), F.min("fp").alias("fp"), F.min("check").alias("check"))
     nodes = staged(texts.where("node is not null"), "similar-nodes")
-    pairs = staged(similar_pairs(nodes.select("node", "fp"), radius, most_bits), "similar-pairs", release=True)
-    wanted = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct()
-    sets = staged(
-        bare.withColumnRenamed("id", "node").join(wanted, "node").mapInPandas(_shingle_sets(shingle), "node long, shingles array<int>").dropDuplicates(["node"]),
-        "similar-shingles",
-        release=True,
-    )
-    a, b = sets.select(F.col("node").alias("u"), F.col("shingles").alias("a")), sets.select(F.col("node").alias("v"), F.col("shingles").alias("b"))
-    shared = F.size(F.array_intersect("a", "b"))
-    alike = F.col("shared") >= similarity * (F.size("a") + F.size("b") - F.col("shared"))
-    links = pairs.join(a, "u").join(b, "v").withColumn("shared", shared).where(alike & (F.col("shared") > 0)).select("u", "v")
-    found = components(links).withColumnRenamed("component", "group")
+    tables = staged(_tables(nodes.select("node", "fp", "check"), radius), "similar-tables", release=True)
+
+    def near(a: str, b: str) -> Column:
+        return (distance(F.col(f"{a}.fp"), F.col(f"{b}.fp")) <= bits[0]) & (distance(F.col(f"{a}.check"), F.col(f"{b}.check")) <= bits[1])
+
+    first = tables.select("node", "fp", "check", "least").where("node > least").distinct().alias("x")
+    owner = nodes.select(F.col("node").alias("least"), "fp", "check").alias("y")
+    met = first.join(owner, (F.col("x.least") == F.col("y.least")) & near("x", "y"))
+    round_1 = met.groupBy(F.col("x.node").alias("v")).agg(F.min("y.least").alias("u")).select("u", "v")
+    links = _alike(round_1, bare, shingle, similarity, "similar-1")
+    group = components(links).withColumnRenamed("component", "group")
+
+    grouped = tables.drop("least").join(group, "node", "left").withColumn("group", F.coalesce("group", "node"))
+    mixed = grouped.groupBy("t", "key").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low < high").select("t", "key")
+    placed = staged(grouped.join(mixed, ["t", "key"]), "similar-mixed", release=True)
+    x, y = placed.where(F.col("n") <= CROWDED).alias("x"), placed.where(F.col("n") <= CROWDED).alias("y")
+    same = (F.col("x.t") == F.col("y.t")) & (F.col("x.key") == F.col("y.key"))
+    small = x.join(y, same & (F.col("x.group") != F.col("y.group")) & (F.col("x.node") < F.col("y.node")) & near("x", "y"))
+
+    crowd = placed.where(F.col("n") > CROWDED)
+    offered = F.struct("node", "group", "fp", "check")
+    pivots = crowd.groupBy("t", "key").agg(*(F.min_by(offered, F.xxhash64("node", F.lit(k))).alias(f"p{k}") for k in range(PIVOTS)))
+    pivots = pivots.select("t", "key", F.array(*(f"p{k}" for k in range(PIVOTS))).alias("pivots")).alias("y")
+
+    def suits(p: Column) -> Column:
+        close = (distance(p["fp"], F.col("x.fp")) <= bits[0]) & (distance(p["check"], F.col("x.check")) <= bits[1])
+        return (p["group"] != F.col("x.group")) & close
+
+    chosen = F.array_distinct(F.transform(F.filter("pivots", suits), lambda p: p["node"]))
+    large = crowd.alias("x").join(pivots, same).select(F.col("x.node").alias("a"), F.explode(chosen).alias("b"))
+    round_2 = small.select(F.col("x.node").alias("u"), F.col("y.node").alias("v")).union(large.select(F.least("a", "b"), F.greatest("a", "b"))).distinct()
+    more = _alike(round_2, bare, shingle, similarity, "similar-2")
+
+    found = components(links.union(more)).withColumnRenamed("component", "group")
     by_text = nodes.select("h1", "h2", "node").join(found, "node", "left").select("h1", "h2", F.coalesce("group", "node").alias("group"))
     return rows.join(by_text, ["h1", "h2"], "left").select(F.col("id").alias(id_col), "group").distinct()
 
@@ -239,10 +271,17 @@ def similar_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
 def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """The document with the least id of each group, columns unchanged; of rows that repeat an id, one.
 
-    Rows without id have no place in a group's order and stay.
+    Rows without id have no place in a group's order and stay. The ids to remove are counted: if few,
+    they are broadcast and no text moves.
     """
-    groups = similar_groups(docs, id_col=id_col, text_col=text_col, **how)
-    first = groups.where(F.col(id_col) == F.col("group")).select(F.col(id_col).alias("first")).distinct()
+    groups = similar_groups(docs, id_col=id_col, text_col=text_col, **how).where(F.col(id_col).isNotNull())
+    gone = staged(groups.groupBy(F.col(id_col).alias("gone")).agg(F.min("group").alias("group")).where("gone > `group`").select("gone"), "similar-gone")
+    again = staged(docs.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).cast("long").alias("again")).agg(F.count("*").alias("n")).where("n > 1").select("again"), "similar-again")
     rows = packed(docs, key=F.col(id_col).cast("long"))
-    stay = rows.join(first, F.col("key") == F.col("first")).dropDuplicates(["key"]).select("row.*")
-    return stay.unionByName(docs.where(F.col(id_col).isNull()))
+    rows = rows.join(broadcast_if_small(gone, gone.count()), F.col("key") == F.col("gone"), "left_anti")
+    repeated = again.count()
+    if not repeated:
+        return rows.select("row.*")
+    held = broadcast_if_small(again, repeated)
+    once = rows.join(held, F.col("key") == F.col("again"), "left_anti")
+    return once.union(rows.join(held, F.col("key") == F.col("again"), "left_semi").dropDuplicates(["key"])).select("row.*")
