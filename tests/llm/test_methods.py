@@ -40,6 +40,7 @@ def cases(prose):
         7: (" ".join(ITEM.split()[:8]) + " " + filler, []),
         8: (f"{filler}\n{ITEM.upper()}\n{filler}", []),
         9: ("A B C D E F G H I J " * 50, []),
+        10: (f"{filler} {' '.join(ITEM.split()[3:21])} {filler}", [1]),
     }
 
 
