@@ -40,7 +40,7 @@ def cases(prose):
         7: (" ".join(ITEM.split()[:8]) + " " + filler, []),
         8: (f"{filler}\n{ITEM.upper()}\n{filler}", []),
         9: ("A B C D E F G H I J " * 50, []),
-        10: (f"{filler} {' '.join(ITEM.split()[3:21])} {filler}", [1]),
+        10: (f"{filler} {' '.join(prose(60, 77).split()[20:38])} {filler}", [5]),
     }
 
 
@@ -48,7 +48,7 @@ def cases(prose):
 def test_contamination(documents, prose, spark, monkeypatch, most):
     if most is not None:
         monkeypatch.setattr(decontaminate, "MOST_WINDOWS", most)
-    items = spark.createDataFrame([(1, ITEM), (2, None), (3, "12 12 12"), (4, "")], "item_id long, text string")
+    items = spark.createDataFrame([(1, ITEM), (2, None), (3, "12 12 12"), (4, ""), (5, prose(60, 77))], "item_id long, text string")
     want = cases(prose)
     docs = documents([(i, t) for i, (t, _) in want.items()] + [(1, want[1][0])])
     got = {r.doc_id: (r["items"], r.contaminated) for r in decontaminate.contamination(docs, items).collect()}
