@@ -224,3 +224,15 @@ def test_nulls_in_any_column(spark, documents, prose):
     assert warc.resolve_revisits(warc.records_of_pages(pages)).count() == 3
     labels = spark.createDataFrame([(None, None, None), (big, None, 1), (None, 1, None)], "doc_id long, quality int, toxic int")
     assert quality_rules.fit(docs, labels) == []
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_empty_tables(spark, tmp_path, name):
+    for table, schema in {
+        "documents": "doc_id long, text string, lang string, source string, n_chars long",
+        "labels": "doc_id long, quality int, toxic int",
+        "benchmark": "item_id long, text string",
+        "pages": "page_id long, url string, html string",
+    }.items():
+        spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/{table}.parquet")
+    assert QUERIES[name](spark, str(tmp_path)).collect() == []
