@@ -13,13 +13,17 @@ SPACE = r"[\s\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\
 CJK = r"[\x{4e00}-\x{9fff}\x{3400}-\x{4dbf}]+"
 
 
+#: The characters of SPACE one by one, for trims.
+BLANKS = "".join(chr(i) for i in [*range(9, 14), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000])
+
+
 def strip(c: Column) -> Column:
-    """Both ends without Unicode white space; Spark's trim knows only the space."""
-    return F.regexp_replace(c, f"^{SPACE}+|{SPACE}+$", "")
+    """Both ends without Unicode white space; Spark's trim alone knows only the space."""
+    return F.btrim(c, F.lit(BLANKS))
 
 
 def rstrip(c: Column) -> Column:
-    return F.regexp_replace(c, f"{SPACE}+$", "")
+    return F.rtrim(c, F.lit(BLANKS))
 
 
 def squeeze(c: Column) -> Column:
