@@ -159,9 +159,12 @@ def hex_of(fp: Column) -> Column:
 
 # ---------------------------------------------------------------- near copies by similarity
 
-#: Buckets up to CROWDED nodes are compared pair by pair; in larger ones every node meets PIVOTS others.
-PIVOTS = 5
-CROWDED = 6
+#: Shingles that stand in COMMON or more of about SAMPLE texts come last in the order of shingles, at most MOST_COMMON of them.
+SAMPLE = 20_000
+COMMON = 3
+MOST_COMMON = 100_000
+#: Words of 64 bits in the parity sketch of a set of shingles.
+SKETCH = 4
 
 
 def _text_keys(shingle: int):
@@ -214,17 +217,105 @@ def _alike(pairs: DataFrame, bare: DataFrame, shingle: int, similarity: float, n
     return staged(both.where(enough & (F.col("shared") > 0)).select("u", "v"), f"{name}-links", release=True)
 
 
+def _common_shingles(bare: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes, sorted, and counts of the commonest shingles of a sample of the texts, by the order of the ids' hash."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            sets = [np.unique(shingle_hashes(words_of(t), size)).view(np.int64) for t in batch["text"]]
+            yield pd.DataFrame({"key": np.concatenate([*sets, np.zeros(0, dtype=np.int64)])})
+
+    every = max(1, bare.count() // SAMPLE)
+    sample = bare.where(F.pmod(F.xxhash64("id"), F.lit(every)) == 0)
+    counts = sample.mapInPandas(run, "key long").groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") >= COMMON)
+    held = counts.orderBy(F.desc("n"), "key").limit(MOST_COMMON).collect()
+    keys, n = np.array([r.key for r in held], dtype=np.int64).view(np.uint64), np.array([r.n for r in held], dtype=np.int64)
+    order = np.argsort(keys)
+    return keys[order], n[order]
+
+
+def prefix(hashes: np.ndarray, common: tuple[np.ndarray, np.ndarray], similarity: float) -> np.ndarray:
+    """The first of a set's shingles in the order of all shingles, rare ones first.
+
+    Of two sets with the similarity, each has at least ``similarity`` of its shingles in the other, so
+    the least shingle they share is among the first n - ceil(similarity * n) + 1 of either. This holds in
+    any order; the common ones come last to keep the buckets small.
+    """
+    keys, n = common
+    rank = np.zeros(len(hashes), dtype=np.int64)
+    if len(keys):
+        at = np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)
+        rank = np.where(keys[at] == hashes, n[at], 0)
+    size = len(hashes) - int(np.ceil(similarity * len(hashes) - 1e-9)) + 1
+    return hashes[np.lexsort((hashes, rank))[:size]]
+
+
+def sketch(hashes: np.ndarray) -> np.ndarray:
+    """For each of 64 * SKETCH classes whether it has an odd number of hashes. Sketches of two sets differ
+    in at most as many bits as the sets differ in members."""
+    odd = np.bincount((hashes % np.uint64(64 * SKETCH)).astype(np.int64), minlength=64 * SKETCH) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def _prefixes(shingle: int, similarity: float, common):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            sets = [np.unique(shingle_hashes(words_of(t), shingle)) for t in batch["text"]]
+            yield pd.DataFrame(
+                {
+                    "node": batch["id"],
+                    "size": np.array([len(s) for s in sets], dtype=np.int32),
+                    "sketch": [sketch(s) for s in sets],
+                    "keys": [prefix(s, common.value, similarity).view(np.int64) if len(s) else np.zeros(0, dtype=np.int64) for s in sets],
+                }
+            )
+
+    return run
+
+
+def _prefix_pairs(bare: DataFrame, groups: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """Pairs u < v of nodes of different groups, among them every such pair with the similarity.
+
+    ``groups``: node, group. Nodes meet by the shingles of their prefixes. Only buckets with over one
+    group are looked at, and there only pairs with an end outside the bucket's largest group, so a large
+    group of copies costs its size times the number of strangers. Pairs are dropped whose sizes, places
+    of the shared shingle or sketches rule the similarity out.
+    """
+    common = bare.sparkSession.sparkContext.broadcast(_common_shingles(bare, shingle))
+    made = bare.where("id is not null").mapInPandas(_prefixes(shingle, similarity, common), "node long, size int, sketch array<long>, keys array<long>")
+    made = staged(made.join(groups, "node").distinct(), "similar-prefixes", release=True)
+    placed = made.select("node", "size", "group", F.posexplode("keys").alias("pos", "key"))
+    mixed = placed.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low < high").select("key")
+    mixed = staged(mixed, "similar-mixed", release=True)
+    met = staged(placed.join(broadcast_if_small(mixed, mixed.count()), "key"), "similar-met", release=True)
+    largest = met.groupBy("key", "group").agg(F.count("*").alias("n")).groupBy("key").agg(F.max_by("group", F.struct("n", "group")).alias("largest"))
+    full = met.join(made.select("node", "size", "sketch").distinct(), ["node", "size"]).select("key", F.struct("node", "group", "size", "pos", "sketch").alias("y"))
+    strangers = full.join(largest, "key").where(F.col("y.group") != F.col("largest")).select("key", F.col("y").alias("x"))
+    both = F.col("x.size") + F.col("y.size")
+    apart = sum((distance(F.col("x.sketch")[k], F.col("y.sketch")[k]) for k in range(1, SKETCH)), distance(F.col("x.sketch")[0], F.col("y.sketch")[0]))
+    allowed = (
+        (F.col("x.group") != F.col("y.group"))
+        & (F.least("x.size", "y.size") >= similarity * F.greatest("x.size", "y.size") - 1e-6)
+        & (F.least(F.col("x.size") - F.col("x.pos"), F.col("y.size") - F.col("y.pos")) * (1 + similarity) >= similarity * both - 1e-6)
+        & (apart * (1 + similarity) <= (1 - similarity) * both + 1e-6)
+    )
+    pairs = strangers.join(full, "key").where(allowed)
+    return pairs.select(F.least("x.node", "y.node").alias("u"), F.greatest("x.node", "y.node").alias("v")).distinct()
+
+
 def similar_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", radius: int = 5, bits: tuple[int, int] = (8, 20), shingle: int = 5, similarity: float = 0.8) -> DataFrame:
     """(id, group) for every distinct id: copies, and texts linked by a Jaccard similarity of their shingle sets.
 
-    Fingerprints are over the distinct words, in which near copies differ least. Pairs within ``radius``
-    bits all meet in a table, pairs up to bits[0] often. A second fingerprint, over the shingles, must
-    agree up to bits[1]; what is left is decided by the shingle sets themselves. Two rounds keep this
-    linear in a group of copies:
+    Two rounds:
+
+    1. Fingerprints over the distinct words, in which near copies differ least, meet in covering tables:
+       every node and the first node that any of its buckets offers, where fingerprints differ in up to
+       bits[0] and those over the shingles in up to bits[1] bits. This joins most of a large group of
+       copies in time linear in its size, and loses links; none of it decides what round 2 sees but the groups.
+    2. Every pair that the similarity allows and that round 1 left in different groups, by ``_prefix_pairs``.
 
-    1. every node and the first node that any of its buckets offers;
-    2. pairs whose ends round 1 left in different groups: all of them in buckets up to CROWDED; in a
-       crowded bucket every node with the same PIVOTS nodes, picked by hash, and so with the groups they are in.
+    In both the sets of shingles decide. A pair that round 2 doesn't look at is in one group or below the
+    similarity, so the groups are those of all pairs.
     """
     bare = docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text"))
     rows = staged(bare.mapInPandas(_text_keys(shingle), "id long, h1 long, h2 long, fp long, check long"), "similar-rows")
@@ -242,25 +333,8 @@ def similar_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     links = _alike(round_1, bare, shingle, similarity, "similar-1")
     group = components(links).withColumnRenamed("component", "group")
 
-    grouped = tables.drop("least").join(group, "node", "left").withColumn("group", F.coalesce("group", "node"))
-    mixed = grouped.groupBy("t", "key").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low < high").select("t", "key")
-    placed = staged(grouped.join(mixed, ["t", "key"]), "similar-mixed", release=True)
-    x, y = placed.where(F.col("n") <= CROWDED).alias("x"), placed.where(F.col("n") <= CROWDED).alias("y")
-    same = (F.col("x.t") == F.col("y.t")) & (F.col("x.key") == F.col("y.key"))
-    small = x.join(y, same & (F.col("x.group") != F.col("y.group")) & (F.col("x.node") < F.col("y.node")) & near("x", "y"))
-
-    crowd = placed.where(F.col("n") > CROWDED)
-    offered = F.struct("node", "group", "fp", "check")
-    pivots = crowd.groupBy("t", "key").agg(*(F.min_by(offered, F.xxhash64("node", F.lit(k))).alias(f"p{k}") for k in range(PIVOTS)))
-    pivots = pivots.select("t", "key", F.array(*(f"p{k}" for k in range(PIVOTS))).alias("pivots")).alias("y")
-
-    def suits(p: Column) -> Column:
-        close = (distance(p["fp"], F.col("x.fp")) <= bits[0]) & (distance(p["check"], F.col("x.check")) <= bits[1])
-        return (p["group"] != F.col("x.group")) & close
-
-    chosen = F.array_distinct(F.transform(F.filter("pivots", suits), lambda p: p["node"]))
-    large = crowd.alias("x").join(pivots, same).select(F.col("x.node").alias("a"), F.explode(chosen).alias("b"))
-    round_2 = small.select(F.col("x.node").alias("u"), F.col("y.node").alias("v")).union(large.select(F.least("a", "b"), F.greatest("a", "b"))).distinct()
+    ids = nodes.select("node").distinct().join(group, "node", "left").select("node", F.coalesce("group", "node").alias("group"))
+    round_2 = _prefix_pairs(bare, staged(ids, "similar-groups"), shingle, similarity)
     more = _alike(round_2, bare, shingle, similarity, "similar-2")
 
     found = components(links.union(more)).withColumnRenamed("component", "group")

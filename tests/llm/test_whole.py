@@ -1,0 +1,44 @@
+"""Cases that an earlier version left out."""
+
+import random
+
+from folioforge.llm import simhash
+from test_methods import plain_similar
+
+
+def groups_of(docs):
+    return {r.doc_id: r.group for r in simhash.similar_groups(docs).collect()}
+
+
+def test_crowded_groups_lose_no_pair(documents, prose):
+    """A dense family of chains: neighbours are near copies, the ends aren't; all are close in fingerprint."""
+    rng = random.Random(3)
+    base = prose(400, 1).split()
+    texts = {}
+    for chain in range(40):
+        words = list(base)
+        for k in rng.sample(range(400), 14):
+            words[k] = f"c{chain}x{k}"
+        for step in range(4):
+            texts[chain * 10 + step] = " ".join(words)
+            for k in rng.sample(range(400), 7):
+                words[k] = f"c{chain}s{step}x{k}"
+    assert groups_of(documents(list(texts.items()))) == plain_similar(texts)
+
+
+def test_prefixes_of_similar_sets_meet():
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    for n in (1, 2, 4, 5, 9, 50, 331):
+        for _ in range(40):
+            a = np.unique(rng.integers(0, 2**63, n, dtype=np.uint64))
+            b = np.unique(np.concatenate((a[: int(np.ceil(0.9 * n))], rng.integers(0, 2**63, n // 10, dtype=np.uint64))))
+            shared = len(np.intersect1d(a, b))
+            if shared < 0.8 * (len(a) + len(b) - shared):
+                continue
+            keys = np.unique(rng.choice(a, max(1, n // 2)))
+            common = keys, rng.integers(3, 9, len(keys))
+            assert set(simhash.prefix(a, common, 0.8).tolist()) & set(simhash.prefix(b, common, 0.8).tolist())
+            apart = np.bitwise_count((simhash.sketch(a) ^ simhash.sketch(b)).view(np.uint64)).sum()
+            assert apart <= len(a) + len(b) - 2 * shared
