@@ -26,6 +26,19 @@ def test_crowded_groups_lose_no_pair(documents, prose):
     assert groups_of(documents(list(texts.items()))) == plain_similar(texts)
 
 
+def test_similar_short_texts_far_apart_in_bits(documents, prose):
+    """In short texts with repeated words one edit flips many bits of a fingerprint."""
+    texts = {}
+    for i in range(60):
+        words = (prose(8, i) + " " + prose(40, 1000 + i, size=12)).split()
+        texts[2 * i] = " ".join(words)
+        texts[2 * i + 1] = " ".join([*words[:-1], "zebra", "quagga"])
+    want = plain_similar(texts)
+    fps = {i: simhash.fingerprint(t, 5, distinct_words=True) for i, t in texts.items()}
+    far = [i for i in texts if want[i] != i and bin((fps[i] ^ fps[want[i]]) % 2**64).count("1") > 8]
+    assert far and groups_of(documents(list(texts.items()))) == want
+
+
 def test_prefixes_of_similar_sets_meet():
     import numpy as np
 
