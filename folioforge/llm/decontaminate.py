@@ -227,18 +227,27 @@ def find_items(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id",
 def _find_by_shuffle(bare: DataFrame, items: DataFrame, width: int, coverage: float) -> DataFrame:
     """The same for item tables of any size: window hashes meet in a shuffle join, then candidate pairs are matched."""
 
-    def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        templates = Templates()
-        for batch in batches:
-            rows = []
-            for i, t in zip(batch.iloc[:, 0], batch.iloc[:, 1], strict=True):
-                _, hashes = windows(templates.make(t), width)
-                rows += [(i, int(h)) for h in np.unique(hashes.view(np.int64))]
-            yield pd.DataFrame(rows, columns=["i", "h"])
-
-    ours = items.mapInPandas(hashed, "i long, h long")
-    theirs = bare.mapInPandas(hashed, "i long, h long").withColumnRenamed("i", "id")
-    pairs = theirs.join(ours, "h").select("id", "i").distinct()
+    def hashed(widths: list[int] | None):
+        """(i, w, h): windows of items, as wide as the item allows, or of documents at each of the items' widths."""
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            templates = Templates()
+            for batch in batches:
+                rows = []
+                for i, t in zip(batch.iloc[:, 0], batch.iloc[:, 1], strict=True):
+                    made = templates.make(t)
+                    for w in [min(width, len(made))] if widths is None else widths:
+                        if 0 < w <= len(made):
+                            _, hashes = windows(made, w)
+                            rows += [(i, w, int(h)) for h in np.unique(hashes.view(np.int64))]
+                yield pd.DataFrame(rows, columns=["i", "w", "h"])
+
+        return run
+
+    ours = staged(items.mapInPandas(hashed(None), "i long, w int, h long"), "decontaminate-items")
+    widths = sorted(r.w for r in ours.select("w").distinct().collect())  # at most ``width`` of them
+    theirs = bare.mapInPandas(hashed(widths), "i long, w int, h long").withColumnRenamed("i", "id")
+    pairs = theirs.join(ours, ["w", "h"]).select("id", "i").distinct()
 
     def match(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

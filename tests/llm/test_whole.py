@@ -2,7 +2,9 @@
 
 import random
 
-from folioforge.llm import simhash
+import pytest
+
+from folioforge.llm import decontaminate, simhash
 from test_methods import plain_similar
 
 
@@ -55,3 +57,14 @@ def test_prefixes_of_similar_sets_meet():
             assert set(simhash.prefix(a, common, 0.8).tolist()) & set(simhash.prefix(b, common, 0.8).tolist())
             apart = np.bitwise_count((simhash.sketch(a) ^ simhash.sketch(b)).view(np.uint64)).sum()
             assert apart <= len(a) + len(b) - 2 * shared
+
+
+@pytest.mark.parametrize("most", [None, 0])
+def test_short_items_in_long_documents(documents, prose, spark, monkeypatch, most):
+    if most is not None:
+        monkeypatch.setattr(decontaminate, "MOST_WINDOWS", most)
+    short = {n: " ".join(f"word{chr(97 + n)}{chr(97 + k)}" for k in range(n)) for n in range(1, 9)}
+    items = spark.createDataFrame(list(short.items()), "item_id long, text string")
+    docs = documents([(n, f"{prose(30, n)} {t} {prose(30, 100 + n)}") for n, t in short.items()] + [(20, prose(60, 20)), (21, "x")])
+    got = {r.doc_id: r["items"] for r in decontaminate.contamination(docs, items).collect()}
+    assert got == {n: [n] for n in short} | {20: [], 21: []}
