@@ -116,8 +116,9 @@ def scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", led
         .withColumnRenamed("blob", "_blob")
         .join(picked, F.col("_first").eqNullSafe(F.col("_id")) & (F.col("blob") == F.col("_blob")))
         .select("blob", F.col("held").alias("text"))
+        .dropDuplicates(["blob"])  # a repeated row can hold the blob's first id too
     )
-    found = matches(texts, rules).distinct()  # a repeated row with the same id is one path
+    found = matches(texts, rules)
     found = staged(found, "secrets-found")
     fresh = blobs.select("blob").join(found, "blob", "left").select(
         "blob", F.lit(rule_version).alias("rule_version"), F.coalesce("kind", F.lit(-1)).alias("kind"), "start", "end"
