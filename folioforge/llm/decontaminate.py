@@ -2,8 +2,11 @@
 
 Texts become templates: words are lower-cased and stripped of punctuation, and numbers, units and names
 become typed placeholders, <NUM>, <UNIT> and <NAME>. A window of ``width`` template tokens is hashed;
-windows with fewer than half literal words are left out, since placeholders alone say nothing. Items
-shorter than a window are one window. The windows of documents are joined to those of the items by hash.
+windows with fewer than half literal words are left out, since placeholders alone say nothing. Windows
+of the words themselves are hashed too, whatever they are: those of items as written and in lower case,
+those of documents as written, so that verbatim and lower-cased copies are found where slots are many or
+names are spelt as other words. Items shorter than a window are one window. The windows of documents
+are joined to those of the items by hash.
 
 Matching windows of a document and an item that lie on one diagonal (document position minus item
 position) are one alignment. Along it every slot must be filled consistently: the k-th value of a
@@ -16,7 +19,7 @@ broadcast; beyond it the documents' windows are joined by shuffle. Either way a
 few rows: only windows that an item has leave the map side.
 
 Null and empty texts match nothing. Repeated rows share their id's result. Items that are null or have
-no literal word are ignored. With no items nothing matches.
+no word are ignored. With no items nothing matches.
 """
 
 from __future__ import annotations
@@ -50,16 +53,20 @@ NUMBER_WORDS = frozenset(
 )
 _TOKEN = re.compile(r"[$€£]?\d[\d.,:/]*%?|[^\W_]+(?:['’][^\W\d_]+)*|[.!?]+|\n")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
+_LOW = np.uint64((1 << 20) - 1)
 _END, _NUM, _UNIT, _CAP = 1, 2, 4, 8
 
 
 class Template:
-    """A text's template: ``slots`` says for each token whether it is literal (0) or which of SLOTS (1..3)."""
+    """A text's template: ``slots`` says for each token whether it is literal (0) or which of SLOTS (1..3).
 
-    __slots__ = ("hashes", "kept", "slots", "words")
+    ``hashes`` are the template's, ``written`` and ``lower`` those of the words as written and in lower case.
+    """
+
+    __slots__ = ("hashes", "kept", "lower", "slots", "words", "written")
 
-    def __init__(self, words: list[str], kept: np.ndarray, slots: np.ndarray, hashes: np.ndarray):
-        self.words, self.kept, self.slots, self.hashes = words, kept, slots, hashes
+    def __init__(self, words: list[str], kept: np.ndarray, slots: np.ndarray, hashes: np.ndarray, written: np.ndarray, lower: np.ndarray):
+        self.words, self.kept, self.slots, self.hashes, self.written, self.lower = words, kept, slots, hashes, written, lower
 
     def __len__(self) -> int:
         return len(self.slots)
@@ -85,11 +92,11 @@ class Templates:
 
     def forget(self) -> None:
         self.known = _Numbers(self._learn)
-        self.flags, self.word_hashes = np.zeros(1 << 12, dtype=np.int8), np.zeros(1 << 12, dtype=np.uint64)
+        self.flags, self.word_hashes, self.raw_hashes = np.zeros(1 << 12, dtype=np.int8), np.zeros(1 << 12, dtype=np.uint64), np.zeros(1 << 12, dtype=np.uint64)
 
     def _learn(self, word: str, number: int) -> None:
         if number >= len(self.flags):
-            self.flags, self.word_hashes = np.concatenate((self.flags, np.zeros_like(self.flags))), np.concatenate((self.word_hashes, np.zeros_like(self.word_hashes)))
+            self.flags, self.word_hashes, self.raw_hashes = (np.concatenate((a, np.zeros_like(a))) for a in (self.flags, self.word_hashes, self.raw_hashes))
         low, c = word.lower(), word[0]
         flags = 0
         if c in ".!?\n":
@@ -100,6 +107,7 @@ class Templates:
             flags = _UNIT * (low in UNITS) + _CAP * (c.isupper() and not word.isupper())
         self.flags[number] = flags
         self.word_hashes[number] = xxhash.xxh64_intdigest(low, 11)
+        self.raw_hashes[number] = self.word_hashes[number] if low == word else xxhash.xxh64_intdigest(word, 11)
 
     def make(self, text: str) -> Template:
         if len(self.known) > self.MOST:
@@ -116,7 +124,8 @@ class Templates:
         unit = (flags & _UNIT > 0) & after
         name = (flags & _CAP > 0) & ~begins & ~unit
         slots = number + 2 * unit + 3 * name
-        return Template(words, kept, slots, np.where(slots > 0, self.slot_hashes[slots], self.word_hashes[ids[kept]]))
+        lower = self.word_hashes[ids[kept]]
+        return Template(words, kept, slots, np.where(slots > 0, self.slot_hashes[slots], lower), self.raw_hashes[ids[kept]], lower)
 
     def tokens(self, text: str) -> tuple[list[str], list[str]]:
         """Template tokens and the values they stand for."""
@@ -135,20 +144,30 @@ class _Numbers(dict):
         return number
 
 
-def windows(made: Template, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
-    """Positions and hashes of the windows with at least half literal words."""
+def _rolled(hashes: np.ndarray, width: int) -> np.ndarray:
+    last = len(hashes) - width + 1
+    rolled = np.zeros(last, dtype=np.uint64)
+    for k in range(width):
+        rolled = (rolled ^ hashes[k : k + last]) * _MIX
+        rolled ^= rolled >> np.uint64(29)
+    return rolled
+
+
+def windows(made: Template, width: int = WIDTH, *, item: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Positions and hashes of the template's windows with at least half literal words, and of all windows of
+    the words as written; for an item, in lower case too."""
     n = len(made)
     if not n:
         return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)
     width = min(width, n)
     last = n - width + 1
-    rolled = np.zeros(last, dtype=np.uint64)
-    for k in range(width):
-        rolled = (rolled ^ made.hashes[k : k + last]) * _MIX
-        rolled ^= rolled >> np.uint64(29)
     sums = np.concatenate(([0], np.cumsum(made.slots == 0)))
     ok = np.flatnonzero(2 * (sums[width:] - sums[:last]) >= width)
-    return ok, rolled[ok]
+    every = np.arange(last)
+    parts = [(ok, _rolled(made.hashes, width)[ok]), (every, _rolled(made.written, width))]
+    if item:
+        parts.append((every, _rolled(made.lower, width)))
+    return np.concatenate([p for p, _ in parts]), np.concatenate([h for _, h in parts])
 
 
 def consistent(pairs: list[tuple[str, str, str]]) -> bool:
@@ -166,12 +185,14 @@ class Matcher:
         at: dict[int, list[tuple[int, int]]] = {}
         for i, text in items:
             made = self.templates.make(text or "")
-            where, hashes = windows(made, width)
+            where, hashes = windows(made, width, item=True)
             self.items[i] = [made.token(k) for k in range(len(made))], [made.value(k) for k in range(len(made))]
-            for p, h in zip(where.tolist(), hashes.tolist(), strict=True):
+            for p, h in set(zip(where.tolist(), hashes.tolist(), strict=True)):
                 at.setdefault(h, []).append((i, p))
         self.at = at
         self.sorted = np.array(sorted(at), dtype=np.uint64)
+        self.maybe = np.zeros(1 << 20, dtype=bool)  # by the low bits; spares most windows the search
+        self.maybe[self.sorted & _LOW] = True
         self.widths = {min(width, len(t)) for t, _ in self.items.values() if t}
 
     def find(self, text: str) -> list[tuple[int, int]]:
@@ -184,6 +205,8 @@ class Matcher:
             where, hashes = windows(made, width) if len(made) >= width else ((), ())
             if not len(where):
                 continue
+            maybe = self.maybe[hashes & _LOW]
+            where, hashes = where[maybe], hashes[maybe]
             slot = np.minimum(np.searchsorted(self.sorted, hashes), len(self.sorted) - 1)
             for k in np.flatnonzero(self.sorted[slot] == hashes):
                 p = int(where[k])
@@ -238,7 +261,7 @@ def _find_by_shuffle(bare: DataFrame, items: DataFrame, width: int, coverage: fl
                     made = templates.make(t)
                     for w in [min(width, len(made))] if widths is None else widths:
                         if 0 < w <= len(made):
-                            _, hashes = windows(made, w)
+                            _, hashes = windows(made, w, item=widths is None)
                             rows += [(i, w, int(h)) for h in np.unique(hashes.view(np.int64))]
                 yield pd.DataFrame(rows, columns=["i", "w", "h"])
 

@@ -83,3 +83,21 @@ def test_repeated_rows_with_the_first_id_of_a_blob(documents):
             assert (r.n_assign, r.n_access, r.n_hex, [tuple(s) for s in r.spans]) == (1, 0, 0, [(0, 0, 15)])
     cut = {r.text for r in secrets.redact(documents(rows)).collect()}
     assert cut == {"é <SECRET> and <SECRET> then <SECRET>", "<SECRET> ok"}
+
+
+@pytest.mark.parametrize("most", [None, 0])
+def test_verbatim_items_of_slots(documents, prose, spark, monkeypatch, most):
+    if most is not None:
+        monkeypatch.setattr(decontaminate, "MOST_WINDOWS", most)
+    items = {
+        1: "12 + 7 = 19, 19 + 8 = 27, 27 + 15 = 42, 42 + 11 = 53, 53 + 6 = 59",
+        2: "in order Anna Maria Peter Paul Simon Andreas Jakob Thomas Lukas Markus Johanna Klara",
+        3: "der alte Mann ging mit Hund und Katze durch Wald und Feld bis zum Haus am Fluss",
+    }
+    table = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    docs = {i: (f"{prose(30, i)} so: {t} {prose(30, 10 + i)}", [i]) for i, t in items.items()}
+    docs |= {10 + i: (f"{prose(30, i)} so: {t.lower()} {prose(30, 10 + i)}", [i]) for i, t in items.items()}
+    docs[20] = (f"{prose(30, 1)} 12 + 7 = 18, 20 + 8 = 28, 28 + 15 = 43 {prose(30, 2)}", [])
+    docs[21] = (f"{prose(30, 3)} in order Otto Emil Max Karl Hans Fritz Kurt Ernst Willi Horst Heinz Georg", [])
+    got = {r.doc_id: r["items"] for r in decontaminate.contamination(documents([(i, t) for i, (t, _) in docs.items()]), table).collect()}
+    assert got == {i: found for i, (_, found) in docs.items()}
