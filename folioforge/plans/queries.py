@@ -127,7 +127,7 @@ def json_recovery(spark, d):
 @query("select doc_id, doc_id % 12 between 2 and 9 as split_part, regexp_replace(source || '_' || doc_id, '_\\d+\\b', '') as base from documents")
 def split_parts(spark, d):
     head = F.concat(F.lit("Part ("), F.col("doc_id") % 12, F.lit(")\n"), "text")
-    return _docs(spark, d).select("doc_id", T.is_split_part(F.concat(F.regexp_extract(head, r"^[^\n]*", 0), F.lit("\nx"))).alias("split_part"), T.drop_suffix_number(F.concat("source", F.lit("_"), "doc_id")).alias("base"))
+    return _docs(spark, d).select("doc_id", T.is_split_part(head).alias("split_part"), T.drop_suffix_number(F.concat("source", F.lit("_"), "doc_id")).alias("base"))
 
 
 @query("select doc_id, sum(length(x))::bigint as total, count(*) as n, max(length(x)) as longest from (select doc_id, unnest(" + _LINES + ") as x from documents) group by doc_id")
