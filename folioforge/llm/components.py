@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folioforge.llm.common import staged
+from folioforge.llm.common import discard, staged, stored
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -31,16 +31,21 @@ def components(edges: DataFrame, *, most_rounds: int = 60) -> DataFrame:
     empty result.
     """
     now = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct()
-    now = staged(now, "components-0")
+    spark = edges.sparkSession
+    now, path = stored(now, "components-0")
     mark = None
     for k in range(1, most_rounds + 1):
         large = _large_star(now).distinct()
-        now = staged(_small_star(large).distinct(), f"components-{k}")
+        now, new = stored(_small_star(large).distinct(), f"components-{k}")
+        discard(spark, path)
+        path = new
         seen = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if seen == mark:
             break
         mark = seen
     else:
         raise RuntimeError(f"components didn't settle in {most_rounds} rounds")
+    now = staged(now, "components")
+    discard(spark, path)
     roots = now.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return roots.union(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

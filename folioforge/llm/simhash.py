@@ -19,15 +19,12 @@ texts without words have fingerprint zero. Repeated rows share a node and a comp
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
-import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folioforge.llm.common import SPACES, broadcast_if_small, packed, staged, text_of
+from folioforge.llm.common import SPACES, broadcast_if_small, map_rows, packed, staged, text_of
 from folioforge.llm.components import components
 
 SEED = 42
@@ -79,13 +76,11 @@ def fingerprint(text: str, size: int, distinct_words: bool = False) -> int:
 def fingerprints(docs: DataFrame, *, id_col: str, text_col: str, shingle: int = 3, distinct_words: bool = False) -> DataFrame:
     """(id, fp) for every row."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            found = [fingerprint(t, shingle, distinct_words) for t in batch["text"]]
-            yield pd.DataFrame({"id": batch["id"], "fp": np.array(found, dtype=np.int64)})
+    def start():
+        return lambda texts: [[fingerprint(t, shingle, distinct_words) for t in texts]]
 
-    bare = docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text"))
-    return bare.mapInPandas(run, "id long, fp long")
+    bare = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
+    return map_rows(bare, ["id"], start, "fp long")
 
 
 def covering_masks(radius: int, seed: int = 7, bits: int = 64) -> list[int]:
@@ -168,30 +163,20 @@ SKETCH = 4
 
 
 def _text_keys(shingle: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            raw = [t.encode("utf-8", "surrogatepass") for t in batch["text"]]
-            words = [words_of(t) for t in batch["text"]]
-            yield pd.DataFrame(
-                {
-                    "id": batch["id"],
-                    "h1": np.array([xxhash.xxh64_intdigest(r, 1) for r in raw], dtype=np.uint64).view(np.int64),
-                    "h2": np.array([xxhash.xxh64_intdigest(r, 2) for r in raw], dtype=np.uint64).view(np.int64),
-                    "fp": np.array([majority(np.unique(shingle_hashes(w, 1))) for w in words], dtype=np.int64),
-                    "check": np.array([majority(np.unique(shingle_hashes(w, shingle))) for w in words], dtype=np.int64),
-                }
-            )
-
-    return run
+    def keys(texts: list[str]):
+        raw = [t.encode("utf-8", "surrogatepass") for t in texts]
+        words = [words_of(t) for t in texts]
+        h1, h2 = (np.array([xxhash.xxh64_intdigest(r, seed) for r in raw], dtype=np.uint64).view(np.int64) for seed in (1, 2))
+        return h1, h2, [majority(np.unique(shingle_hashes(w, 1))) for w in words], [majority(np.unique(shingle_hashes(w, shingle))) for w in words]
+
+    return lambda: lambda texts: list(keys(texts))
 
 
 def _shingle_sets(size: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            sets = [np.unique((shingle_hashes(words_of(t), size) >> np.uint64(32)).astype(np.uint32)).view(np.int32) for t in batch["text"]]
-            yield pd.DataFrame({"node": batch["node"], "shingles": sets})
+    def sets(texts: list[str]):
+        return [[np.unique((shingle_hashes(words_of(t), size) >> np.uint64(32)).astype(np.uint32)).view(np.int32) for t in texts]]
 
-    return run
+    return lambda: sets
 
 
 def _tables(nodes: DataFrame, radius: int) -> DataFrame:
@@ -210,7 +195,7 @@ def _alike(pairs: DataFrame, bare: DataFrame, shingle: int, similarity: float, n
     pairs = staged(pairs, f"{name}-pairs", release=True)
     wanted = staged(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct(), f"{name}-nodes")
     texts = bare.withColumnRenamed("id", "node").join(broadcast_if_small(wanted, wanted.count()), "node")
-    sets = staged(texts.mapInPandas(_shingle_sets(shingle), "node long, shingles array<int>").dropDuplicates(["node"]), f"{name}-sets", release=True)
+    sets = staged(map_rows(texts, ["node"], _shingle_sets(shingle), "shingles array<int>").dropDuplicates(["node"]), f"{name}-sets", release=True)
     a, b = sets.select(F.col("node").alias("u"), F.col("shingles").alias("a")), sets.select(F.col("node").alias("v"), F.col("shingles").alias("b"))
     both = pairs.join(a, "u").join(b, "v").withColumn("shared", F.size(F.array_intersect("a", "b")))
     enough = F.col("shared") >= similarity * (F.size("a") + F.size("b") - F.col("shared"))
@@ -220,14 +205,14 @@ def _alike(pairs: DataFrame, bare: DataFrame, shingle: int, similarity: float, n
 def _common_shingles(bare: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes, sorted, and counts of the commonest shingles of a sample of the texts, by the order of the ids' hash."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            sets = [np.unique(shingle_hashes(words_of(t), size)).view(np.int64) for t in batch["text"]]
-            yield pd.DataFrame({"key": np.concatenate([*sets, np.zeros(0, dtype=np.int64)])})
+    def keys(texts: list[str]):
+        sets = [np.unique(shingle_hashes(words_of(t), size)).view(np.int64) for t in texts]
+        whole = np.concatenate([*sets, np.zeros(0, dtype=np.int64)])
+        return np.zeros(len(whole), dtype=np.int64), [whole]
 
     every = max(1, bare.count() // SAMPLE)
     sample = bare.where(F.pmod(F.xxhash64("id"), F.lit(every)) == 0)
-    counts = sample.mapInPandas(run, "key long").groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") >= COMMON)
+    counts = map_rows(sample, [], lambda: lambda ids, texts: keys(texts), "key long").groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") >= COMMON)
     held = counts.orderBy(F.desc("n"), "key").limit(MOST_COMMON).collect()
     keys, n = np.array([r.key for r in held], dtype=np.int64).view(np.uint64), np.array([r.n for r in held], dtype=np.int64)
     order = np.argsort(keys)
@@ -258,19 +243,15 @@ def sketch(hashes: np.ndarray) -> np.ndarray:
 
 
 def _prefixes(shingle: int, similarity: float, common):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            sets = [np.unique(shingle_hashes(words_of(t), shingle)) for t in batch["text"]]
-            yield pd.DataFrame(
-                {
-                    "node": batch["id"],
-                    "size": np.array([len(s) for s in sets], dtype=np.int32),
-                    "sketch": [sketch(s) for s in sets],
-                    "keys": [prefix(s, common.value, similarity).view(np.int64) if len(s) else np.zeros(0, dtype=np.int64) for s in sets],
-                }
-            )
+    def start():
+        def made(texts: list[str]):
+            sets = [np.unique(shingle_hashes(words_of(t), shingle)) for t in texts]
+            first = [prefix(s, common.value, similarity).view(np.int64) if len(s) else np.zeros(0, dtype=np.int64) for s in sets]
+            return [[len(s) for s in sets], [sketch(s) for s in sets], first]
+
+        return made
 
-    return run
+    return start
 
 
 def _prefix_pairs(bare: DataFrame, groups: DataFrame, shingle: int, similarity: float) -> DataFrame:
@@ -282,7 +263,8 @@ def _prefix_pairs(bare: DataFrame, groups: DataFrame, shingle: int, similarity:
     of the shared shingle or sketches rule the similarity out.
     """
     common = bare.sparkSession.sparkContext.broadcast(_common_shingles(bare, shingle))
-    made = bare.where("id is not null").mapInPandas(_prefixes(shingle, similarity, common), "node long, size int, sketch array<long>, keys array<long>")
+    texts = bare.where("id is not null").withColumnRenamed("id", "node")
+    made = map_rows(texts, ["node"], _prefixes(shingle, similarity, common), "size int, sketch array<long>, keys array<long>")
     made = staged(made.join(groups, "node").distinct(), "similar-prefixes", release=True)
     placed = made.select("node", "size", "group", F.posexplode("keys").alias("pos", "key"))
     mixed = placed.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low < high").select("key")
@@ -317,8 +299,8 @@ def similar_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     In both the sets of shingles decide. A pair that round 2 doesn't look at is in one group or below the
     similarity, so the groups are those of all pairs.
     """
-    bare = docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text"))
-    rows = staged(bare.mapInPandas(_text_keys(shingle), "id long, h1 long, h2 long, fp long, check long"), "similar-rows")
+    bare = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
+    rows = staged(map_rows(bare, ["id"], _text_keys(shingle), "h1 long, h2 long, fp long, check long"), "similar-rows")
     texts = rows.groupBy("h1", "h2").agg(F.min("id").alias("node"), F.min("fp").alias("fp"), F.min("check").alias("check"))
     nodes = staged(texts.where("node is not null"), "similar-nodes")
     tables = staged(_tables(nodes.select("node", "fp", "check"), radius), "similar-tables", release=True)
@@ -350,8 +332,8 @@ def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     """
     groups = similar_groups(docs, id_col=id_col, text_col=text_col, **how).where(F.col(id_col).isNotNull())
     gone = staged(groups.groupBy(F.col(id_col).alias("gone")).agg(F.min("group").alias("group")).where("gone > `group`").select("gone"), "similar-gone")
-    again = staged(docs.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).cast("long").alias("again")).agg(F.count("*").alias("n")).where("n > 1").select("again"), "similar-again")
-    rows = packed(docs, key=F.col(id_col).cast("long"))
+    again = staged(docs.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("again")).agg(F.count("*").alias("n")).where("n > 1").select("again"), "similar-again")
+    rows = packed(docs, key=F.col(id_col))
     rows = rows.join(broadcast_if_small(gone, gone.count()), F.col("key") == F.col("gone"), "left_anti")
     repeated = again.count()
     if not repeated:
