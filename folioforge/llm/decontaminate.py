@@ -14,28 +14,29 @@ type in the item stands for one value in the document and the other way round, s
 questions match and texts that merely share a shape don't. An item is found in a document if an
 alignment that is consistent covers at least ``coverage`` of the item's tokens, or PASSAGE of them.
 
-The items' windows go to all executors when their number is below ``MOST_WINDOWS``, which bounds the
+The items go to all executors when their texts are below ``MOST_CHARACTERS``, which bounds the
 broadcast; beyond it the documents' windows are joined by shuffle. Either way a document's matches are
 few rows: only windows that an item has leave the map side.
 
-Null and empty texts match nothing. Repeated rows share their id's result. Items that are null or have
+Null and empty texts match nothing. Repeated rows share their id's result; rows without id that of their
+text. Items that are null or have
 no word are ignored. With no items nothing matches.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+import uuid
 
 import numpy as np
-import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folioforge.llm.common import broadcast_if_small, packed, staged, text_of
+from folioforge.llm.common import broadcast_if_small, map_rows, packed, staged, text_of
 
-MOST_WINDOWS = 2_000_000
+#: Characters of items' texts that travel to the executors.
+MOST_CHARACTERS = 16_000_000
 WIDTH = 8
 #: So many tokens of an item are a passage of it, however long the item is.
 PASSAGE = 16
@@ -53,7 +54,6 @@ NUMBER_WORDS = frozenset(
 )
 _TOKEN = re.compile(r"[$€£]?\d[\d.,:/]*%?|[^\W_]+(?:['’][^\W\d_]+)*|[.!?]+|\n")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
-_LOW = np.uint64((1 << 20) - 1)
 _END, _NUM, _UNIT, _CAP = 1, 2, 4, 8
 
 
@@ -179,7 +179,8 @@ def consistent(pairs: list[tuple[str, str, str]]) -> bool:
 class Matcher:
     """Finds items, given as (item id, text), in texts."""
 
-    def __init__(self, items: list[tuple[int, str]], width: int, coverage: float):
+    def __init__(self, items: list[tuple[int, str]], width: int, coverage: float, cells: int = 20):
+        """cells: the log of the size of the table that spares most windows the search."""
         self.width, self.coverage, self.templates = width, coverage, Templates()
         self.items: dict[int, tuple[list[str], list[str]]] = {}
         at: dict[int, list[tuple[int, int]]] = {}
@@ -191,8 +192,9 @@ class Matcher:
                 at.setdefault(h, []).append((i, p))
         self.at = at
         self.sorted = np.array(sorted(at), dtype=np.uint64)
-        self.maybe = np.zeros(1 << 20, dtype=bool)  # by the low bits; spares most windows the search
-        self.maybe[self.sorted & _LOW] = True
+        self.low = np.uint64((1 << cells) - 1)
+        self.maybe = np.zeros(1 << cells, dtype=bool)  # by the low bits
+        self.maybe[self.sorted & self.low] = True
         self.widths = {min(width, len(t)) for t, _ in self.items.values() if t}
 
     def find(self, text: str) -> list[tuple[int, int]]:
@@ -205,7 +207,7 @@ class Matcher:
             where, hashes = windows(made, width) if len(made) >= width else ((), ())
             if not len(where):
                 continue
-            maybe = self.maybe[hashes & _LOW]
+            maybe = self.maybe[hashes & self.low]
             where, hashes = where[maybe], hashes[maybe]
             slot = np.minimum(np.searchsorted(self.sorted, hashes), len(self.sorted) - 1)
             for k in np.flatnonzero(self.sorted[slot] == hashes):
@@ -223,87 +225,139 @@ class Matcher:
         return sorted(best.items())
 
 
+_held: dict[str, object] = {}
+
+
+def _kept(name: str, make):
+    """What ``make`` gives, remembered in this worker until another name is asked for."""
+    if name not in _held:
+        _held.clear()
+        _held[name] = make()
+    return _held[name]
+
+
 def find_items(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", width: int = WIDTH, coverage: float = 0.6) -> DataFrame:
     """id, item id, matched (tokens) and item_tokens for every document and item found in it."""
-    spark = docs.sparkSession
+    found = _find(_bare(docs, id_col, text_col), benchmark, item_col, item_text_col, width, coverage)
+    return found.select(F.col("id").alias(id_col), F.col("i").alias(item_col), "matched", "item_tokens")
+
+
+def _own(id_: Column, text: Column) -> Column:
+    """Tells rows without id apart by their texts."""
+    return F.when(id_.isNull(), F.xxhash64(text)).otherwise(0)
+
+
+def _bare(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    text = text_of(text_col)
+    return docs.select(F.col(id_col).alias("id"), _own(F.col(id_col), text).alias("own"), text.alias("text"))
+
+
+def _find(bare: DataFrame, benchmark: DataFrame, item_col: str = "item_id", item_text_col: str = "text", width: int = WIDTH, coverage: float = 0.6) -> DataFrame:
+    """(id, own, i, matched, item_tokens).
+
+    The items' texts are measured: up to MOST_CHARACTERS they travel to the executors, and a worker makes
+    its table of windows once; above, windows meet in a shuffle join. Both give the same rows.
+    """
+    spark = bare.sparkSession
     items = benchmark.where(F.col(item_text_col).isNotNull()).select(F.col(item_col).alias("i"), F.col(item_text_col).alias("t"))
-    size = items.agg(F.sum(F.length("t")).alias("n")).first()["n"] or 0
-    schema = f"{id_col} long, {item_col} long, matched long, item_tokens long"
-    bare = docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text"))
-    if size > 8 * MOST_WINDOWS:
-        return _find_by_shuffle(bare, items, width, coverage).toDF(id_col, item_col, "matched", "item_tokens")
+    size = items.agg(F.sum(F.length("t") + 1).alias("n")).first()["n"] or 0
+    if size > MOST_CHARACTERS:
+        return _find_by_shuffle(bare, items, width, coverage)
     held = spark.sparkContext.broadcast([(r.i, r.t) for r in items.collect()])
+    name = uuid.uuid4().hex
+    item_type = items.schema["i"].dataType.simpleString()
+
+    def start():
+        matcher = _kept(name, lambda: Matcher(held.value, width, coverage))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        matcher = Matcher(held.value, width, coverage)
-        for batch in batches:
-            rows = [
-                (d, i, n, len(matcher.items[i][0]))
-                for d, t in zip(batch["id"], batch["text"], strict=True)
-                for i, n in matcher.find(t)
-            ]
-            yield pd.DataFrame(rows, columns=[id_col, item_col, "matched", "item_tokens"])
+        def found(texts: list[str]):
+            rows = [(k, i, n, len(matcher.items[i][0])) for k, t in enumerate(texts) for i, n in matcher.find(t)]
+            at, *columns = zip(*rows) if rows else ((), (), (), ())
+            return at, columns
 
-    return bare.mapInPandas(run, schema)
+        return found
+
+    return map_rows(bare, ["id", "own"], start, f"i {item_type}, matched long, item_tokens long")
 
 
 def _find_by_shuffle(bare: DataFrame, items: DataFrame, width: int, coverage: float) -> DataFrame:
     """The same for item tables of any size: window hashes meet in a shuffle join, then candidate pairs are matched."""
 
     def hashed(widths: list[int] | None):
-        """(i, w, h): windows of items, as wide as the item allows, or of documents at each of the items' widths."""
+        """(w, h): windows of items, as wide as the item allows, or of documents at each of the items' widths."""
 
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def start():
             templates = Templates()
-            for batch in batches:
-                rows = []
-                for i, t in zip(batch.iloc[:, 0], batch.iloc[:, 1], strict=True):
+
+            def found(texts: list[str]):
+                at, w_, h_ = [], [], []
+                for k, t in enumerate(texts):
                     made = templates.make(t)
                     for w in [min(width, len(made))] if widths is None else widths:
                         if 0 < w <= len(made):
                             _, hashes = windows(made, w, item=widths is None)
-                            rows += [(i, w, int(h)) for h in np.unique(hashes.view(np.int64))]
-                yield pd.DataFrame(rows, columns=["i", "w", "h"])
+                            own = np.unique(hashes.view(np.int64)).tolist()
+                            at += [k] * len(own)
+                            w_ += [w] * len(own)
+                            h_ += own
+                return at, [w_, h_]
 
-        return run
+            return found
 
-    ours = staged(items.mapInPandas(hashed(None), "i long, w int, h long"), "decontaminate-items")
-    widths = sorted(r.w for r in ours.select("w").distinct().collect())  # at most ``width`` of them
-    theirs = bare.mapInPandas(hashed(widths), "i long, w int, h long").withColumnRenamed("i", "id")
-    pairs = theirs.join(ours, ["w", "h"]).select("id", "i").distinct()
-
-    def match(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for d, i, text, item in zip(batch["id"], batch["i"], batch["text"], batch["t"], strict=True):
-                matcher = Matcher([(i, item)], width, coverage)
-                rows += [(d, i, n, len(matcher.items[i][0])) for _, n in matcher.find(text)]
-            yield pd.DataFrame(rows, columns=["id", "i", "matched", "item_tokens"])
-
-    both = pairs.join(bare, "id").join(items, "i").select("id", "i", "text", "t")
-    return both.mapInPandas(match, "id long, i long, matched long, item_tokens long")
+        return start
 
-
-def contamination(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+    ours = staged(map_rows(items, ["i"], hashed(None), "w int, h long"), "decontaminate-items")
+    widths = sorted(r.w for r in ours.select("w").distinct().collect())  # at most ``width`` of them
+    theirs = map_rows(bare, ["id", "own"], hashed(widths), "w int, h long")
+    pairs = theirs.join(ours, ["w", "h"]).select("id", "own", "i").distinct()
+
+    def start():
+        matchers: dict = {}
+
+        def found(names: list, texts: list[str], items: list[str]):
+            at, matched, size = [], [], []
+            for k, (i, text, item) in enumerate(zip(names, texts, items, strict=True)):
+                if len(matchers) > 1_000:
+                    matchers.clear()
+                if (i, item) not in matchers:
+                    matchers[i, item] = Matcher([(i, item)], width, coverage, cells=10)
+                matcher = matchers[i, item]
+                for _, n in matcher.find(text):
+                    at.append(k)
+                    matched.append(n)
+                    size.append(len(matcher.items[i][0]))
+            return at, [matched, size]
+
+        return found
+
+    texts = bare.select(F.col("id").alias("id_"), F.col("own").alias("own_"), "text")
+    both = pairs.join(texts, F.col("id").eqNullSafe(F.col("id_")) & (F.col("own") == F.col("own_")))
+    both = both.join(items.withColumnRenamed("i", "i_"), F.col("i").eqNullSafe(F.col("i_")))
+    both = both.select("id", "own", "i", F.col("i").alias("name"), "text", "t")
+    return map_rows(both, ["id", "own", "i"], start, "matched long, item_tokens long")
+
+
+def contamination(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", **how) -> DataFrame:
     """A row for each row of ``docs``: id, n_items, items (ids, sorted), matched (tokens), contaminated."""
-    found = find_items(docs, benchmark, id_col=id_col, text_col=text_col, **how).distinct()
-    item = how.get("item_col", "item_id")
-    by_doc = found.groupBy(id_col).agg(F.sort_array(F.collect_set(item)).alias("items"), F.max("matched").alias("matched"))
-    out = docs.select(F.col(id_col).cast("long").alias(id_col)).join(by_doc, id_col, "left")
-    none = F.array().cast("array<bigint>")
-    items = F.coalesce("items", none)
+    bare = _bare(docs, id_col, text_col)
+    found = _find(bare, benchmark, item_col, **how).distinct()
+    by_doc = found.groupBy("id", "own").agg(F.sort_array(F.collect_set("i")).alias("items"), F.max("matched").alias("matched"), F.count("*").alias("_n"))
+    by_doc = by_doc.select(F.col("id").alias("id_"), F.col("own").alias("own_"), "items", "matched", "_n")
+    out = bare.select("id", "own").join(by_doc, F.col("id").eqNullSafe(F.col("id_")) & (F.col("own") == F.col("own_")), "left")
+    items = F.coalesce("items", F.array().cast(by_doc.schema["items"].dataType))
     return out.select(
-        id_col,
+        F.col("id").alias(id_col),
         F.size(items).cast("long").alias("n_items"),
         items.alias("items"),
         F.coalesce("matched", F.lit(0).cast("long")).alias("matched"),
-        (F.size(items) > 0).alias("contaminated"),
+        F.col("_n").isNotNull().alias("contaminated"),
     )
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """The rows of ``docs`` in which no item is found, columns unchanged. Ids found are counted; few are broadcast."""
-    found = find_items(docs, benchmark, id_col=id_col, text_col=text_col, **how).select(F.col(id_col).alias("found")).distinct()
+    found = _find(_bare(docs, id_col, text_col), benchmark, **how).select("id", "own").distinct()
     found = staged(found, "decontaminate-found")
-    rows = packed(docs, key=F.col(id_col).cast("long"))
-    return rows.join(broadcast_if_small(found, found.count()), F.col("key") == F.col("found"), "left_anti").select("row.*")
+    rows = packed(docs, key=F.col(id_col), mark=_own(F.col(id_col), text_of(text_col)))
+    same = F.col("key").eqNullSafe(F.col("id")) & (F.col("mark") == F.col("own"))
+    return rows.join(broadcast_if_small(found, found.count()), same, "left_anti").select("row.*")

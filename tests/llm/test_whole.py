@@ -62,7 +62,7 @@ def test_prefixes_of_similar_sets_meet():
 @pytest.mark.parametrize("most", [None, 0])
 def test_short_items_in_long_documents(documents, prose, spark, monkeypatch, most):
     if most is not None:
-        monkeypatch.setattr(decontaminate, "MOST_WINDOWS", most)
+        monkeypatch.setattr(decontaminate, "MOST_CHARACTERS", most)
     short = {n: " ".join(f"word{chr(97 + n)}{chr(97 + k)}" for k in range(n)) for n in range(1, 9)}
     items = spark.createDataFrame(list(short.items()), "item_id long, text string")
     docs = documents([(n, f"{prose(30, n)} {t} {prose(30, 100 + n)}") for n, t in short.items()] + [(20, prose(60, 20)), (21, "x")])
@@ -88,7 +88,7 @@ def test_repeated_rows_with_the_first_id_of_a_blob(documents):
 @pytest.mark.parametrize("most", [None, 0])
 def test_verbatim_items_of_slots(documents, prose, spark, monkeypatch, most):
     if most is not None:
-        monkeypatch.setattr(decontaminate, "MOST_WINDOWS", most)
+        monkeypatch.setattr(decontaminate, "MOST_CHARACTERS", most)
     items = {
         1: "12 + 7 = 19, 19 + 8 = 27, 27 + 15 = 42, 42 + 11 = 53, 53 + 6 = 59",
         2: "in order Anna Maria Peter Paul Simon Andreas Jakob Thomas Lukas Markus Johanna Klara",
