@@ -23,7 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folioforge.llm.common import SPACES, WORD, text_of
+from folioforge.llm.common import SPACES, WORD, packed, text_of
 
 #: Labelled rows that fitting takes.
 MOST_LABELLED = 4_000
@@ -187,18 +187,25 @@ def learn(rows: list[tuple[dict, int]], statistics_: tuple[str, ...] = STATISTIC
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", most: int = MOST_LABELLED) -> list[Rule]:
-    """The decision list learned from the labelled documents that the base limits don't reject."""
+    """The decision list learned from the labelled documents that the base limits don't reject.
+
+    ``most`` bounds the labels that are joined to texts and the rows that reach the driver: the first
+    labels of documents in ``docs`` by the order of the ids' hash, and as many rows of statistics
+    where ids repeat; equal rows are one.
+    """
+    there = docs.select(F.col(id_col).alias("_there")).distinct()
     chosen = (
-        labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
-        .select(id_col, F.col(label_col).cast("int").alias("_y"))
-        .orderBy(F.xxhash64(id_col), id_col, "_y")
+        labels.where(F.col(label_col).isNotNull())
+        .select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_y"))
+        .join(there, F.col("_id") == F.col("_there"), "left_semi")
+        .orderBy(F.xxhash64("_id"), "_id", "_y")
         .limit(most)
     )
-    there = docs.where(F.col(text_col).isNotNull()).select(id_col, F.col(text_col).alias("_labelled"))
-    some = there.join(F.broadcast(chosen), id_col)  # at most ``most`` rows of two numbers
-    counted = with_counts(some, "_labelled", id_col, "_y").where(~base_failed())
-    rows = counted.select(id_col, "_y", *(c.alias(s) for s, c in statistics().items())).collect()
-    rows.sort(key=lambda r: tuple(r))
+    texts = docs.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("_labelled")).where("_labelled is not null")
+    some = texts.join(F.broadcast(chosen), F.col("_doc") == F.col("_id"))  # at most ``most`` rows of two numbers
+    counted = with_counts(some, "_labelled", "_id", "_y").where(~base_failed())
+    shares = counted.select("_id", "_y", *(c.alias(s) for s, c in statistics().items())).distinct()
+    rows = shares.orderBy("_id", "_y", *STATISTICS).limit(most).collect()
     return learn([({s: r[s] for s in STATISTICS}, r["_y"]) for r in rows])
 
 
@@ -229,6 +236,5 @@ def judge(docs: DataFrame, rules: list[Rule], *, id_col: str = "doc_id", text_co
 
 def keep_good(docs: DataFrame, rules: list[Rule], *, text_col: str = "text") -> DataFrame:
     """The documents that are kept, with the columns of ``docs``."""
-    held = docs.select(F.struct(*docs.columns).alias("_row"), F.col(text_col).alias("_judged"))
-    counted = with_counts(held, "_judged", "_row")
-    return counted.where(~base_failed() & verdict(rules)).select("_row.*")
+    counted = with_counts(packed(docs, _judged=F.col(text_col)), "_judged", "row")
+    return counted.where(~base_failed() & verdict(rules)).select("row.*")
