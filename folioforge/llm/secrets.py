@@ -6,7 +6,7 @@ row for each (blob, rule version) ever scanned, clean blobs included. A run
 1. addresses all rows in one pass over the texts; the same pass keeps the text only of rows that
    pass the rules' screens, conditions that every match fulfils, so clean texts are never moved;
 2. takes the blobs that the ledger lacks under this rule version, each once however many paths hold it;
-3. matches the rules over those, and appends them to the ledger;
+3. matches the rules over those, and appends findings and clean blobs to the ledger;
 4. joins findings back to all paths by blob.
 
 Counting paths per blob combines before the shuffle and picks one path for the text, so a blob with a
@@ -19,12 +19,14 @@ clean. Repeated rows each get the blob's findings. An empty table gives an empty
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import hashlib
+import uuid
+from dataclasses import astuple, dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from folioforge.llm.common import broadcast_if_small, packed, staged, text_of
+from folioforge.llm.common import at_exit, broadcast_if_small, exists, packed, shared_folder, staged, text_of
 
 
 @dataclass(frozen=True)
@@ -41,7 +43,6 @@ class Rule:
     screen: str
 
 
-RULE_VERSION = "1"
 RULES = (
     Rule(
         "assign",
@@ -55,6 +56,12 @@ RULES = (
     Rule("hex", r"[0-9a-f]{24,}", 0, 24, r"[0-9a-f]{24}"),
 )
 
+
+def version_of(rules) -> str:
+    """A rule version: it changes with any part of any rule."""
+    return hashlib.sha256(repr([astuple(r) for r in rules]).encode()).hexdigest()[:16]
+
+
 def addressed(docs: DataFrame, id_col: str, text_col: str, rules=RULES) -> DataFrame:
     """id, blob, and the text where a screen passes."""
     rows = docs.select(F.col(id_col).alias("_id"), text_of(text_col).alias("_text"))
@@ -96,19 +103,21 @@ def matches(texts: DataFrame, rules=RULES) -> DataFrame:
     )
 
 
-def scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", ledger: DataFrame | None = None, rules=RULES, rule_version: str = RULE_VERSION):
+def scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", ledger: DataFrame | None = None, rules=RULES, rule_version: str | None = None):
     """(paths, findings, ledger rows to append).
 
     paths: id and blob of every row. findings: blob, spans (array of kind, start, end by start, then
     kind) of the blobs with any. The new ledger rows hold each span, or a row with kind -1 for a
-    clean blob.
+    clean blob. The rule version is that of the rules where none is given.
     """
+    rule_version = rule_version or version_of(rules)
     rows = staged(addressed(docs, id_col, text_col, rules), "secrets-blobs")
     paths = rows.select(F.col("_id").alias(id_col), "blob")
     blobs = rows.groupBy("blob").agg(F.min("_id").alias("_first"), F.max(F.col("held").isNotNull()).alias("_screened"))
     known = None
     if ledger is not None:
-        known = ledger.where(F.col("rule_version") == rule_version)
+        met = blobs.select("blob")
+        known = staged(ledger.where(F.col("rule_version") == rule_version).join(met, "blob", "left_semi").select("blob", "kind", "start", "end"), "secrets-known")
         blobs = blobs.join(known.select("blob").distinct(), "blob", "left_anti")
     picked = blobs.where("_screened")
     texts = (
@@ -123,28 +132,38 @@ def scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", led
     fresh = blobs.select("blob").join(found, "blob", "left").select(
         "blob", F.lit(rule_version).alias("rule_version"), F.coalesce("kind", F.lit(-1)).alias("kind"), "start", "end"
     )
-    spans = found if known is None else found.unionByName(known.where("kind >= 0").select("blob", "kind", "start", "end"))
+    spans = found if known is None else found.unionByName(known.where("kind >= 0")).distinct()
     by_blob = spans.groupBy("blob").agg(F.sort_array(F.collect_list(F.struct("start", "kind", "end"))).alias("spans"))
     return paths, by_blob, fresh
 
 
+#: Setting that names a ledger to keep between runs.
+LEDGER_SETTING = "spark.folioforge.secrets.ledger"
 LEDGER = "blob string, rule_version string, kind int, start int, end int"
 
 
-def scan_with_ledger(docs: DataFrame, path: str, **how) -> DataFrame:
-    """scan() against the ledger table at ``path``, which may not be there yet; what is new is appended to it.
+def scan_with_ledger(docs: DataFrame, path: str, *, id_col: str = "doc_id", **how) -> tuple[DataFrame, DataFrame]:
+    """(paths, findings) of scan() against the ledger table at ``path``, which may not be there yet.
 
-    Returns id, blob, spans for every row (null spans: clean). A run that breaks off before the append
-    leaves the ledger as it was, and the next run scans those blobs again.
+    What is new is appended to the ledger. A run that breaks off before the append leaves the ledger as
+    it was, and the next run scans those blobs again. Pairs that two runs append at once count once.
     """
     spark = docs.sparkSession
-    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    there = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
-    known = spark.read.schema(LEDGER).parquet(path) if there else None
-    paths, findings, fresh = scan(docs, ledger=known, **how)
-    out = paths.join(staged(findings, "secrets-findings"), "blob", "left")
+    known = spark.read.schema(LEDGER).parquet(path) if exists(spark, path) else None
+    paths, findings, fresh = scan(docs, id_col=id_col, ledger=known, **how)
+    findings = staged(findings, "secrets-findings")
     fresh.write.mode("append").parquet(path)
-    return out
+    return paths, findings
+
+
+def run_ledger(spark: SparkSession) -> str:
+    """Where the ledger stands: the setting ``LEDGER_SETTING``, or a new table of this run in the shared folder."""
+    named = spark.conf.get(LEDGER_SETTING, None)
+    if named:
+        return named
+    own = f"{shared_folder(spark)}/ledger/{uuid.uuid4().hex}"
+    at_exit(spark, own)
+    return own
 
 
 def joined_spans(spans: Column, rules=RULES) -> Column:
@@ -155,9 +174,10 @@ def joined_spans(spans: Column, rules=RULES) -> Column:
     )
 
 
-def secret_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", rules=RULES, ledger: DataFrame | None = None) -> DataFrame:
-    """A row for each row of ``docs``: id, blob, n_<kind>, spans as an array."""
-    paths, findings, _ = scan(docs, id_col=id_col, text_col=text_col, rules=rules, ledger=ledger)
+def secret_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", rules=RULES, ledger: str | None = None) -> DataFrame:
+    """A row for each row of ``docs``: id, blob, n_<kind>, spans as an array. ``ledger``: its path, else ``run_ledger``."""
+    path = ledger or run_ledger(docs.sparkSession)
+    paths, findings = scan_with_ledger(docs, path, id_col=id_col, text_col=text_col, rules=rules)
     none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
     out = paths.join(findings, "blob", "left").select(id_col, "blob", F.coalesce("spans", none).alias("spans"))
     return out.select(
@@ -172,12 +192,12 @@ def _is(kind: int):
     return lambda s: s["kind"] == kind
 
 
-def redact(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", mark: str = "<SECRET>") -> DataFrame:
+def redact(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", mark: str = "<SECRET>", ledger: str | None = None) -> DataFrame:
     """``docs`` with every found span cut out of the text and ``mark`` put in its place.
 
     Overlapping spans are cut as one. Rows without findings are unchanged.
     """
-    _, findings, _ = scan(docs, id_col=id_col, text_col=text_col)
+    _, findings = scan_with_ledger(docs, ledger or run_ledger(docs.sparkSession), id_col=id_col, text_col=text_col)
     empty = F.lit(None).cast("array<struct<start:int,end:int>>")
     merged = F.aggregate(
         "spans",
