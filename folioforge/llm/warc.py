@@ -6,12 +6,15 @@ counts. Their validators are compared: where both have an entity tag, a modifica
 digest, all that both have must agree. A resolved revisit takes the response's headers with those
 headers of its own that a 304 may update.
 
-The join is cut by time: within a (URL, time bucket) a running maximum finds the response; the last
-response of each bucket is carried to the next buckets over a table with one row per URL and bucket. So
-a URL with a third of all records spreads over the buckets, and no window holds more than a bucket of it.
-
-Records without URL or time are never resolved to, and as revisits are "unresolved". Null header maps
-count as empty. Repeated records each get their own row. An empty table gives an empty result.
+Moments, the distinct (URL, time) pairs with the response that counts there, are put in order over the
+whole cluster by sampled quantiles of (URL, time). Each partition of that order is a bucket, so a URL
+with a third of all records spreads over many buckets wherever its times lie, and a stray time makes no
+bucket large. Within a (URL, bucket) a running maximum finds the earlier response; the last response of
+each bucket is carried to the next over a table with one row per URL and bucket. Records at one moment
+combine before anything is moved.
+
+Records without URL or time are never resolved to, and as revisits are "unresolved"; responses without
+id are never resolved to. Null header maps count as empty. Repeated records each get their own row. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -19,6 +22,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from folioforge.llm.common import staged
+
 #: Headers that a 304 response updates.
 PERMITTED = ("cache-control", "content-location", "date", "etag", "expires", "last-modified", "vary")
 #: Query parameters that don't change a page.
@@ -50,47 +55,47 @@ def resolve_revisits(records: DataFrame, *, buckets: int | None = None) -> DataF
     "unresolved" (no earlier response); the last has null response_id, and only "resolved" has digest
     and headers.
     """
-    bounds = records.agg(F.min("at"), F.max("at"), F.count("*")).first()
-    low, high, n = bounds[0] or 0, bounds[1] or 0, bounds[2]
-    wanted = buckets or min(65_536, max(64, n // 100_000))
-    width = max(1, -(-(high - low + 1) // wanted))
-    rows = records.select(
-        "record_id",
-        canonical_url(F.col("url")).alias("canonical"),
-        "at",
-        F.coalesce("revisit", F.lit(False)).alias("revisit"),
-        F.coalesce("headers", F.create_map().cast("map<string,string>")).alias("headers"),
-        "digest",
-    ).withColumn("bucket", F.expr(f"(at - {low}) div {width}"))
-    usable = F.col("canonical").isNotNull() & F.col("at").isNotNull()
-    ours = F.struct("at", "record_id")
-    stored = F.when(~F.col("revisit"), ours)
-
-    known = rows.where(usable)
-    last = known.where(~F.col("revisit")).groupBy("canonical", "bucket").agg(F.max("at").alias("at_"), F.max_by("record_id", F.struct("at", "record_id")).alias("id_"))
-    there = known.select("canonical", "bucket").distinct().join(last, ["canonical", "bucket"], "left")
-    earlier = Window.partitionBy("canonical").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    carried = there.select(
-        "canonical", "bucket", F.last(F.when(F.col("at_").isNotNull(), F.struct(F.col("at_").alias("at"), F.col("id_").alias("record_id"))), ignorenulls=True).over(earlier).alias("carried")
+    rows = staged(
+        records.select(
+            "record_id",
+            canonical_url(F.col("url")).alias("canonical"),
+            "at",
+            F.coalesce("revisit", F.lit(False)).alias("revisit"),
+            F.coalesce("headers", F.create_map().cast("map<string,string>")).alias("headers"),
+            "digest",
+        ),
+        "warc-records",
     )
-    inside = Window.partitionBy("canonical", "bucket").orderBy("at").rangeBetween(Window.unboundedPreceding, -1)
-    narrow = known.select("canonical", "bucket", "at", "record_id", "revisit").withColumn("within", F.max(stored).over(inside))
+    wanted = buckets or max(8, rows.count() // 100_000)
+    known = rows.where(F.col("canonical").isNotNull() & F.col("at").isNotNull())
+    moments = known.groupBy("canonical", "at").agg(F.max(F.when(~F.col("revisit"), F.col("record_id"))).alias("id"), F.max("revisit").alias("asked"))
+    moments = staged(moments.repartitionByRange(wanted, "canonical", "at").withColumn("bucket", F.spark_partition_id()), "warc-moments")
+
+    response = F.when(F.col("id").isNotNull(), F.struct("at", F.col("id").alias("record_id")))
+    before = Window.partitionBy("canonical").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    carried = moments.groupBy("canonical", "bucket").agg(F.max(response).alias("last")).select("canonical", "bucket", F.max("last").over(before).alias("carried"))
+    inside = Window.partitionBy("canonical", "bucket").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
     found = (
-        narrow.where("revisit")
+        moments.withColumn("within", F.max(response).over(inside))
+        .where("asked")
         .join(carried, ["canonical", "bucket"])
-        .select("canonical", "at", "record_id", F.coalesce("within", "carried").alias("r"))
+        .select("canonical", "at", F.coalesce("within", "carried").alias("r"))
         .where("r is not null")
-        .select("canonical", "at", "record_id", F.col("r.record_id").alias("response_id"), F.col("r.at").alias("response_at"))
-        .distinct()
+        .select("canonical", "at", F.col("r.record_id").alias("response_id"), F.col("r.at").alias("response_at"))
     )
-    revisits = rows.where("revisit").join(found, ["canonical", "at", "record_id"], "left")
+    revisits = rows.where("revisit").join(found, ["canonical", "at"], "left")
     responses = known.where(~F.col("revisit")).select(
         F.col("canonical").alias("canonical_"),
         F.col("record_id").alias("response_id"),
         F.col("at").alias("response_at"),
         F.col("headers").alias("stored"),
         F.col("digest").alias("stored_digest"),
-    ).dropDuplicates(["canonical_", "response_id", "response_at"])
+    )
+    # of different responses with one id, URL and time the one with the greatest hash counts
+    order = F.xxhash64(F.array_sort(F.map_entries("stored")), "stored_digest")
+    responses = responses.groupBy("canonical_", "response_id", "response_at").agg(
+        F.max_by(F.struct("stored", "stored_digest"), order).alias("s")
+    ).select("canonical_", "response_id", "response_at", "s.*")
     both = revisits.join(
         responses.withColumnRenamed("response_id", "_id").withColumnRenamed("response_at", "_at"),
         (F.col("canonical") == F.col("canonical_")) & (F.col("response_id") == F.col("_id")) & (F.col("response_at") == F.col("_at")),
