@@ -18,12 +18,15 @@ repeat are sorted:
    group: multikey quicksort to a shallow depth, then blind tries over the groups that still agree.
    Suffixes whose rolling hash is alone in their group are left out, since they repeat nothing; those
    sorted are compared by bytes. Runs of 100 agreeing bytes give the repeats.
-   An anchor with over ``CROWD`` contexts splits by a hash of each suffix's 100 bytes, which keeps
-   equal ones together.
+   The contexts of a crowded anchor, one with over ``CROWD`` of them, are dealt out in lots of about
+   ``CROWD``. Each lot is sorted, and the earliest of each of its strings goes on to be dealt out again,
+   now with a hash of the string, until a lot holds all that is left of its strings: lots stay small
+   however many texts have one passage in different surroundings.
 
 Counting and minima combine before the shuffle, and hot anchors are split, so one passage in a third of
-all texts spreads over the cluster. Null texts count as empty. Rows with one id and one text are one
-text and share the result; rows with one id and different texts are ordered by the texts' checksum.
+all texts spreads over the cluster. Ids of any type that can be ordered do. Null texts count as empty.
+Rows with one id and one text are one text and share the result; rows with one id and different texts
+are ordered by a hash of the texts. A null id counts as the smallest.
 """
 
 from __future__ import annotations
@@ -35,8 +38,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
-from folioforge.llm.common import staged, text_of
+from folioforge.llm.common import broadcast_if_small, map_rows, staged, text_of
 
 LENGTH, PIECE = 100, 32
 CROWD = 2_000
@@ -225,25 +229,17 @@ def repeats(text: bytes, starts: list[int], order: list) -> list[int]:
 
 #: ``at`` packs the anchor's place, how far before it its first string starts, and how many more follow:
 #: place << 16 | (place - first) << 8 | (last - first). Both distances are below LENGTH.
-_OCCURRENCE = "doc long, ver int, a long, c long, at long"
+_OCCURRENCE = "a long, c long, at long"
 
 
-def _find_anchors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _find_anchors():
     winnow = Winnower()
 
-    def frame(parts):
-        size = [len(p[0]) for _, _, p in parts]
-        columns = {name: np.repeat(np.array([p[k] for p in parts], dtype=np.int64), size) for k, name in enumerate(("doc", "ver"))}
-        columns["ver"] = columns["ver"].astype(np.int32)
-        for k, name in enumerate(("a", "c", "at")):
-            columns[name] = np.concatenate([p[k] for _, _, p in parts]).view(np.int64)
-        return pd.DataFrame(columns)
-
-    for batch in batches:
+    def found(texts: list[str]):
         parts, size = [], 0
-        for doc, ver, text in zip(batch["doc"], batch["ver"], batch["text"], strict=True):
+        for k, text in enumerate(texts):
             for got in winnow.occurrences(text.encode("utf-8", "surrogatepass")):
-                parts.append((doc, ver, got))
+                parts.append((k, got))
                 size += len(got[0])
                 if size > 100_000:
                     yield frame(parts)
@@ -251,19 +247,30 @@ def _find_anchors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         if parts:
             yield frame(parts)
 
+    def frame(parts):
+        at = np.repeat([k for k, _ in parts], [len(p[0]) for _, p in parts])
+        return at, [np.concatenate([p[c] for _, p in parts]).view(np.int64) for c in range(3)]
+
+    return found
+
 
-def _context_bytes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows with a text and its list of asked occurrences become rows with an occurrence's own bytes."""
-    for batch in batches:
-        rows = []
-        for doc, ver, text, asked in zip(batch["doc"], batch["ver"], batch["text"], batch["asked"], strict=True):
+def _context_bytes():
+    """Texts and their lists of asked occurrences become rows with an occurrence's own bytes."""
+
+    def found(texts: list[str], asked: list[list[dict]]):
+        at, rows, size = [], [], 0
+        for k, (text, own) in enumerate(zip(texts, asked, strict=True)):
             data = text.encode("utf-8", "surrogatepass")
-            for x in asked:
-                rows.append((x["a"], x["n"], doc, ver, x["first"], data[x["first"] : x["last"] + LENGTH]))
-            if len(rows) > 50_000:
-                yield pd.DataFrame(rows, columns=["a", "n", "doc", "ver", "first", "bytes"])
-                rows = []
-        yield pd.DataFrame(rows, columns=["a", "n", "doc", "ver", "first", "bytes"])
+            for x in own:
+                at.append(k)
+                rows.append((x["a"], x["n"], x["first"], data[x["first"] : x["last"] + LENGTH]))
+                if len(rows) > 50_000:
+                    yield at, list(zip(*rows))
+                    at, rows = [], []
+        if rows:
+            yield at, list(zip(*rows))
+
+    return found
 
 
 class _Sorter:
@@ -279,14 +286,14 @@ class _Sorter:
 
     def add(self, rows: list[tuple]) -> None:
         """rows: (doc, ver, first, bytes), of one anchor."""
-        if len(rows) > 1:
-            self.groups.append(rows)
-            self.size += sum(len(r[3]) for r in rows)
+        self.groups.append(rows)
+        self.size += sum(len(r[3]) for r in rows)
 
-    def spans(self) -> list[tuple[int, int, int, int]]:
-        """(doc, ver, start, end) to remove of the groups held, which are let go."""
+    def sort(self, earliest: bool) -> tuple[list[tuple], list[tuple]]:
+        """(doc, ver, start, end) to remove of the groups held, which are let go; and where asked for,
+        (group's number, doc, ver, first, string) of the earliest of each string of a group."""
         if not self.groups:
-            return []
+            return [], []
         rows = [r for g in self.groups for r in g]
         text = b"".join(r[3] for r in rows)
         size = np.array([len(r[3]) for r in rows], dtype=np.int64)
@@ -302,58 +309,80 @@ class _Sorter:
         line = key[by_key]
         alike = np.concatenate(([False], line[1:] == line[:-1], [False]))
         kept = np.sort(by_key[alike[1:] | alike[:-1]])
-        out: list[tuple[int, int, int, int]] = []
+        out: list[tuple] = []
+        stays = np.ones(len(start), dtype=bool)
         edges = np.flatnonzero(np.diff(group[kept], prepend=-1, append=-1))
         starts, owners, places = start[kept].tolist(), row[kept].tolist(), within[kept].tolist()
         for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
             owner = [(*rows[r][:2], rows[r][2] + p) for r, p in zip(owners[a:b], places[a:b], strict=True)]
-            for doc, ver, p in sorted(owner[x] for x in repeats(text, starts[a:b], owner)):
+            found = repeats(text, starts[a:b], owner)
+            stays[kept[a + np.array(found, dtype=np.int64)]] = False
+            for doc, ver, p in sorted(owner[x] for x in found):
                 if out and out[-1][:2] == (doc, ver) and out[-1][2] <= p <= out[-1][3]:
                     out[-1] = (doc, ver, out[-1][2], p + LENGTH)
                 else:
                     out.append((doc, ver, p, p + LENGTH))
+        first = []
+        if earliest:
+            for k in np.flatnonzero(stays).tolist():
+                doc, ver, p, _ = rows[row[k]]
+                first.append((int(group[k]), doc, ver, int(p + within[k]), text[start[k] : start[k] + LENGTH]))
         self.clear()
-        return out
-
-
-def _sort_all(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Over partitions sorted by group: sorts each group's suffixes."""
-    names = ["doc", "ver", "start", "end"]
-    key, held, sorter = None, {}, _Sorter()
-
-    def close():
-        sorter.add([(*k, v) for k, v in held.items()])
-        held.clear()
-
-    for batch in batches:
-        for g, doc, ver, first, data in zip(batch["g"], batch["doc"], batch["ver"], batch["first"], batch["bytes"], strict=True):
-            if g != key:
-                close()
-                key = g
-                if sorter.size > 2_000_000:
-                    yield pd.DataFrame(sorter.spans(), columns=names)
-            held[doc, ver, first] = data
-    close()
-    yield pd.DataFrame(sorter.spans(), columns=names)
-
-
-def _cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        rows = []
-        for doc, text, spans in zip(batch["doc"], batch["text"], batch["spans"], strict=True):
-            data = text.encode("utf-8", "surrogatepass")
-            kept, at, removed, n = hashlib.sha256(), 0, 0, 0
-            for s, e in sorted((x["start"], x["end"]) for x in spans) if spans is not None else ():
-                if s > at or not n:
-                    kept.update(data[at:s])
-                    n += 1
-                    at = s
-                if e > at:
-                    removed += e - at
-                    at = e
-            kept.update(data[at:])
-            rows.append((doc, len(data), removed, n, kept.hexdigest()))
-        yield pd.DataFrame(rows, columns=["doc", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+        return out, first
+
+
+def _sort_all(earliest: bool):
+    """Over partitions sorted by group: sorts each group's suffixes. With ``earliest``, rows without an end
+    hold the earliest of each string, its anchor and the anchor's number of contexts."""
+    names = ["doc", "ver", "start", *(["end", "a", "n", "bytes"] if earliest else ["end"])]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key, anchor, held, anchors_, sorter = None, None, {}, [], _Sorter()
+
+        def close():
+            if len(held) > 1 or (held and earliest):
+                sorter.add([(*k, v) for k, v in held.items()])
+                anchors_.append(anchor)
+            held.clear()
+
+        def done() -> pd.DataFrame:
+            spans, first = sorter.sort(earliest)
+            rows = spans
+            if earliest:
+                rows = [(*s, 0, 0, None) for s in spans] + [(doc, ver, p, -1, *anchors_[g], data) for g, doc, ver, p, data in first]
+            anchors_.clear()
+            return pd.DataFrame(rows, columns=names)
+
+        for batch in batches:
+            for g, a, n, doc, ver, first, data in batch.itertuples(index=False, name=None):
+                if g != key:
+                    close()
+                    key, anchor = g, (a, n)
+                    if sorter.size > 2_000_000:
+                        yield done()
+                held[doc, ver, first] = data
+        close()
+        yield done()
+
+    return run
+
+
+def _cut():
+    def cut(text: str, spans: list[dict] | None):
+        data = text.encode("utf-8", "surrogatepass")
+        kept, at, removed, n = hashlib.sha256(), 0, 0, 0
+        for s, e in sorted((x["start"], x["end"]) for x in spans or ()):
+            if s > at or not n:
+                kept.update(data[at:s])
+                n += 1
+                at = s
+            if e > at:
+                removed += e - at
+                at = e
+        kept.update(data[at:])
+        return len(data), removed, n, kept.hexdigest()
+
+    return lambda texts, spans: list(zip(*map(cut, texts, spans)))
 
 
 def _first(at: Column) -> Column:
@@ -364,9 +393,18 @@ def _last(at: Column) -> Column:
     return (_first(at) + at.bitwiseAND(255)).cast("int")
 
 
+def _grouped(rows: DataFrame, *keys: Column) -> DataFrame:
+    """``rows`` in whole groups by the keys' hash."""
+    return rows.select(F.xxhash64(*keys).alias("g"), "a", "n", "doc", "ver", "first", "bytes").repartition("g").sortWithinPartitions("g")
+
+
+def _lots(n: Column, level: int) -> Column:
+    return F.ceil(n / float(CROWD**level))
+
+
 def removed_spans(texts: DataFrame) -> DataFrame:
     """(doc, ver, start, end) intervals to remove of (doc, ver, text) rows; they may touch or overlap."""
-    seen = texts.mapInPandas(_find_anchors, _OCCURRENCE)
+    seen = map_rows(texts, ["doc", "ver"], _find_anchors, _OCCURRENCE)
     shared = staged(seen.groupBy("a").agg(F.count("*").alias("n")).where("n > 1").select("a"), "suffix-shared", release=True)
     dup = staged(seen.join(shared, "a"), "suffix-anchors", release=True)
 
@@ -379,7 +417,8 @@ def removed_spans(texts: DataFrame) -> DataFrame:
         .where(F.struct("doc", "ver", "at") != F.col("e"))
         .select("doc", "ver", _first(F.col("at")).alias("start"), (_last(F.col("at")) + LENGTH).alias("end"))
     )
-    several = contexts.groupBy("a").agg(F.count("*").alias("n")).where("n > 1")
+    several = staged(contexts.groupBy("a").agg(F.count("*").alias("n")).where("n > 1"), "suffix-several")
+    most = several.agg(F.max("n")).first()[0] or 0
     asked = (
         contexts.drop("n")
         .join(several, "a")
@@ -387,28 +426,47 @@ def removed_spans(texts: DataFrame) -> DataFrame:
         .agg(F.collect_list(F.struct("a", "n", _first(F.col("e.at")).alias("first"), _last(F.col("e.at")).alias("last"))).alias("asked"))
     )
     with_bytes = staged(
-        texts.join(asked, ["doc", "ver"]).mapInPandas(_context_bytes, "a long, n long, doc long, ver int, first int, bytes binary"),
-        "suffix-bytes",
-        release=True,
+        map_rows(texts.join(asked, ["doc", "ver"]), ["doc", "ver"], _context_bytes, "a long, n long, first int, bytes binary"), "suffix-bytes", release=True
     )
-    few = with_bytes.where(F.col("n") <= CROWD).select(F.col("a").alias("g"), "doc", "ver", "first", "bytes")
-    strings = F.transform(
-        F.sequence(F.lit(1), F.length("bytes") - (LENGTH - 1)), lambda i: F.substring(F.col("bytes"), i, F.lit(LENGTH))
-    )
-    many = with_bytes.where(F.col("n") > CROWD).select("a", "n", "doc", "ver", "first", F.posexplode(strings).alias("k", "string"))
-    split = F.pmod(F.xxhash64("string"), F.expr(f"n div {CROWD} * 8 + 8"))
-    many = many.select(F.xxhash64("a", split).alias("g"), "doc", "ver", (F.col("first") + F.col("k")).cast("int").alias("first"), F.col("string").alias("bytes"))
-    groups = few.union(many).repartition("g").sortWithinPartitions("g")
-    partial = groups.mapInPandas(_sort_all, "doc long, ver int, start int, end int")
-    return later.union(partial)
+    key = ", ".join(f"{c} {with_bytes.schema[c].dataType.simpleString()}" for c in ("doc", "ver"))
+    out = _grouped(with_bytes.where(F.col("n") <= CROWD), F.col("a")).mapInPandas(_sort_all(False), f"{key}, start int, end int").union(later)
+
+    left, level, last = with_bytes.where(F.col("n") > CROWD), 1, most <= CROWD
+    while not last:
+        last = CROWD**level >= most  # then these lots are whole
+        # single strings from the second level on; their hash splits what is left of an anchor
+        split = F.pmod(F.xxhash64("bytes"), _lots(F.col("n"), 1) * 64) if level > 1 else F.lit(0)
+        lot = F.pmod(F.xxhash64("doc", "ver", "first"), _lots(F.col("n"), level))
+        more = "" if last else ", a long, n long, bytes binary"
+        sorted_ = _grouped(left, F.col("a"), split, lot).mapInPandas(_sort_all(not last), f"{key}, start int, end int{more}")
+        sorted_ = staged(sorted_, f"suffix-lots-{level}", release=True)
+        out = out.union(sorted_.where("end >= 0").select("doc", "ver", "start", "end"))
+        if not last:
+            left = sorted_.where("end < 0").withColumnRenamed("start", "first")
+        level += 1
+    return out
 
 
 def dedup_substrings(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, n_bytes, n_removed, n_spans, kept_sha256 for every row. A null id counts as the smallest."""
-    text = text_of(text_col)
-    key = F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63)))
-    texts = docs.select(key.alias("doc"), F.crc32(text).bitwiseAND(2**31 - 1).cast("int").alias("ver"), text.alias("text"))
+    """id, n_bytes, n_removed, n_spans, kept_sha256 for every row.
+
+    Texts are told apart by id; where ids repeat or are null by a 63-bit hash of the text too. The ids
+    that repeat are counted: if few, they are broadcast and no text moves.
+    """
+    kind = docs.schema[id_col].dataType
+    whole = isinstance(kind, IntegralType)
+    id_, text = F.col(id_col).cast("long" if whole else "string"), text_of(text_col)
+    again = staged(docs.where(F.col(id_col).isNotNull()).groupBy(id_.alias("again")).agg(F.count("*").alias("n")).where("n > 1").select("again"), "suffix-again")
+    rows = docs.select(id_.alias("id"), text.alias("text"))
+    repeated = again.count()
+    if repeated:
+        rows = rows.join(broadcast_if_small(again, repeated), F.col("id") == F.col("again"), "left")
+    else:
+        rows = rows.withColumn("again", F.lit(None).cast("long" if whole else "string"))
+    hashed = F.xxhash64("text").bitwiseAND(2**63 - 1)
+    ver = F.when(F.col("id").isNull(), -hashed - 1).when(F.col("again").isNotNull(), hashed).otherwise(F.lit(0).cast("long"))
+    texts = rows.select(F.coalesce("id", F.lit(-(2**63) if whole else "")).alias("doc"), ver.alias("ver"), "text")
     spans = removed_spans(texts).groupBy("doc", "ver").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     spans = staged(spans, "suffix-spans", release=True)
-    cut = texts.join(spans, ["doc", "ver"], "left").mapInPandas(_cut, "doc long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
-    return cut.select(F.when(F.col("doc") > -(2**63), F.col("doc")).alias(id_col), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    cut = map_rows(texts.join(spans, ["doc", "ver"], "left"), ["doc", "ver"], _cut, "n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return cut.select(F.when(F.col("ver") >= 0, F.col("doc")).cast(kind).alias(id_col), "n_bytes", "n_removed", "n_spans", "kept_sha256")
