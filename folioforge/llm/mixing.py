@@ -6,9 +6,11 @@
 3. Apportionment: all words are cut into blocks of equal token counts. Blocks go to sources by the
    highest quotients ``target / (2k + 1)``, then within a source to its shards by the same rule, so
    every shard has an integer quota.
-4. Seeded selection: a shard lines its documents up in the order of a seeded hash. A quota takes
-   whole passes over the line and then a run of blocks, round the end, from a seeded block on. What
-   a document gives is the overlap of its words with that run, so nothing is expanded into blocks.
+4. Seeded selection: a shard lines its documents up in the order of a seeded hash and cuts the line into
+   blocks. A quota takes whole passes over the line and then as many blocks as it has left, chosen by a
+   seeded permutation of the shard's blocks, the last of them in part where words are left over. What
+   a document gives is the overlap of its words with the chosen blocks; only blocks that it lies in are
+   looked at.
 
 A shard holds about ``shard_docs`` documents, so that a source with a third of all rows spreads over
 many tasks; the number of shards is below ``MOST_SHARDS`` plus the number of sources at any size,
@@ -23,6 +25,7 @@ from __future__ import annotations
 
 import heapq
 import math
+import random
 
 import numpy as np
 from pyspark.sql import DataFrame, Window
@@ -82,6 +85,17 @@ def sainte_lague(votes, seats: int, caps) -> np.ndarray:
     return got
 
 
+def permutation(seed: int, k: int, shard: int, blocks: int) -> tuple[int, int, int]:
+    """(blocks, step, shift) of the permutation b -> (b * step + shift) mod blocks. The last block, which may
+    be short, comes last, so whole blocks are chosen before it and a quota is met to the word."""
+    blocks = max(1, blocks)
+    rng = random.Random(f"{seed}/{k}/{shard}")
+    step = rng.randrange(blocks) | 1
+    while math.gcd(step, blocks) > 1:
+        step = rng.randrange(blocks) | 1
+    return blocks, step, (blocks - 1) * (1 - step) % blocks
+
+
 def mix(
     docs: DataFrame,
     *,
@@ -136,34 +150,34 @@ def mix(
     source_caps = np.bincount(at, weights=most, minlength=len(names)).astype(np.int64)
     quotas = sainte_lague([goal[s] for s in names], round(sum(positive) / block), source_caps)
     quota = np.zeros(len(cells), dtype=np.int64)
-    for k in range(len(names)):
-        own = np.flatnonzero(at == k)
+    edges = np.searchsorted(at, np.arange(len(names) + 1))  # cells are in the order of sources
+    for k, own in enumerate(map(slice, edges[:-1], edges[1:])):
         quota[own] = sainte_lague(tokens[own], int(quotas[k]), most[own])
     rows = [
-        (int(k), int(j), int(t), int(q * block // max(t, 1)), int(q * block % max(t, 1)))
+        (int(k), int(j), int(q * block // max(t, 1)), *divmod(int(q * block % max(t, 1)), block), *permutation(seed, k, j, -(-t // block)))
         for (k, j, t), q in zip(cells, quota, strict=True)
     ]
-    plan = spark.createDataFrame(rows, "_k int, _shard int, _tokens long, _passes long, _rest long")
+    plan = spark.createDataFrame(rows, "_k int, _shard int, _passes long, _whole long, _part long, _blocks long, _step long, _shift long")
 
     line = Window.partitionBy("_k", "_shard").orderBy("_hash", "_id", "_size").rowsBetween(Window.unboundedPreceding, 0)
     lined = placed.withColumn("_end", F.sum("_size").over(line)).join(
         broadcast_if_small(plan, len(rows)), ["_k", "_shard"]
     )
-    first = F.pmod(F.xxhash64(F.lit(seed + 1), F.col("_k"), F.col("_shard")), F.greatest(F.expr(f"_tokens div {block}"), F.lit(1))) * block
     start, end = F.col("_end") - F.col("_size"), F.col("_end")
 
-    def shared(a, b):
-        return F.greatest(F.least(end, b) - F.greatest(start, a), F.lit(0))
+    def given(b):
+        rank = F.pmod(b * F.col("_step") + F.col("_shift"), F.col("_blocks"))
+        taken = F.when(rank < F.col("_whole"), block).when(rank == F.col("_whole"), F.col("_part")).otherwise(0)
+        return F.greatest(F.least(end, b * block + taken) - F.greatest(start, b * block), F.lit(0))
 
-    lined = lined.withColumn("_first", first)
-    last = F.col("_first") + F.col("_rest")
-    run = shared(F.col("_first"), F.least(last, F.col("_tokens"))) + shared(F.lit(0), last - F.col("_tokens"))
+    own = F.sequence(F.expr(f"(_end - _size) div {block}"), F.expr(f"(_end - 1) div {block}"))
+    chosen = F.when(F.col("_size") > 0, F.aggregate(own, F.lit(0).cast("long"), lambda s, b: s + given(b))).otherwise(0)
     return lined.select(
         F.col("_id").alias(id_col),
         F.col("_source").alias(source_col),
         F.col("_size").cast("long").alias("size"),
         F.col("source_size").cast("long"),
         F.col("target"),
-        (F.col("_passes") * F.col("_size") + run).cast("long").alias("taken"),
+        (F.col("_passes") * F.col("_size") + chosen).cast("long").alias("taken"),
         *(F.col(f"_keep_{i}").alias(c) for i, c in enumerate(keep)),
     )
