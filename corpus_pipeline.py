@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioforge.llm import decontaminate, mixing, quality_rules, secrets, simhash
-from folioforge.llm.common import staged
+from folioforge.llm.common import discard, scratch, stored
 from folioforge.session import ship
 
 
@@ -59,8 +59,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of ``sf_dir``."""
-    docs = _table(spark, sf_dir, "documents")
+    """All stages over the documents of ``sf_dir``. A stage's own tables and its input go when its result is written."""
+    docs, last = _table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = staged(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        with scratch(spark):
+            docs, path = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        if last:
+            discard(spark, last)
+        last = path
     return docs
