@@ -17,6 +17,7 @@ from pyspark.sql.types import StructType
 #: A word is a run of anything but space and U+0009..U+000D.
 WORD = r"[^\x20\x09-\x0D]+"
 SPACES = " \t\n\x0b\x0c\r"
+ROWS = 128
 
 _own_folder: dict[str, str] = {}
 
@@ -125,7 +126,8 @@ def map_rows(rows: DataFrame, carried: list[str], start: Callable, made: str) ->
     columns of the schema ``made``, each a list or an array, with a value for every row; or to (row
     numbers, columns), where the results are any number of rows that repeat those rows' carried columns;
     or to an iterator of such parts.
-    Carried columns stay in Arrow: ids of any type, beside nulls too, come back as they went in.
+    Carried columns stay in Arrow: ids of any type, beside nulls too, come back as they went in. Python
+    sees ROWS rows at a time, which bounds what it holds besides a batch.
     """
     new = StructType.fromDDL(made)
     schema = StructType([rows.schema[c] for c in carried] + new.fields)
@@ -135,7 +137,7 @@ def map_rows(rows: DataFrame, carried: list[str], start: Callable, made: str) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = start()
-        for batch in batches:
+        for batch in (whole.slice(k, ROWS) for whole in batches for k in range(0, whole.num_rows, ROWS)):
             found = work(*(batch.column(k).to_pylist() for k in others))
             for part in found if isinstance(found, Iterator) else [found]:
                 kept = [batch.column(k) for k in places]

@@ -163,13 +163,12 @@ SKETCH = 4
 
 
 def _text_keys(shingle: int):
-    def keys(texts: list[str]):
-        raw = [t.encode("utf-8", "surrogatepass") for t in texts]
-        words = [words_of(t) for t in texts]
-        h1, h2 = (np.array([xxhash.xxh64_intdigest(r, seed) for r in raw], dtype=np.uint64).view(np.int64) for seed in (1, 2))
-        return h1, h2, [majority(np.unique(shingle_hashes(w, 1))) for w in words], [majority(np.unique(shingle_hashes(w, shingle))) for w in words]
+    def key(text: str) -> tuple[int, int, int, int]:
+        raw, words = text.encode("utf-8", "surrogatepass"), words_of(text)
+        h1, h2 = np.array([xxhash.xxh64_intdigest(raw, 1), xxhash.xxh64_intdigest(raw, 2)], dtype=np.uint64).view(np.int64).tolist()
+        return h1, h2, majority(np.unique(shingle_hashes(words, 1))), majority(np.unique(shingle_hashes(words, shingle)))
 
-    return lambda: lambda texts: list(keys(texts))
+    return lambda: lambda texts: list(zip(*map(key, texts)))
 
 
 def _shingle_sets(size: int):
