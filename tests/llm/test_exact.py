@@ -177,6 +177,32 @@ def test_skip_chain_adds_repeats(documents):
     assert pii.find_personal_data(docs.limit(0)).collect() == []
 
 
+def test_skip_chain_beyond_the_patterns(documents):
+    """Numbers that the patterns run together; other spellings of a certain number; texts without base spans."""
+    cards = "4465758382889437 4465758382889437"
+    phone = "+1 (826) 555-4081"
+    texts = {
+        1: f"sagt {cards} und geht", 2: f"dit {phone} 190.137.223.204 et part", 3: "llame al +34 600 123 456 hoy, o bien 600123456 y 600-123-456",
+        4: "in 2019 the 12.10.2019 at 12:30, 1234567890123456 of 3,500.00", 5: f"{cards[:16]} 9870157079875996 there",
+    }
+    got = {r.doc_id: r for r in pii.find_personal_data(documents(list(texts.items()))).collect()}
+    spans = lambda i: [(k, texts[i][int(a) : int(b)]) for k, a, b in (x.split(":") for x in got[i].spans.split(",") if x)]
+    assert spans(1) == [("card", cards[:16]), ("card", cards[17:])] and got[1].n_card == 0
+    assert sorted(spans(2)) == [("ip", "190.137.223.204"), ("phone", phone)] and got[2].n_phone == 0
+    assert spans(3) == [("phone", "+34 600 123 456"), ("phone", "600123456"), ("phone", "600-123-456")] and got[3].n_added == 2
+    assert spans(4) == [] and spans(5) == [("card", cards[:16])]
+
+
+def test_skip_chain_on_held_out_texts():
+    model, right, wrong, missed = pii.fitted(), 0, 0, 0
+    for text, spans, cover, labels in pii.made_up(99, 400):
+        base, both = pii.find(text, model)
+        added = {(k, s) for k in range(4) for s in both[k] if s not in base[k]}
+        want = {(labels[i] - 1, s) for i, s in enumerate(spans) if labels[i] and not cover[i]}
+        right, wrong, missed = right + len(added & want), wrong + len(added - want), missed + len(want - added)
+    assert right >= 0.98 * (right + wrong) and right >= 0.88 * (right + missed)
+
+
 def test_propagation_is_exact_on_a_chain():
     import numpy as np
 
