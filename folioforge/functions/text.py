@@ -45,7 +45,7 @@ def slugify(c: Column, most: int = 40) -> Column:
 
 
 def strip_accents(c: Column) -> Column:
-    """Latin letters without their marks, and no combining marks. Letters of other scripts stay composed."""
+    """Letters of any script without their marks, and no combining marks."""
     return F.regexp_replace(F.translate(c, *ACCENT_PAIRS), r"\p{Mn}+", "")
 
 

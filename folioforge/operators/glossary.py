@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from folioforge.functions.rules import COMMON_FIRST, INDICATORS, INVALID_FIRST, INVALID_LAST
 
 #: Two to four capitalised ASCII words.
 PHRASE = r"\b[A-Z][a-z]+(?:\s+[A-Z][a-z]+){1,3}\b"
@@ -17,13 +16,18 @@ def document_frequency(texts: DataFrame, text_col: str, pattern: str = PHRASE) -
     return texts.select(found.alias("term")).groupBy("term").agg(F.count("*").alias("df"))
 
 
-def candidate_terms(frequencies: DataFrame, known: DataFrame | None = None, *, least: int = 3, common=COMMON_FIRST, first=INVALID_FIRST, last=INVALID_LAST, indicators=INDICATORS) -> DataFrame:
-    """Terms that may be names: frequent, unknown, not shaped like a piece of a sentence. Sorted by df, then term."""
+def candidate_terms(frequencies: DataFrame, known: DataFrame | None = None, *, least: int = 3, common=(), first=(), last=(), indicators=()) -> DataFrame:
+    """Terms that may be names: frequent, unknown, not shaped like a piece of a sentence. Sorted by df, then term.
+
+    The word lists are the language's: words that begin sentences (``common``), that can't begin (``first``)
+    or end (``last``) a name, or that stand in none (``indicators``).
+    """
     words = F.split("term", r"\s+")
     head, tail = F.get(words, F.lit(0)), F.element_at(words, -1)
     out = frequencies.where(F.col("df") >= least)
     out = out.where(~head.isin(*common, *first) & ~head.rlike("(?:ing|ed)$") & ~tail.isin(*last))
-    out = out.where(~F.arrays_overlap(words, F.array(*(F.lit(w) for w in sorted(indicators)))))
+    if indicators:
+        out = out.where(~F.arrays_overlap(words, F.array(*(F.lit(w) for w in sorted(indicators)))))
     if known is not None:
         terms = known.select(F.col("term").alias("_known"))
         out = out.join(terms, F.col("term") == F.col("_known"), "left_anti")
