@@ -77,34 +77,42 @@ def count_of(c: Column, term: str) -> Column:
 def placeholders(terms: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """Placeholders for (ord, term): (ord, term, token, alias).
 
-    Terms with one slug are numbered in their order; the first of a slug also owns the token without a
-    number, unless ``known`` (token, term) has it. Terms that ``known`` has as such keep their token.
+    Terms with one slug take, in their order, the numbers from 1 that no token in ``known`` (token, term)
+    has; the first of a slug also owns the token without a number, unless ``known`` has it. Terms that
+    ``known`` has as such keep their token.
     """
     fresh = terms.dropDuplicates(["term"]).withColumn("slug", slugify(F.col("term")))
-    taken = None
-    if known is not None:
-        fresh = fresh.join(known.select("term"), "term", "left_anti")
-        taken = known.select("token").distinct()
-        numbers = known.select(
-            F.regexp_extract("token", r"^<PROTECT_(.*)_(\d+)>$", 1).alias("slug"),
-            F.regexp_extract("token", r"^<PROTECT_(.*)_(\d+)>$", 2).try_cast("int").alias("k"),
-        )
-        used = numbers.where("k is not null").groupBy("slug").agg(F.max("k").alias("used"))
-        fresh = fresh.join(used, "slug", "left")
+    if known is None:
+        fresh = fresh.withColumns({"used": F.array().cast("array<int>"), "owned": F.lit(False)})
     else:
-        fresh = fresh.withColumn("used", F.lit(None).cast("int"))
-    order = Window.partitionBy("slug").orderBy("ord")
-    k = F.row_number().over(order)
-    out = fresh.select(
+        fresh = fresh.join(known.select("term").distinct(), "term", "left_anti")
+        part = lambda pattern, k: F.get(F.regexp_extract_all("token", F.lit(pattern), F.lit(k)), F.lit(0))
+        parts = known.select(part(_NUMBERED, 1).alias("slug"), part(_NUMBERED, 2).try_cast("int").alias("k"))
+        used = parts.where("k > 0").groupBy("slug").agg(F.sort_array(F.collect_set("k")).alias("used"))
+        bare = known.select(part(r"^<PROTECT_(.*)>$", 1).alias("slug")).where("slug is not null").distinct()
+        fresh = fresh.join(used, "slug", "left").join(bare.withColumn("owned", F.lit(True)), "slug", "left")
+    k = F.row_number().over(Window.partitionBy("slug").orderBy("ord"))
+    # the k-th free number: every used number up to it moves it on by one
+    number = F.aggregate(F.coalesce("used", F.array().cast("array<int>")), F.col("_k"), lambda n, u: F.when(u <= n, n + 1).otherwise(n))
+    return fresh.withColumn("_k", k).select(
         "ord",
         "term",
-        F.concat(F.lit("<PROTECT_"), "slug", F.lit("_"), (k + F.coalesce("used", F.lit(0))).cast("string"), F.lit(">")).alias("token"),
-        F.when(k == 1, F.concat(F.lit("<PROTECT_"), "slug", F.lit(">"))).alias("alias"),
+        F.concat(F.lit("<PROTECT_"), "slug", F.lit("_"), number.cast("string"), F.lit(">")).alias("token"),
+        F.when((F.col("_k") == 1) & ~F.coalesce("owned", F.lit(False)), F.concat(F.lit("<PROTECT_"), "slug", F.lit(">"))).alias("alias"),
     )
-    if taken is None:
-        return out
-    own = taken.withColumnRenamed("token", "alias").withColumn("_taken", F.lit(True))
-    return out.join(own, "alias", "left").select("ord", "term", "token", F.when(F.col("_taken").isNull(), F.col("alias")).alias("alias"))
+
+
+_NUMBERED = r"^<PROTECT_(.*)_([0-9]+)>$"
+
+
+def known_aliases(known: DataFrame, made: DataFrame | None = None) -> DataFrame:
+    """(token, term): for tokens with a number in ``known`` (ord, token, term) the token without it, of the first
+    with that slug, unless ``known`` or the aliases of ``made`` have it."""
+    slug = F.regexp_extract("token", r"^<PROTECT_([A-Z0-9_]+)_[0-9]+>$", 1)
+    first = known.withColumn("_slug", slug).where("_slug <> ''").groupBy("_slug").agg(F.min_by("term", "ord").alias("term"))
+    out = first.select(F.concat(F.lit("<PROTECT_"), "_slug", F.lit(">")).alias("token"), "term")
+    out = out.join(known.select("token"), "token", "left_anti")
+    return out if made is None else out.join(made.select(F.col("alias").alias("token")), "token", "left_anti")
 
 
 def lookup_placeholder(name: Column, restore: list[tuple[str, str]], segments: dict[str, str] | None = None, threshold: float = 0.66) -> Column:

@@ -43,13 +43,16 @@ class Glossary:
         body = F.coalesce(F.get_json_object("value", "$.glossary"), F.col("value"))
         names = files.select(F.posexplode(F.from_json(F.get_json_object(body, "$.never_translate"), "array<string>")).alias("ord", "term"))
         protect, restore = pairs("preprocess_rules.protect_tokens"), pairs("preprocess_rules.restore_tokens")
-        known = spark.createDataFrame([(t, w) for w, t in protect] + restore, "token string, term string") if protect or restore else None
-        made = R.placeholders(names, known).orderBy("ord").collect()
-        for r in made:
+        held = [(t, w) for w, t in protect] + restore
+        known = spark.createDataFrame([(k, t, w) for k, (t, w) in enumerate(held)], "ord int, token string, term string") if held else None
+        made = R.placeholders(names, known)
+        aliases = R.known_aliases(known, made).orderBy("token").collect() if held else []
+        for r in made.orderBy("ord").collect():
             protect.append((r.term, r.token))
             restore.append((r.token, r.term))
             if r.alias:
                 restore.append((r.alias, r.term))
+        restore += [(r.token, r.term) for r in aliases]
         return cls(
             [r.term for r in names.orderBy("ord").collect()],
             pairs("translations"),

@@ -48,6 +48,11 @@ def test_placeholders(spark):
     known = spark.createDataFrame([("<PROTECT_OLD_TOWN_1>", "X"), ("<PROTECT_OLD_TOWN>", "X")], "token string, term string")
     first = R.placeholders(terms.where("ord = 1"), known).first()
     assert (first.token, first.alias) == ("<PROTECT_OLD_TOWN_2>", None)
+    known = spark.createDataFrame([(0, "<PROTECT_OLD_TOWN_2>", "X"), (1, "<PROTECT_SEA_7>", "Sea"), (2, "<PROTECT_SEA_3>", "See")], "ord int, token string, term string")
+    made = R.placeholders(terms, known)
+    got = {r.term: (r.token, r.alias) for r in made.collect()}
+    assert got["Old Town"] == ("<PROTECT_OLD_TOWN_1>", "<PROTECT_OLD_TOWN>") and got["Old-Town"] == ("<PROTECT_OLD_TOWN_3>", None)
+    assert [tuple(r) for r in R.known_aliases(known, made).collect()] == [("<PROTECT_SEA>", "Sea")]
 
 
 def test_protect_longest_first(spark):
