@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from folioforge.functions import sequence as Q
 from folioforge.functions import text as T
 from folioforge.operators import glossary as G
 from folioforge.operators import quality as C
@@ -53,7 +54,7 @@ def test_spaced_chapter(spark):
 def test_plural_of_known_terms_is_no_candidate(spark):
     found = spark.createDataFrame([("Old Oaks", 5), ("Old Oak", 5), ("Blue Elm", 3), ("Red Elm", 3), ("Blue Ash", 2), ("Seeing Red", 9), ("The Elm", 9), ("Elm Of", 9), ("Elm Not Blue", 9)], "term string, df long")
     known = spark.createDataFrame([("Old Oak",)], "term string")
-    assert [r.term for r in G.candidate_terms(found, known).collect()] == ["Blue Elm"]
+    assert [r.term for r in G.candidate_terms(found, known, common=["The"], last=["Of"], indicators=["Not"], first=["Red"]).collect()] == ["Blue Elm"]
 
 
 def test_no_terms_and_no_rows(spark):
@@ -61,3 +62,24 @@ def test_no_terms_and_no_rows(spark):
     terms = spark.createDataFrame([("a",)], "term string")
     assert C.terms_in(texts, terms, "text", "term").collect() == []
     assert C.terms_in(spark.createDataFrame([(1, None)], "id int, text string"), terms, "text", "term").collect() == []
+
+
+def test_blocks_end_after_three_empty_ones(spark):
+    rows = spark.createDataFrame([(n,) for n in [*range(0, 90), 205, 210, 390, 400]], "n long")
+    got = {r.n: r.block for r in Q.range_blocks(rows, "n", 0, 40).collect()}
+    assert got == {n: n // 40 for n in [*range(0, 90), 205, 210]}
+
+
+def test_terms_of_any_length_by_pieces(spark):
+    words = ["a", "el", "elm", "oak tree", "New\nline", "ölç", "Old Oak Tree, the", "zz", ""]
+    texts = spark.createDataFrame([(1, "the elm tree"), (2, "Old Oak Tree, the oak tree"), (3, "New\nline ölç"), (4, None), (5, "")], "id int, text string")
+    terms = spark.createDataFrame([(w,) for w in words], "term string")
+    want = {(r[0], w) for r in texts.collect() for w in words if r[1] is not None and w in r[1]}
+    many = C.terms_in(texts, terms, "text", "term", small=0)
+    got = [(r.id, r.term) for r in many.collect()]
+    assert set(got) == want == {(r.id, r.term) for r in C.terms_in(texts, terms, "text", "term").collect()} and len(got) == len(want)
+    assert "CartesianProduct" not in many._jdf.queryExecution().toString()
+
+
+def test_accents_of_any_script(spark):
+    assert spark.range(1).select(T.strip_accents(F.lit("Ñandú й ΐ ἀ é が"))).first()[0] == "Nandu и ι α e か"
