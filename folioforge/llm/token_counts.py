@@ -99,7 +99,7 @@ def with_bags(rows: DataFrame) -> DataFrame:
     """tokens become bag, an array of (token, freq): the tokens in order, cut where the next one differs."""
     line = _fixed(rows.withColumn("tokens", F.sort_array("tokens")), "tokens")
     n = F.size("tokens")
-    first = F.filter(F.sequence(F.lit(0), n - 1), lambda i: (i == 0) | (F.get("tokens", i) != F.get("tokens", i - 1)))
+    first = F.filter(F.sequence(F.lit(0), n - 1), lambda i: ~F.get("tokens", i).eqNullSafe(F.get("tokens", i - 1)))
     line = _fixed(line.withColumn("first", F.when(n > 0, first).otherwise(F.array().cast("array<int>"))), "first")
     after = F.concat(F.slice("first", 2, F.size("first")), F.array(n))
     cut = F.zip_with("first", F.when(n > 0, after).otherwise(F.col("first")), lambda a, b: F.struct(F.get("tokens", a).alias("token"), (b - a).alias("freq")))
@@ -156,14 +156,15 @@ def token_counts(
     key = ["branch", "row", "id", "n_bytes", "specials"]
     pairs = with_bags(split).select(*key, F.inline_outer("bag"))
     tokens = F.coalesce(F.sum(F.col("freq") * F.col("pieces")), F.lit(0)).alias("n_tokens")
-    met = pairs.join(F.broadcast(common.select("token", "pieces")), "token", "left").groupBy(*key)
+    met = pairs.join(F.broadcast(common.select("token", "pieces")), "token", "left")
     if whole:
-        out = met.agg(tokens)
+        out = met.groupBy(*key).agg(tokens)
     else:
-        rest = F.when(F.col("pieces").isNull() & F.col("token").isNotNull(), F.struct("token", "freq"))
-        out = staged(met.agg(tokens, F.collect_list(rest).alias("rest")), "token-sums")
+        # a row for each document, and one for each of its pre-tokens that the broadcast lacks
+        rest = F.when(F.col("pieces").isNull(), F.col("token")).alias("rest")
+        sums = staged(met.groupBy(*key, rest).agg(tokens, F.sum("freq").alias("freq")), "token-sums")
         rare = pieces.join(F.broadcast(common.select("token")), "token", "left_anti").select("token", "pieces")
-        more = out.select("branch", "row", F.inline("rest")).join(rare, "token").groupBy("branch", "row").agg(F.sum(F.col("freq") * F.col("pieces")).alias("more"))
-        out = out.join(more, ["branch", "row"], "left").withColumn("n_tokens", F.col("n_tokens") + F.coalesce("more", F.lit(0)))
+        more = sums.where("rest is not null").join(rare, F.col("rest") == F.col("token")).select(*key, (F.col("freq") * F.col("pieces")).alias("n_tokens"))
+        out = sums.where("rest is null").select(*key, "n_tokens").union(more).groupBy(*key).agg(F.sum("n_tokens").alias("n_tokens"))
     total = F.col("n_tokens") + F.col("specials")
     return out.select(F.col("id").alias(id_col), "n_bytes", total.cast("long").alias("n_tokens"), (total > limit).alias("over_limit"))
