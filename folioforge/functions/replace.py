@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -124,16 +125,27 @@ def lookup_placeholder(name: Column, restore: list[tuple[str, str]], segments: d
     """
     if not restore:
         return F.lit(None).cast("string")
-    raw = slugify(strip_accents(name))
-    mapped, base = map_segments(raw, segments or {}), drop_suffix_number(raw)
     held = F.array(*(F.struct(F.lit(t).alias("token"), F.lit(term).alias("term")) for t, term in restore))
     token = lambda c: F.concat(F.lit("<PROTECT_"), c, F.lit(">"))
-    tries = [token(raw), F.when(mapped != raw, token(mapped)), F.when((base != "") & (base != raw), token(base))]
-    exact = F.coalesce(*(F.get(F.filter(held, _same(t)), F.lit(0))["term"] for t in tries))
-    starts = [F.regexp_replace(t, ">+$", "") for t in tries]
-    prefixed = F.get(F.filter(held, lambda h: F.coalesce(*(F.when(F.startswith(h["token"], s), F.lit(True)) for s in starts), F.lit(False))), F.lit(0))["term"]
-    fuzzy = [_closest(c, restore, threshold) for c in (raw, mapped, base)]
-    return F.coalesce(exact, prefixed, *fuzzy)
+
+    def names(raw: Column) -> Column:
+        mapped, base = map_segments(raw, segments or {}), drop_suffix_number(raw)
+        tries = [token(raw), F.when(mapped != raw, token(mapped)), F.when((base != "") & (base != raw), token(base))]
+        starts = [F.regexp_replace(t, ">+$", "") for t in tries]
+        return F.struct(F.array(raw, mapped, base).alias("names"), F.array(*tries).alias("tries"), F.array(*starts).alias("starts"))
+
+    def found(n: Column) -> Column:
+        exact = F.coalesce(*(F.get(F.filter(held, _same(n["tries"][k])), F.lit(0))["term"] for k in range(3)))
+        begins = lambda h: F.coalesce(*(F.when(F.startswith(h["token"], n["starts"][k]), F.lit(True)) for k in range(3)), F.lit(False))
+        prefixed = F.get(F.filter(held, begins), F.lit(0))["term"]
+        return F.coalesce(exact, prefixed, *(_closest(n["names"][k], restore, threshold) for k in range(3)))
+
+    return _let(_let(slugify(strip_accents(name)), names), found)
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once, however often it is named."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def _same(t: Column):
@@ -151,27 +163,24 @@ def _closest(candidate: Column, restore: list[tuple[str, str]], threshold: float
             for token, term in restore
         )
     )
-    scored = F.transform(
-        keys, lambda k, i: F.struct((F.size(F.array_intersect(words, k["s"])) / F.greatest(F.size(words), F.size(k["s"]), F.lit(1))).alias("score"), (-i).alias("i"), k["term"].alias("term"))
-    )
-    best = F.array_max(scored)
-    return F.when((candidate != "") & (best["score"] >= threshold), best["term"])
+
+    def overlap(words: Column) -> Column:
+        share = lambda k: F.size(F.array_intersect(words, k["s"])) / F.greatest(F.size(words), F.size(k["s"]), F.lit(1))
+        return F.array_max(F.transform(keys, lambda k, i: F.struct(share(k).alias("score"), (-i).alias("i"), k["term"].alias("term"))))
+
+    enough = lambda best: F.when((candidate != "") & (best["score"] >= threshold), best["term"])
+    return _let(_let(words, overlap), enough)
 
 
 def restore_damaged(df: DataFrame, text_col: str, key: str, restore: list[tuple[str, str]], segments: dict[str, str] | None = None, *, pattern: str = ANGLE) -> DataFrame:
-    """Replace damaged placeholders: each distinct one in the table is looked up once, then a fold replaces.
+    """Replace damaged placeholders: a text's distinct ones are looked up, then a fold replaces them, longest first.
 
-    A callback per match isn't at hand in SQL, so distinct matches are resolved by a join. Unresolved
-    ones stay. ``key`` identifies the rows.
+    Unresolved ones stay. Every row is worked out on its own, without a shuffle; ``key`` isn't needed for that.
     """
-    found = df.select(key, F.explode(F.array_distinct(F.regexp_extract_all(text_col, F.lit(pattern), F.lit(0)))).alias("_match"))
-    names = found.select("_match").distinct().withColumn("_term", lookup_placeholder(F.regexp_extract("_match", pattern, 1), restore, segments))
-    pairs = found.join(names.where("_term is not null"), "_match").groupBy(key).agg(
-        F.sort_array(F.collect_list(F.struct((-F.length("_match")).alias("n"), F.col("_match").alias("m"), F.col("_term").alias("t")))).alias("_pairs")
-    )
-    out = df.join(pairs, key, "left")
-    fixed = F.aggregate(F.coalesce("_pairs", F.array().cast("array<struct<n:int,m:string,t:string>>")), F.col(text_col), lambda s, p: F.replace(s, p["m"], p["t"]))
-    return out.withColumn(text_col, fixed).drop("_pairs")
+    held = F.array_distinct(F.regexp_extract_all(text_col, F.lit(pattern), F.lit(0)))
+    ordered = F.sort_array(F.transform(held, lambda m: F.struct((-F.length(m)).alias("n"), m.alias("m"))))
+    terms = F.transform(ordered, lambda p: F.struct(p["m"].alias("m"), lookup_placeholder(F.regexp_extract(p["m"], pattern, 1), restore, segments).alias("t")))
+    return df.withColumn(text_col, F.aggregate(terms, F.col(text_col), lambda s, p: F.coalesce(F.replace(s, p["m"], p["t"]), s)))
 
 
 def restore_all(df: DataFrame, text_col: str, key: str, restore: list[tuple[str, str]], segments: dict[str, str] | None = None) -> DataFrame:

@@ -86,6 +86,14 @@ def test_restore_damaged(spark):
     assert got == {1: "a Old Town b Old Town c <PROTECT_ZZ> Old Town", 2: None}
 
 
+def test_restore_damaged_moves_no_text(spark):
+    restore = [("<PROTECT_OLD_TOWN_1>", "Old Town"), ("<PROTECT_OLD_TOWN_WALL_1>", "Old Town Wall")]
+    df = spark.createDataFrame([(1, "< PROTECT: old town wall >"), (1, "<PROTECT_old_town> <PROTECT_old_town>"), (None, "none"), (2, "")], "id int, t string")
+    out = R.restore_all(df, "t", "id", restore)
+    assert sorted(r.t for r in out.collect()) == ["", "Old Town Old Town", "Old Town Wall", "none"]
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+
+
 def test_rotation_keeps_last(spark):
     got = one(spark, R.rotate_phrases(F.col("t"), [("foo", ["uno", "Dos"])]), t="a foo b Foo c foo d foo e")
     assert got == "a uno b Dos c uno d foo e"
