@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def tokens(df: DataFrame, key: str, text_col: str, name: str, pattern: str = r"[A-Za-z]{4,}") -> DataFrame:
-    """(key, name): the distinct tokens of each row's text; the tokenizer is a pattern, to be replaced at will."""
-    return df.select(key, F.explode(F.array_distinct(F.regexp_extract_all(text_col, F.lit(pattern), F.lit(0)))).alias(name)).distinct()
+def tokens(df: DataFrame, key: str, text_col: str, name: str, pattern: str = r"[A-Za-z]{4,}", tokenizer: Callable[[Column], Column] | None = None) -> DataFrame:
+    """(key, name): the distinct tokens of each row's text. ``tokenizer`` makes an array of strings of the text's
+    column (an expression, or a pandas UDF around a segmenter or a name recognizer); else ``pattern`` finds them."""
+    found = tokenizer(F.col(text_col)) if tokenizer else F.regexp_extract_all(text_col, F.lit(pattern), F.lit(0))
+    return df.select(key, F.explode(F.array_distinct(found)).alias(name)).distinct()
 
 
 def lift(entities: DataFrame, words: DataFrame, key: str, *, support: int = 2, lift_above: float = 5.0, confidence_above: float = 0.3, seeds: DataFrame | None = None) -> DataFrame:
@@ -19,6 +23,10 @@ def lift(entities: DataFrame, words: DataFrame, key: str, *, support: int = 2, l
     confidence. The word with the greatest score, of equals the first by name, is taken and only then
     held against the thresholds. Entities and words below ``support`` go before the join, which keeps
     it small; seeds (entity, word) win over what is mined.
+
+    A word that stands in total / lift_above keys or more can't exceed ``lift_above``, but may win and so
+    leave its entity without a word. Its score is at most lift_above * ln(#E + 1): such words meet only the
+    entities whose best other word passes the thresholds without exceeding that.
     """
     shared = entities.select(key).distinct().join(words.select(key).distinct(), key)
     total = shared.agg(F.count("*").alias("total"))
@@ -26,19 +34,26 @@ def lift(entities: DataFrame, words: DataFrame, key: str, *, support: int = 2, l
     w = words.join(shared, key, "left_semi")
     e_counts = e.groupBy("entity").agg(F.count("*").alias("n_e")).where(F.col("n_e") >= support)
     w_counts = w.groupBy("word").agg(F.count("*").alias("n_w")).where(F.col("n_w") >= support)
-    met = (
-        e.join(e_counts.select("entity"), "entity", "left_semi")
-        .join(w.join(w_counts.select("word"), "word", "left_semi"), key)
-        .groupBy("entity", "word")
-        .agg(F.count("*").alias("n"))
-        .where(F.col("n") >= support)
-    )
-    scored = met.join(e_counts, "entity").join(w_counts, "word").crossJoin(F.broadcast(total))  # one row
-    scored = scored.withColumn("confidence", F.col("n") / F.col("n_e")).withColumn("lift", F.col("confidence") / (F.col("n_w") / F.col("total")))
-    scored = scored.withColumn("score", F.col("lift") * F.log(F.col("n") + 1) * F.col("confidence"))
+    w_counts = w_counts.crossJoin(F.broadcast(total))  # one row
+    common = F.col("n_w") * lift_above >= F.col("total")
     order = Window.partitionBy("entity").orderBy(F.desc(F.round("score", 9)), "word")
-    best = scored.withColumn("_k", F.row_number().over(order)).where("_k = 1")
-    good = best.where((F.col("lift") > lift_above) & (F.col("confidence") > confidence_above)).select("entity", "word", "n", "confidence", "lift", "score")
+
+    def best(scored: DataFrame) -> DataFrame:
+        return scored.withColumn("_k", F.row_number().over(order)).where("_k = 1").drop("_k")
+
+    def met(some_e: DataFrame, some_w: DataFrame) -> DataFrame:
+        near = e.join(some_e.select("entity"), "entity", "left_semi").join(w.join(some_w.select("word"), "word", "left_semi"), key)
+        counts = near.groupBy("entity", "word").agg(F.count("*").alias("n")).where(F.col("n") >= support)
+        out = counts.join(some_e.select("entity", "n_e"), "entity").join(some_w, "word")
+        out = out.withColumn("confidence", F.col("n") / F.col("n_e")).withColumn("lift", F.col("confidence") / (F.col("n_w") / F.col("total")))
+        return best(out.withColumn("score", F.col("lift") * F.log(F.col("n") + 1) * F.col("confidence")))
+
+    rare = met(e_counts, w_counts.where(~common)).where((F.col("lift") > lift_above) & (F.col("confidence") > confidence_above))
+    open_to = rare.where(F.col("score") <= lift_above * F.log(F.col("n_e") + 1) + 1e-6)
+    rivals = met(open_to, w_counts.where(common)).select("entity", F.round("score", 9).alias("_score"), F.col("word").alias("_word"))
+    mine = F.round("score", 9)
+    wins = F.col("_score").isNull() | (mine > F.col("_score")) | ((mine == F.col("_score")) & (F.col("word") < F.col("_word")))
+    good = rare.join(rivals, "entity", "left").where(wins).select("entity", "word", "n", "confidence", "lift", "score")
     if seeds is None:
         return good
     fixed = seeds.select("entity", F.col("word").alias("_seed"))

@@ -113,3 +113,12 @@ def read_env(text: str) -> dict[str, str]:
         key, _, value = line.removeprefix("export ").partition("=")
         out[key.strip()] = value.strip().strip("\"'")
     return out
+
+
+def read_yaml(text: str) -> dict:
+    """Settings of a YAML file, as nested dictionaries; an empty file has none. Needs PyYAML."""
+    try:
+        import yaml
+    except ImportError as error:
+        raise RuntimeError("settings in YAML need the package PyYAML") from error
+    return yaml.safe_load(text) or {}

@@ -1,9 +1,12 @@
 """Tables: votes, mining, alignment, checks, HTML, sinks, models, streaming."""
 
 import io
+import math
+import random
 import zipfile
 
 import pytest
+from pyspark.sql import functions as F
 
 from folioforge.operators import align as A
 from folioforge.operators import external as X
@@ -145,3 +148,53 @@ def test_json_lines_drop_malformed(spark, tmp_path):
 
 def test_env():
     assert S.read_env('# c\nexport A="x y"\nB=1\nbad\n') == {"A": "x y", "B": "1"}
+
+
+def test_read_yaml():
+    pytest.importorskip("yaml")
+    assert S.read_yaml("output:\n  folder: out\nnumbers: [1, 2]\n") == {"output": {"folder": "out"}, "numbers": [1, 2]}
+    assert S.read_yaml("# nothing\n") == {}
+
+
+def plain_lift(entities, words, support=2, lift_above=5.0, confidence_above=0.3):
+    """Every entity against every word, by definition."""
+    keys = {k for k, _ in entities} & {k for k, _ in words}
+    of_e, of_w = {}, {}
+    for rows, held in ((entities, of_e), (words, of_w)):
+        for k, t in rows:
+            if k in keys:
+                held.setdefault(t, set()).add(k)
+    out = set()
+    for entity, a in of_e.items():
+        best = None
+        for word, b in of_w.items():
+            n = len(a & b)
+            if len(a) < support or len(b) < support or n < support:
+                continue
+            confidence, over = n / len(a), (n / len(a)) / (len(b) / len(keys))
+            score = round(over * math.log(n + 1) * confidence, 9)
+            if best is None or (-score, word) < best[:2]:
+                best = (-score, word, n, over, confidence)
+        if best and best[3] > lift_above and best[4] > confidence_above:
+            out.add((entity, *best[1:3]))
+    return out
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_lift_against_all_pairs(spark, seed):
+    """Common words that win, lose and tie; entities that stand in few keys and in many."""
+    rng = random.Random(seed)
+    entities, words = set(), set()
+    for k in range(60):
+        entities |= {(k, f"e{int(rng.expovariate(0.15))}") for _ in range(4)}
+        words |= {(k, f"w{int(rng.expovariate(0.12))}") for _ in range(6)}
+        words |= {(k, f"v{e[1:]}") for j, e in entities if j == k and rng.random() < 0.7}
+    make = lambda rows, name: spark.createDataFrame(sorted(rows), f"k int, {name} string")
+    got = {(r.entity, r.word, r.n) for r in M.lift(make(entities, "entity"), make(words, "word"), "k").collect()}
+    assert got and got == plain_lift(entities, words)
+
+
+def test_tokens_by_an_injected_tokenizer(spark):
+    df = spark.createDataFrame([(1, "ab|cd|ab"), (2, None)], "k int, t string")
+    got = M.tokens(df, "k", "t", "word", tokenizer=lambda c: F.split(c, r"\|"))
+    assert {(r.k, r.word) for r in got.collect()} == {(1, "ab"), (1, "cd")}
