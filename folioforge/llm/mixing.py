@@ -120,10 +120,11 @@ def mix(
         word_count(F.col(text_col)).alias("_size"),
         *(F.col(c).alias(f"_keep_{i}") for i, c in enumerate(keep)),
     )
+    bare = staged(sized.select("_id", "_source", "_size"), "mix-sizes")
     if not keep:
-        sized = staged(sized, "mix-sizes")
+        sized = bare
 
-    by_source = sized.groupBy("_source").agg(F.count("*").alias("n"), F.sum("_size").alias("size")).collect()
+    by_source = bare.groupBy("_source").agg(F.count("*").alias("n"), F.sum("_size").alias("size")).collect()
     totals = {r["_source"]: (r["n"], r["size"]) for r in by_source}
     goal = targets_of([(s, size) for s, (_, size) in totals.items()], weights, epochs)
     names = list(goal)
@@ -133,14 +134,15 @@ def mix(
         [(k, s, math.ceil(totals[s][0] / per_shard), totals[s][1], float(goal[s])) for k, s in enumerate(names)],
         "_k int, _name string, _shards int, source_size long, target double",
     )
-    placed = sized.join(
-        broadcast_if_small(catalogue, len(names)), F.col("_source").eqNullSafe(F.col("_name"))
-    ).withColumn("_hash", F.xxhash64(F.lit(seed), F.col("_id")))
-    placed = placed.withColumn("_shard", F.pmod(F.col("_hash"), F.col("_shards")).cast("int"))
+    catalogue = broadcast_if_small(catalogue, len(names))
+
+    def place(rows: DataFrame) -> DataFrame:
+        found = rows.join(catalogue, F.col("_source").eqNullSafe(F.col("_name"))).withColumn("_hash", F.xxhash64(F.lit(seed), F.col("_id")))
+        return found.withColumn("_shard", F.pmod(F.col("_hash"), F.col("_shards")).cast("int"))
 
     cells = sorted(
         (r["_k"], r["_shard"], r["t"])
-        for r in placed.groupBy("_k", "_shard").agg(F.sum("_size").alias("t")).collect()
+        for r in place(bare).groupBy("_k", "_shard").agg(F.sum("_size").alias("t")).collect()
     )
     positive = [g for g in goal.values() if g > 0]
     block = max(1, min(1024, int(min(positive) / 1000))) if positive else 1
@@ -160,7 +162,7 @@ def mix(
     plan = spark.createDataFrame(rows, "_k int, _shard int, _passes long, _whole long, _part long, _blocks long, _step long, _shift long")
 
     line = Window.partitionBy("_k", "_shard").orderBy("_hash", "_id", "_size").rowsBetween(Window.unboundedPreceding, 0)
-    lined = placed.withColumn("_end", F.sum("_size").over(line)).join(
+    lined = place(sized).withColumn("_end", F.sum("_size").over(line)).join(
         broadcast_if_small(plan, len(rows)), ["_k", "_shard"]
     )
     start, end = F.col("_end") - F.col("_size"), F.col("_end")
