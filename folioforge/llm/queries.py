@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioforge.session import ship
-from folioforge.llm import decontaminate, mixing, pii, quality_rules, secrets, simhash, suffix_dedup, token_counts, url_filter, warc
+from folioforge.llm import decontaminate, hard_negatives, mixing, packing, pii, quality_rules, resampling, secrets, simhash, suffix_dedup, token_counts, url_filter, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,7 +66,27 @@ def op10_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(docs, rules)
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_secret_ledger, op3_skip_chain_pii, op4_warc_revisits, op5_simhash_covering, op6_decontaminate, op7_url_filter, op8_token_counts, op9_suffix_dedup, op10_decision_list)}
+def op11_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(_table(spark, sf_dir, "documents"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op12_postings_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op13_voronoi_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = hard_negatives.shifted_label(F.col("vec_id"), F.col("label"))
+    return hard_negatives.hard_negatives(_table(spark, sf_dir, "embeddings"), label=label)
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_mix_sources, op2_secret_ledger, op3_skip_chain_pii, op4_warc_revisits, op5_simhash_covering, op6_decontaminate, op7_url_filter, op8_token_counts,
+        op9_suffix_dedup, op10_decision_list, op11_vector_packing, op12_postings_resampling, op13_voronoi_negatives,
+    )
+}
 
 _ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
 
@@ -135,4 +155,49 @@ ORACLE_SQL: dict[str, str] = {
                 'date=' || revisit_time || chr(10) || 'etag=W/"' || own || '"' end as headers
         from met where k = 1
     """,
+    "op12_postings_resampling": r"""
+        with crc as (
+            select list(c order by b) as table_ from (
+                select b, list_reduce(range(8), lambda c, k: case when (c & 1) = 1 then xor(c >> 1, 3988292384) else c >> 1 end, b) as c from range(256) as r(b))
+        ), texts as (
+            select doc_id as id, text, true as ours from documents union all select null, text, false from benchmark
+        ), numbered as (
+            select row_number() over () as row, id, ours,
+                regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words
+            from texts
+        ), each as (
+            select row, ours, unnest(words) as word from numbered
+        ), hashed as (
+            select word, xor(list_reduce(list_transform(range(octet_length(encode(word))), lambda i: ('0x' || hex(encode(word))[2 * i + 1 : 2 * i + 2])::bigint),
+                lambda c, x: xor(c >> 8, table_[(xor(c, x) & 255) + 1]), 4294967295::bigint), 4294967295) % 10000 as bucket
+            from (select distinct word from each), crc
+        ), sums as (
+            select bucket, count_if(ours) as s, count_if(not ours) as t from each join hashed using (word) group by bucket
+        ), gain as (
+            select bucket, floor(1000 * ln(((t + 1)::double * (sum(s) over () + 10000)::double) / ((s + 1)::double * (sum(t) over () + 10000)::double)))::bigint as gain from sums
+        ), total as (
+            select row, sum(gain)::bigint as g from each join hashed using (word) join gain using (bucket) where ours group by row
+        ), scored as (
+            select row, id, len(words)::bigint as n, case when len(words) = 0 then 0 else ((g - ((g % len(words)) + len(words)) % len(words)) // len(words)) end::bigint as weight,
+                floor(-1000 * ln(-ln((('0x' || sha256('2024:' || id)[1 : 8])::bigint + 0.5) / 4294967296)))::bigint as noise
+            from numbered left join total using (row) where ours
+        ), placed as (
+            select *, weight + noise as score, row_number() over (partition by n >= 20 order by weight + noise desc, id) as k, count_if(n >= 20) over () as able from scored
+        )
+        select id as doc_id, n as n_features, weight, score, case when n >= 20 and k <= 10 * able // 100 then k end as rank from placed
+    """,
+    "op13_voronoi_negatives": """
+        with v as (
+            select vec_id as id, (case when vec_id % 7 = 0 then (label + 1) % 10 else label end) as label, list_transform(embedding, lambda x: floor(256 * x::double)) as x
+            from embeddings where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+        ), met as (
+            select a.id as a, b.id as b, a.label = b.label as same, list_inner_product(a.x, b.x)::bigint as score from v a join v b on a.id % 50 = 0 and a.id <> b.id
+        ), pos as (
+            select a, b, score, row_number() over (partition by a order by score desc, b) as k from met where same
+        ), neg as (
+            select p.a, p.b as positive_id, p.score as positive_score, n.b as negative_id, n.score as negative_score, row_number() over (partition by p.a, p.b order by n.score desc, n.b) as k
+            from pos p join met n on p.a = n.a and not n.same and 50 * p.score <= 100 * n.score and 100 * n.score <= 95 * p.score where p.k <= 5
+        )
+        select a as anchor_id, positive_id, k::int as rank, negative_id, positive_score, negative_score from neg where k <= 3
+    """,
 }
