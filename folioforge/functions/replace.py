@@ -5,17 +5,23 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from folioforge.functions.restore import Restorer
+from folioforge.functions.rewrite import Rewriter, layers
 from folioforge.functions.text import accent_insensitive, drop_suffix_number, map_segments, slugify, strip_accents
+from folioforge.session import ship
 
 ANGLE = r"(?iu)<\s*(?:PROTECT|PROTEGER)\s*[_:\-\s]*?([^>]+?)\s*>"
+#: The share of the larger side's segments that a token must share with a name.
+THRESHOLD = 0.66
 BARE = r"(?iu)\b(?:PROTECT|PROTEGER)\s*[_:\-\s]*?([^>\n]*?_\d+)(?U)\b"
 
 
-#: Up to so many rules become nested expressions; more are folded over an array, which keeps the plan flat.
-NESTED = 150
+#: Up to so many rules become nested expressions; more go through automata, in a pass for each link of their longest chain.
+NESTED = 16
 
 
 def longest_first(rules: list[tuple[str, str]]) -> list[tuple[str, str]]:
@@ -45,19 +51,33 @@ def replace_terms(c: Column, rules: list[tuple[str, str]], *, boundary: str = "w
     boundary "word" wants \b on both sides, "around" wants no word character next to the term (which
     differs for terms that begin or end in punctuation), "none" takes every occurrence.
     """
-    left, right = {"word": (r"\b", r"\b"), "around": (r"(?<!\w)", r"(?!\w)"), "none": ("", "")}[boundary]
+    # a character beyond 16 bits in the pattern makes Java look behind by whole characters
+    left, right = {"word": (r"\b", r"\b"), "around": (r"(?<![\w𝒳])", r"(?!\w)"), "none": ("", "")}[boundary]
     ordered = longest_first(rules)
-    pairs = ordered if boundary == "none" else [(f"(?U){left}{quoted(t)}{right}", as_replacement(x)) for t, x in ordered]
+    if len(ordered) > NESTED and all(t for t, _ in ordered):
+        return _rewritten(c, ordered, boundary)
+    for t, x in ordered:  # literal patterns are compiled once
+        c = F.replace(c, F.lit(t), F.lit(x)) if boundary == "none" else F.regexp_replace(c, F.lit(f"(?U){left}{quoted(t)}{right}"), F.lit(as_replacement(x)))
+    return c
 
-    def one(text: Column, find: Column, put: Column) -> Column:
-        return F.replace(text, find, put) if boundary == "none" else F.regexp_replace(text, find, put)
 
-    if len(pairs) <= NESTED:  # literal patterns are compiled once
-        for find, put in pairs:
-            c = one(c, F.lit(find), F.lit(put))
-        return c
-    held = F.array(*(F.struct(F.lit(find).alias("find"), F.lit(put).alias("put")) for find, put in pairs))
-    return F.aggregate(held, c, lambda s, r: one(s, r["find"], r["put"]))
+def _rewritten(c: Column, rules: list[tuple[str, str]], boundary: str) -> Column:
+    """The rules one after the other, by ``Rewriter``, over Arrow batches."""
+    spark = SparkSession.getActiveSession()
+    if spark is not None:
+        ship(spark)
+    order, held = layers(rules, boundary), []
+
+    def rewrite(texts: pa.Array) -> pa.Array:
+        if not held:  # once a task
+            held.append(Rewriter(rules, boundary, order))
+        found = texts.to_pylist()
+        at = [k for k, t in enumerate(found) if t is not None]
+        for k, t in zip(at, held[0]([found[k].encode() for k in at]), strict=True):
+            found[k] = t.decode()
+        return pa.array(found, type=pa.string())
+
+    return F.arrow_udf(rewrite, "string")(c)
 
 
 def restore_exact(c: Column, restore: list[tuple[str, str]]) -> Column:
@@ -116,7 +136,7 @@ def known_aliases(known: DataFrame, made: DataFrame | None = None) -> DataFrame:
     return out if made is None else out.join(made.select(F.col("alias").alias("token")), "token", "left_anti")
 
 
-def lookup_placeholder(name: Column, restore: list[tuple[str, str]], segments: dict[str, str] | None = None, threshold: float = 0.66) -> Column:
+def lookup_placeholder(name: Column, restore: list[tuple[str, str]], segments: dict[str, str] | None = None, threshold: float = THRESHOLD) -> Column:
     """The term that a damaged placeholder name stands for, or null.
 
     In this order: a token equal to the name's slug, its mapped form, or either without its number; the
@@ -125,6 +145,9 @@ def lookup_placeholder(name: Column, restore: list[tuple[str, str]], segments: d
     """
     if not restore:
         return F.lit(None).cast("string")
+    if len(restore) > NESTED and threshold > 0:
+        forms = F.array(_forms(slugify(strip_accents(name)), segments))
+        return F.when(name.isNotNull(), F.get(_looked_up(forms, restore, threshold), F.lit(0)))
     held = F.array(*(F.struct(F.lit(t).alias("token"), F.lit(term).alias("term")) for t, term in restore))
     token = lambda c: F.concat(F.lit("<PROTECT_"), c, F.lit(">"))
 
@@ -143,6 +166,28 @@ def lookup_placeholder(name: Column, restore: list[tuple[str, str]], segments: d
     return _let(_let(slugify(strip_accents(name)), names), found)
 
 
+def _forms(raw: Column, segments: dict[str, str] | None) -> Column:
+    """struct(names, bare): the slug, its mapped form and it without its number; these without numbers."""
+    names = F.array(raw, map_segments(raw, segments or {}), drop_suffix_number(raw))
+    return _let(names, lambda n: F.struct(n.alias("names"), F.transform(n, drop_suffix_number).alias("bare")))
+
+
+def _looked_up(forms: Column, restore: list[tuple[str, str]], threshold: float) -> Column:
+    """The terms of an array of ``_forms``, by an index that a task makes of the table once."""
+    spark = SparkSession.getActiveSession()
+    if spark is not None:
+        ship(spark)
+    held: list[Restorer] = []
+
+    def look_up(names: pa.Array) -> pa.Array:
+        if not held:
+            held.append(Restorer(restore, threshold))
+        rows = [None if own is None else [held[0](f["names"], f["bare"]) for f in own] for own in names.to_pylist()]
+        return pa.array(rows, type=pa.list_(pa.string()))
+
+    return F.arrow_udf(look_up, "array<string>")(forms)
+
+
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of a value that is worked out once, however often it is named."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
@@ -179,8 +224,16 @@ def restore_damaged(df: DataFrame, text_col: str, key: str, restore: list[tuple[
     """
     held = F.array_distinct(F.regexp_extract_all(text_col, F.lit(pattern), F.lit(0)))
     ordered = F.sort_array(F.transform(held, lambda m: F.struct((-F.length(m)).alias("n"), m.alias("m"))))
-    terms = F.transform(ordered, lambda p: F.struct(p["m"].alias("m"), lookup_placeholder(F.regexp_extract(p["m"], pattern, 1), restore, segments).alias("t")))
-    return df.withColumn(text_col, F.aggregate(terms, F.col(text_col), lambda s, p: F.coalesce(F.replace(s, p["m"], p["t"]), s)))
+    named = lambda m: F.regexp_extract(m, pattern, 1)
+    if len(restore) > NESTED:
+        found = df.withColumn("_ordered", ordered)
+        looked_up = _looked_up(F.transform("_ordered", lambda p: _forms(slugify(strip_accents(named(p["m"]))), segments)), restore, THRESHOLD)
+        found = found.withColumn("_terms", looked_up)
+        terms = F.zip_with("_ordered", "_terms", lambda p, t: F.struct(p["m"].alias("m"), t.alias("t")))
+    else:
+        found, terms = df, F.transform(ordered, lambda p: F.struct(p["m"].alias("m"), lookup_placeholder(named(p["m"]), restore, segments).alias("t")))
+    put = F.aggregate(terms, F.col(text_col), lambda s, p: F.coalesce(F.replace(s, p["m"], p["t"]), s))
+    return found.withColumn(text_col, put).drop("_ordered", "_terms")
 
 
 def restore_all(df: DataFrame, text_col: str, key: str, restore: list[tuple[str, str]], segments: dict[str, str] | None = None) -> DataFrame:

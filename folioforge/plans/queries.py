@@ -314,6 +314,19 @@ def protect_terms(spark, d):
     return _docs(spark, d).select("doc_id", R.replace_terms(_ascii(), _TERMS).alias("masked"))
 
 
+@query(
+    rf"""with t as (select distinct unnest(regexp_extract_all(text, '[a-z]{{7,}}')) as t from benchmark),
+    r as (select t, lead(t, 1, 'last') over (order by t) as p from t),
+    rules as (select list({{t: t, p: p}} order by length(t) desc, t) as rules from r)
+    select doc_id, list_reduce(rules, lambda a, r: {{t: r.t, p: regexp_replace(a.p, '\b' || r.t || '\b', r.p, 'g')}}, {{t: '', p: {_ASCII}}}).p as renamed from documents, rules"""
+)
+def rename_by_glossary(spark, d):
+    words = table(spark, d, "benchmark").select(F.explode(F.regexp_extract_all("text", F.lit("[a-z]{7,}"), F.lit(0))).alias("t")).distinct()
+    terms = [r.t for r in words.orderBy("t").collect()]
+    rules = list(zip(terms, [*terms[1:], "last"]))  # a replacement is mostly another rule's term
+    return _docs(spark, d).select("doc_id", R.replace_terms(_ascii(), rules).alias("renamed"))
+
+
 @query(f"select doc_id, {_ASCII} as text from documents")
 def protect_restore_roundtrip(spark, d):
     masked = R.replace_terms(_ascii(), _TERMS)
@@ -339,6 +352,24 @@ def placeholder_lookup(spark, d):
     return table(spark, d, "nation").select("n_name", R.lookup_placeholder(F.concat(F.lit("great old "), "n_name"), restore).alias("term"))
 
 
+@query(
+    """with t as (select p_partkey as k, '<PROTECT_' || upper(replace(p_name, ' ', '_')) || '_' || p_partkey || '>' as token, p_name || ' ' || p_partkey as term from part),
+    n as (select p_partkey as n, upper(replace(p_name, ' ', '_')) as slug from part union all
+        select p_partkey + 1000000, upper(split_part(p_name, ' ', 1)) || '_' || p_partkey from part union all select p_partkey + 2000000, 'WHITE_' || p_partkey from part),
+    tries as (select n, slug, 1 as form from n union all select n, regexp_replace(slug, '_[0-9]+$', ''), 2 from n where regexp_matches(slug, '_[0-9]+$')),
+    hits as (select n, min(k) as k from tries, t where starts_with(token, '<PROTECT_' || slug) group by n)
+    select n.n, term from n left join hits on n.n = hits.n left join t using (k)"""
+)
+def placeholder_lookup_table(spark, d):
+    """Damaged names against a token for every part: whole names and first words with a foreign number begin tokens, other words none."""
+    part = table(spark, d, "part").select("p_partkey", "p_name")
+    slug, key = R.slugify(F.col("p_name")), F.col("p_partkey").cast("string")
+    restore = [tuple(r) for r in part.orderBy("p_partkey").select(F.concat(F.lit("<PROTECT_"), slug, F.lit("_"), key, F.lit(">")), F.concat_ws(" ", "p_name", key)).collect()]
+    first = F.concat_ws("_", F.substring_index("p_name", " ", 1), key)
+    names = part.select(F.col("p_partkey").alias("n"), F.col("p_name").alias("name")).union(part.select(F.col("p_partkey") + 1_000_000, first)).union(part.select(F.col("p_partkey") + 2_000_000, F.concat(F.lit("white "), key)))
+    return names.select("n", R.lookup_placeholder(F.col("name"), restore).alias("term"))
+
+
 @query(
     """with t as (select min(p_partkey) as ord, p_name as term from part group by p_name), s as (
         select *, substr(upper(trim(regexp_replace(trim(term), '[^A-Za-z0-9]+', '_', 'g'), '_')), 1, 40) as slug from t),
@@ -609,6 +640,16 @@ def terms_in_texts(spark, d):
     return C.top_by_length(C.terms_in(_docs(spark, d), terms, "text", "term").select("doc_id", "term"), "doc_id", "term", 2)
 
 
+@query(
+    """with t as (select distinct unnest(regexp_extract_all(text, '[a-z]{7,}')) as term from conversations)
+    select doc_id, count(*) as n_terms, max(length(term)) as longest, min(term) as first from documents, t where contains(text, term) group by doc_id"""
+)
+def glossary_in_texts(spark, d):
+    terms = table(spark, d, "conversations").select(F.explode(F.regexp_extract_all("text", F.lit("[a-z]{7,}"), F.lit(0))).alias("term")).distinct()
+    met = C.terms_in(_docs(spark, d).select("doc_id", "text"), terms, "text", "term").select("doc_id", "term")
+    return met.groupBy("doc_id").agg(F.count("*").alias("n_terms"), F.max(F.length("term")).cast("long").alias("longest"), F.min("term").alias("first"))
+
+
 @query("select doc_id, n_chars from documents where doc_id between 10 and 500 order by n_chars desc, doc_id limit 20")
 def range_and_top_k(spark, d):
     docs = _docs(spark, d).where(C.in_range(F.col("doc_id"), 500, 10)).select("doc_id", "n_chars")

@@ -72,11 +72,11 @@ def test_missing_translations(spark):
     assert [(r.id, r.en) for r in C.missing_translations(pairs, C.translations_of(master)).collect()] == [(1, "Wall")]
 
 
-def test_terms_join_is_the_same_beyond_the_broadcast(spark):
+def test_terms_are_the_same_in_many_slices(spark):
     texts = spark.createDataFrame([(1, "see the big old town here"), (2, "xbig old townx"), (3, "big")], "id int, text string")
     terms = spark.createDataFrame([("big old town",), ("big",), ("zz",)], "term string")
     small = {(r.id, r.term) for r in C.terms_in(texts, terms, "text", "term").collect()}
-    assert small == {(r.id, r.term) for r in C.terms_in(texts, terms, "text", "term", small=0).collect()}
+    assert small == {(r.id, r.term) for r in C.terms_in(texts, terms, "text", "term", slice_bytes=3).collect()}
     assert small == {(1, "big old town"), (1, "big"), (2, "big old town"), (2, "big"), (3, "big")}
 
 
