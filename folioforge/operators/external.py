@@ -4,12 +4,11 @@ from __future__ import annotations
 
 import re
 import time
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
 #: (system prompt, user text) -> text
 Model = Callable[[str, str], str]
@@ -65,15 +64,17 @@ def keep_on_error(model: Model) -> Model:
 
 
 def map_model(df: DataFrame, model: Model, *, text_col: str, prompt_col: str | None = None, out_col: str = "result") -> DataFrame:
-    """``df`` with the model's answer to each text; null texts stay null. Put filters and distinct before this."""
-    schema = StructType([*df.schema.fields, StructField(out_col, StringType())])
+    """``df`` with the model's answer to each text; null texts stay null. Put filters and distinct before this.
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            prompts = batch[prompt_col] if prompt_col else [""] * len(batch)
-            yield batch.assign(**{out_col: [None if t is None else model(p or "", t) for p, t in zip(prompts, batch[text_col], strict=True)]})
+    Only texts and prompts go to Python; the other columns, ids of any type among them, stay as they are.
+    """
 
-    return df.mapInPandas(run, schema)
+    def answers(texts: pa.Array, prompts: pa.Array) -> pa.Array:
+        both = zip(texts.to_pylist(), prompts.to_pylist(), strict=True)
+        return pa.array([None if t is None else model(p or "", t) for t, p in both], type=pa.string())
+
+    ask = F.arrow_udf(answers, "string").asNondeterministic()  # each text is asked about once
+    return df.withColumn(out_col, ask(F.col(text_col), F.col(prompt_col) if prompt_col else F.lit("")))
 
 
 def map_chunks(chunks: DataFrame, key: str, model: Model, *, chunk_col: str = "chunk", prompt_col: str | None = None) -> DataFrame:

@@ -1,12 +1,11 @@
-"""Chapters from HTML pages. A tree is needed, so pages go through mapInPandas with the standard parser."""
+"""Chapters from HTML pages. A tree is needed, so pages go through Python with the standard parser."""
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -176,23 +175,20 @@ def body(root: Node, heading: Node | None, selectors: tuple[str, ...], least: in
 
 
 def extract_chapters(pages: DataFrame, *, id_col: str = "page_id", html_col: str = "html", selectors: tuple[str, ...] = ("article.chapter",), least: int = 200) -> DataFrame:
-    """id, heading, number, paragraphs, is_short for every page."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for i, html in zip(batch["id"], batch["html"], strict=True):
-                root = parse(html)
-                heading = find_heading(root)
-                title, number = title_and_number(squeezed(heading.text())) if heading is not None else (None, None)
-                found = body(root, heading, selectors, least)
-                rows.append((i, title, number, found, len("\n\n".join(found)) < least))
-            frame = pd.DataFrame(rows, columns=["id", "heading", "number", "paragraphs", "is_short"])
-            frame["number"] = frame["number"].astype("Int64")
-            yield frame
-
-    bare = pages.select(F.col(id_col).cast("long").alias("id"), F.col(html_col).alias("html"))
-    return bare.mapInPandas(run, "id long, heading string, number long, paragraphs array<string>, is_short boolean").withColumnRenamed("id", id_col)
+    """id, heading, number, paragraphs, is_short for every page. Only the HTML goes to Python; ids of any type stay as they are."""
+
+    def chapters(pages: pa.Array) -> pa.Array:
+        rows = []
+        for html in pages.to_pylist():
+            root = parse(html)
+            heading = find_heading(root)
+            title, number = title_and_number(squeezed(heading.text())) if heading is not None else (None, None)
+            found = body(root, heading, selectors, least)
+            rows.append({"heading": title, "number": number, "paragraphs": found, "is_short": len("\n\n".join(found)) < least})
+        return pa.array(rows, type=pa.struct([("heading", pa.string()), ("number", pa.int64()), ("paragraphs", pa.list_(pa.string())), ("is_short", pa.bool_())]))
+
+    read = F.arrow_udf(chapters, "heading string, number long, paragraphs array<string>, is_short boolean")
+    return pages.select(F.col(id_col), read(F.col(html_col)).alias("_chapter")).select(id_col, "_chapter.*")
 
 
 def visible_text(html: Column) -> Column:

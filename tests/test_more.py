@@ -75,11 +75,26 @@ def test_terms_of_any_length_by_pieces(spark):
     texts = spark.createDataFrame([(1, "the elm tree"), (2, "Old Oak Tree, the oak tree"), (3, "New\nline ölç"), (4, None), (5, "")], "id int, text string")
     terms = spark.createDataFrame([(w,) for w in words], "term string")
     want = {(r[0], w) for r in texts.collect() for w in words if r[1] is not None and w in r[1]}
-    many = C.terms_in(texts, terms, "text", "term", small=0)
+    many = C.terms_in(texts, terms, "text", "term", slice_bytes=8)
     got = [(r.id, r.term) for r in many.collect()]
     assert set(got) == want == {(r.id, r.term) for r in C.terms_in(texts, terms, "text", "term").collect()} and len(got) == len(want)
-    assert "CartesianProduct" not in many._jdf.queryExecution().toString()
+    plan = many._jdf.queryExecution().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
 def test_accents_of_any_script(spark):
     assert spark.range(1).select(T.strip_accents(F.lit("Ñandú й ΐ ἀ é が"))).first()[0] == "Nandu и ι α e か"
+
+
+def test_ids_beside_nulls_come_back(spark):
+    from folioforge.operators import external as X
+    from folioforge.sources import html as H
+
+    big = 2**60
+    pages = spark.createDataFrame([(big + 1, "<h1>Chapter 3: On</h1>"), (None, "<h1>x</h1>"), (big + 3, None)], "page_id long, html string").coalesce(1)
+    got = H.extract_chapters(pages).collect()
+    assert [r.page_id for r in got] == [big + 1, None, big + 3] and [r.number for r in got] == [3, None, None]
+    assert [r.page_id for r in X.map_model(pages, X.echo, text_col="html").collect()] == [big + 1, None, big + 3]
+    named = pages.selectExpr("concat('p', page_id) as page_id", "html")
+    assert [r.page_id for r in H.extract_chapters(named).collect()] == [f"p{big + 1}", None, f"p{big + 3}"]
+    assert [r.result for r in X.map_model(named, X.echo, text_col="html", prompt_col="page_id").collect()] == [f"[{len(str(big)) + 1}] <h1>Chapter 3: On</h1>", "[0] <h1>x</h1>", None]
