@@ -24,6 +24,7 @@ import re
 import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -63,7 +64,7 @@ class Ids:
     go part by part.
     """
 
-    MOST = 400_000
+    MOST = 600_000
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -103,7 +104,7 @@ class Ids:
         if len(self.known) > self.MOST:
             self.before, self.known = self.known, {}
         words = self.words.findall(text.lower())
-        new = [w for w in set(words) if w not in self.known]
+        new = set(words).difference(self.known)
         if new:
             old = {w: self.before[w] for w in new if w in self.before}
             self.known |= old
@@ -125,6 +126,12 @@ class Ids:
         return b"".join(out)
 
 
+@lru_cache(maxsize=1)
+def ids_of(path: str) -> Ids:
+    """One for all tasks of a worker, so words are learnt once."""
+    return Ids(path)
+
+
 @dataclass
 class Example:
     """What is left of an example: its ids from ``start`` on. Those from ``prompt`` on bear loss."""
@@ -247,7 +254,7 @@ def pack(
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of, packer = Ids(tokenizer_path(vocabulary)), Packer(limits)
+        encode, packer = ids_of(tokenizer_path(vocabulary)), Packer(limits)
         number = TaskContext.get().partitionId() << 40
         out: list[tuple] = []
 
@@ -270,8 +277,8 @@ def pack(
             for k in range(0, whole.num_rows, ROWS):
                 part = whole.slice(k, ROWS)
                 for key, prompt, text in zip(*(part.column(c).to_pylist() for c in range(3)), strict=True):
-                    before = ids_of(prompt) if prompt else b""
-                    write(packer.add(Example(key, before + ids_of(text) + end, len(before) // 4)))
+                    before = encode(prompt) if prompt else b""
+                    write(packer.add(Example(key, before + encode(text) + end, len(before) // 4)))
                 if out:
                     yield batch()
         write(packer.rest())
