@@ -26,7 +26,7 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share: spark.checkpoint.dir where the cluster names one.
 
     Where it is unset, a local master gets a temporary folder of its own and any other master a
-    folder below the warehouse, which is shared too.
+    folder below the warehouse, if that isn't on a machine's own disk; else there is no shared folder, which is an error.
     """
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named:
@@ -36,10 +36,17 @@ def shared_folder(spark: SparkSession) -> str:
         if spark.sparkContext.master.startswith("local[") or spark.sparkContext.master == "local":
             _own_folder[app] = "file://" + tempfile.mkdtemp(prefix="folioforge-")
         else:
-            _own_folder[app] = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_folioforge"
+            _own_folder[app] = below_warehouse(spark)
     return _own_folder[app]
 
 
+def below_warehouse(spark: SparkSession) -> str:
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    if _at(spark, warehouse)[0].getUri().getScheme() == "file":
+        raise ValueError(f"no folder that all executors share: set spark.checkpoint.dir (the warehouse, {warehouse}, is a local folder)")
+    return warehouse.rstrip("/") + "/_folioforge"
+
+
 def stored(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """Write ``df`` as Parquet in the shared folder; (what reads it back, path). It goes when the driver's JVM ends."""
     spark = df.sparkSession

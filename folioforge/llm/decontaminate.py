@@ -16,11 +16,12 @@ alignment that is consistent covers at least ``coverage`` of the item's tokens,
 
 The items go to all executors when their texts are below ``MOST_CHARACTERS``, which bounds the
 broadcast; beyond it the documents' windows are joined by shuffle. Either way a document's matches are
-few rows: only windows that an item has leave the map side.
+few rows: only windows that an item has, or that pass a filter of the items' hashes, leave the map side.
 
 Null and empty texts match nothing. Repeated rows share their id's result; rows without id that of their
 text. Items that are null or have
-no word are ignored. With no items nothing matches.
+no word are ignored. Items are told apart by their rows: several texts may share an id, which is found if one of them is, and
+items without id are found as null. With no items nothing matches.
 """
 
 from __future__ import annotations
@@ -177,17 +178,17 @@ def consistent(pairs: list[tuple[str, str, str]]) -> bool:
 
 
 class Matcher:
-    """Finds items, given as (item id, text), in texts."""
+    """Finds items, given as texts, in texts. An item is known by its place in the list."""
 
-    def __init__(self, items: list[tuple[int, str]], width: int, coverage: float, cells: int = 20):
+    def __init__(self, items: list[str], width: int, coverage: float, cells: int = 20):
         """cells: the log of the size of the table that spares most windows the search."""
         self.width, self.coverage, self.templates = width, coverage, Templates()
-        self.items: dict[int, tuple[list[str], list[str]]] = {}
+        self.items: list[tuple[list[str], list[str]]] = []
         at: dict[int, list[tuple[int, int]]] = {}
-        for i, text in items:
+        for i, text in enumerate(items):
             made = self.templates.make(text or "")
             where, hashes = windows(made, width, item=True)
-            self.items[i] = [made.token(k) for k in range(len(made))], [made.value(k) for k in range(len(made))]
+            self.items.append(([made.token(k) for k in range(len(made))], [made.value(k) for k in range(len(made))]))
             for p, h in set(zip(where.tolist(), hashes.tolist(), strict=True)):
                 at.setdefault(h, []).append((i, p))
         self.at = at
@@ -195,10 +196,10 @@ class Matcher:
         self.low = np.uint64((1 << cells) - 1)
         self.maybe = np.zeros(1 << cells, dtype=bool)  # by the low bits
         self.maybe[self.sorted & self.low] = True
-        self.widths = {min(width, len(t)) for t, _ in self.items.values() if t}
+        self.widths = {min(width, len(t)) for t, _ in self.items if t}
 
     def find(self, text: str) -> list[tuple[int, int]]:
-        """(item id, matched tokens) of the items found."""
+        """(place, matched tokens) of the items found."""
         if not len(self.sorted):
             return []
         made = self.templates.make(text)
@@ -263,15 +264,17 @@ def _find(bare: DataFrame, benchmark: DataFrame, item_col: str = "item_id", item
     size = items.agg(F.sum(F.length("t") + 1).alias("n")).first()["n"] or 0
     if size > MOST_CHARACTERS:
         return _find_by_shuffle(bare, items, width, coverage)
-    held = spark.sparkContext.broadcast([(r.i, r.t) for r in items.collect()])
+    rows = items.collect()
+    held = spark.sparkContext.broadcast(([r.i for r in rows], [r.t for r in rows]))
     name = uuid.uuid4().hex
     item_type = items.schema["i"].dataType.simpleString()
 
     def start():
-        matcher = _kept(name, lambda: Matcher(held.value, width, coverage))
+        ids, texts_of_items = held.value
+        matcher = _kept(name, lambda: Matcher(texts_of_items, width, coverage))
 
         def found(texts: list[str]):
-            rows = [(k, i, n, len(matcher.items[i][0])) for k, t in enumerate(texts) for i, n in matcher.find(t)]
+            rows = [(k, ids[i], n, len(matcher.items[i][0])) for k, t in enumerate(texts) for i, n in matcher.find(t)]
             at, *columns = zip(*rows) if rows else ((), (), (), ())
             return at, columns
 
@@ -280,10 +283,43 @@ def _find(bare: DataFrame, benchmark: DataFrame, item_col: str = "item_id", item
     return map_rows(bare, ["id", "own"], start, f"i {item_type}, matched long, item_tokens long")
 
 
+#: Bits of the filter through which documents' windows pass before they are shuffled: for each window of an item, and at most.
+BITS, MOST_BITS = 16, 1 << 28
+#: A document's candidates are matched in so many lots, so no list of items is long.
+LOTS = 16
+
+
+def _places(h, bits: int):
+    """Two places in the filter, of a column or an array of hashes."""
+    return (h & (bits - 1), (h >> 20) & (bits - 1)) if isinstance(h, np.ndarray) else (h.bitwiseAND(F.lit(bits - 1)), F.shiftright(h, 20).bitwiseAND(F.lit(bits - 1)))
+
+
+def _filter(ours: DataFrame) -> np.ndarray:
+    """A Bloom filter of the items' hashes, as bytes of 0 and 1 packed into bits; its size follows their number, up to ``MOST_BITS``."""
+    n = ours.select("h").distinct().count()
+    bits = min(MOST_BITS, 1 << max(10, (BITS * n).bit_length()))
+    place = ours.select(F.explode(F.array(*_places(F.col("h"), bits))).alias("p"))
+    words = place.groupBy(F.shiftright("p", 5).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 31 as int))")).alias("v")).toArrow()
+    out = np.zeros(bits >> 5, dtype=np.uint32)
+    out[words.column("w").to_numpy()] = words.column("v").to_numpy().astype(np.uint32)
+    return out
+
+
+def _passes(held: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    out = np.ones(len(hashes), dtype=bool)
+    for p in _places(hashes, len(held) << 5):
+        out &= (held[p >> 5] >> (p & 31).astype(np.uint32)) & 1 > 0
+    return out
+
+
 def _find_by_shuffle(bare: DataFrame, items: DataFrame, width: int, coverage: float) -> DataFrame:
-    """The same for item tables of any size: window hashes meet in a shuffle join, then candidate pairs are matched."""
+    """The same for item tables of any size.
+
+    Hashes of the items' windows make a filter that all executors get; documents' windows that pass it meet the items'
+    in a shuffle join. Candidates' items are gathered by document, in lots, and meet its text once a lot.
+    """
 
-    def hashed(widths: list[int] | None):
+    def hashed(widths: list[int] | None, held=None):
         """(w, h): windows of items, as wide as the item allows, or of documents at each of the items' widths."""
 
         def start():
@@ -296,53 +332,53 @@ def _find_by_shuffle(bare: DataFrame, items: DataFrame, width: int, coverage: fl
                     for w in [min(width, len(made))] if widths is None else widths:
                         if 0 < w <= len(made):
                             _, hashes = windows(made, w, item=widths is None)
-                            own = np.unique(hashes.view(np.int64)).tolist()
+                            own = np.unique(hashes.view(np.int64))
+                            if held is not None:
+                                own = own[_passes(held.value, own)]
                             at += [k] * len(own)
                             w_ += [w] * len(own)
-                            h_ += own
+                            h_ += own.tolist()
                 return at, [w_, h_]
 
             return found
 
         return start
 
-    ours = staged(map_rows(items, ["i"], hashed(None), "w int, h long"), "decontaminate-items")
+    items = staged(items.withColumn("place", F.monotonically_increasing_id()), "decontaminate-texts")
+    ours = staged(map_rows(items.select("place", "t"), ["place"], hashed(None), "w int, h long"), "decontaminate-items")
     widths = sorted(r.w for r in ours.select("w").distinct().collect())  # at most ``width`` of them
-    theirs = map_rows(bare, ["id", "own"], hashed(widths), "w int, h long")
-    pairs = theirs.join(ours, ["w", "h"]).select("id", "own", "i").distinct()
+    passed = bare.sparkSession.sparkContext.broadcast(_filter(ours))
+    theirs = map_rows(bare, ["id", "own"], hashed(widths, passed), "w int, h long")
+    pairs = theirs.join(ours, ["w", "h"]).select("id", "own", "place").distinct()
+    lots = pairs.join(items, "place").groupBy("id", "own", F.pmod("place", F.lit(LOTS)).alias("lot")).agg(F.collect_list(F.struct("i", "t")).alias("items"))
+    lots = lots.select(F.col("id").alias("id_"), F.col("own").alias("own_"), "items")
+    both = bare.join(lots, F.col("id").eqNullSafe(F.col("id_")) & (F.col("own") == F.col("own_"))).select("id", "own", "text", "items")
+    item_type = items.schema["i"].dataType.simpleString()
 
     def start():
-        matchers: dict = {}
-
-        def found(names: list, texts: list[str], items: list[str]):
-            at, matched, size = [], [], []
-            for k, (i, text, item) in enumerate(zip(names, texts, items, strict=True)):
-                if len(matchers) > 1_000:
-                    matchers.clear()
-                if (i, item) not in matchers:
-                    matchers[i, item] = Matcher([(i, item)], width, coverage, cells=10)
-                matcher = matchers[i, item]
-                for _, n in matcher.find(text):
+        def found(texts: list[str], items: list[list[dict]]):
+            at, columns = [], ([], [], [])
+            for k, (text, own) in enumerate(zip(texts, items, strict=True)):
+                matcher = Matcher([x["t"] for x in own], width, coverage, cells=10)
+                for i, n in matcher.find(text):
                     at.append(k)
-                    matched.append(n)
-                    size.append(len(matcher.items[i][0]))
-            return at, [matched, size]
+                    for c, v in zip(columns, (own[i]["i"], n, len(matcher.items[i][0])), strict=True):
+                        c.append(v)
+            return at, columns
 
         return found
 
-    texts = bare.select(F.col("id").alias("id_"), F.col("own").alias("own_"), "text")
-    both = pairs.join(texts, F.col("id").eqNullSafe(F.col("id_")) & (F.col("own") == F.col("own_")))
-    both = both.join(items.withColumnRenamed("i", "i_"), F.col("i").eqNullSafe(F.col("i_")))
-    both = both.select("id", "own", "i", F.col("i").alias("name"), "text", "t")
-    return map_rows(both, ["id", "own", "i"], start, "matched long, item_tokens long")
+    return map_rows(both, ["id", "own"], start, f"i {item_type}, matched long, item_tokens long")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", **how) -> DataFrame:
-    """A row for each row of ``docs``: id, n_items, items (ids, sorted), matched (tokens), contaminated."""
+    """A row for each row of ``docs``: id, n_items, items (the distinct ids found, sorted; null for items without id), matched
+    (tokens), contaminated."""
     bare = _bare(docs, id_col, text_col)
-    found = _find(bare, benchmark, item_col, **how).distinct()
-    by_doc = found.groupBy("id", "own").agg(F.sort_array(F.collect_set("i")).alias("items"), F.max("matched").alias("matched"), F.count("*").alias("_n"))
-    by_doc = by_doc.select(F.col("id").alias("id_"), F.col("own").alias("own_"), "items", "matched", "_n")
+    found = _find(bare, benchmark, item_col, **how)
+    ids = F.transform(F.sort_array(F.collect_set(F.struct("i"))), lambda x: x["i"])
+    by_doc = found.groupBy("id", "own").agg(ids.alias("items"), F.max("matched").alias("matched"))
+    by_doc = by_doc.select(F.col("id").alias("id_"), F.col("own").alias("own_"), "items", "matched")
     out = bare.select("id", "own").join(by_doc, F.col("id").eqNullSafe(F.col("id_")) & (F.col("own") == F.col("own_")), "left")
     items = F.coalesce("items", F.array().cast(by_doc.schema["items"].dataType))
     return out.select(
@@ -350,7 +386,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_i
         F.size(items).cast("long").alias("n_items"),
         items.alias("items"),
         F.coalesce("matched", F.lit(0).cast("long")).alias("matched"),
-        F.col("_n").isNotNull().alias("contaminated"),
+        (F.size(items) > 0).alias("contaminated"),
     )
 
 

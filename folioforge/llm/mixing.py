@@ -3,9 +3,10 @@
 1. Sizes: words per document; totals per source (one row a source goes to the driver).
 2. Targets: sources in code-point order, null last, take the weights in turn. They share all words
    by weight; a target stops at ``epochs`` times its source and the excess is shared again by weight.
-3. Apportionment: all words are cut into blocks of equal token counts. Blocks go to sources by the
-   highest quotients ``target / (2k + 1)``, then within a source to its shards by the same rule, so
-   every shard has an integer quota.
+3. Apportionment: words are cut into blocks of equal token counts, ``LARGEST`` or, for sources whose target holds
+   few of these, the next power of two that makes about a thousand of it; sources with one size of block share their seats. Blocks go
+   to sources by the highest quotients ``target / (2k + 1)``, then within a source to its shards by the same rule, so
+   every shard has an integer quota. A tiny source so has small blocks, and no other has.
 4. Seeded selection: a shard lines its documents up in the order of a seeded hash and cuts the line into
    blocks. A quota takes whole passes over the line and then as many blocks as it has left, chosen by a
    seeded permutation of the shard's blocks, the last of them in part where words are left over. What
@@ -28,7 +29,7 @@ import math
 import random
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folioforge.llm.common import broadcast_if_small, staged, word_count
@@ -85,15 +86,44 @@ def sainte_lague(votes, seats: int, caps) -> np.ndarray:
     return got
 
 
-def permutation(seed: int, k: int, shard: int, blocks: int) -> tuple[int, int, int]:
-    """(blocks, step, shift) of the permutation b -> (b * step + shift) mod blocks. The last block, which may
-    be short, comes last, so whole blocks are chosen before it and a quota is met to the word."""
-    blocks = max(1, blocks)
+#: Words of a block at most, blocks that a source's target should have, and blocks that a source may have.
+LARGEST, BLOCKS, MOST_BLOCKS = 1024, 1000, 1 << 22
+
+
+def block_of(target: float, size: int) -> int:
+    """Words of a source's blocks."""
+    wanted = max(1, int(target / BLOCKS), size // MOST_BLOCKS)
+    return min(1 << (wanted.bit_length() - 1), LARGEST)
+
+
+ROUNDS = 3
+
+
+def permutation(seed: int, k: int, shard: int, blocks: int) -> tuple[int, int, list[int], list[int]]:
+    """(blocks, bits, factors, shifts) of a permutation of the shard's blocks but the last, see ``rank_of``."""
     rng = random.Random(f"{seed}/{k}/{shard}")
-    step = rng.randrange(blocks) | 1
-    while math.gcd(step, blocks) > 1:
-        step = rng.randrange(blocks) | 1
-    return blocks, step, (blocks - 1) * (1 - step) % blocks
+    bits = max(1, (max(1, blocks) - 2).bit_length())
+    return max(1, blocks), bits, [rng.randrange(1 << 20) | 1 for _ in range(ROUNDS)], [rng.randrange(1 << 20) for _ in range(ROUNDS)]
+
+
+def rank_of(b: Column, blocks: Column, bits: Column, factors: Column, shifts: Column) -> Column:
+    """The place of block ``b`` among a shard's blocks.
+
+    Numbers of ``bits`` bits are permuted by rounds of an odd factor, a shift and a fold of the upper bits onto the lower; one
+    that falls outside goes round again. The last block, which may be short, comes last, so whole blocks are
+    chosen before it and a quota is met to the word.
+    """
+    mask = F.expr("shiftleft(1L, _bits)") - 1
+    half = F.floor(bits / 2).cast("int") + 1
+
+    def turned(x: Column) -> Column:
+        for r in range(ROUNDS):
+            x = (x * factors[r] + shifts[r]).bitwiseAND(mask)
+            x = x.bitwiseXOR(F.call_function("shiftright", x, half))
+        return x
+
+    inside = F.aggregate(F.sequence(F.lit(1), F.lit(64)), turned(b), lambda x, _: F.when(x >= blocks - 1, turned(x)).otherwise(x))
+    return F.when(b == blocks - 1, b).otherwise(inside)
 
 
 def mix(
@@ -144,22 +174,25 @@ def mix(
         (r["_k"], r["_shard"], r["t"])
         for r in place(bare).groupBy("_k", "_shard").agg(F.sum("_size").alias("t")).collect()
     )
-    positive = [g for g in goal.values() if g > 0]
-    block = max(1, min(1024, int(min(positive) / 1000))) if positive else 1
+    block = np.array([block_of(goal[s], totals[s][1]) for s in names], dtype=np.int64)
     tokens = np.array([t for _, _, t in cells], dtype=np.int64)
     at = np.array([k for k, _, _ in cells], dtype=np.int64)
-    most = (epochs * tokens) // block
+    most = (epochs * tokens) // block[at]
     source_caps = np.bincount(at, weights=most, minlength=len(names)).astype(np.int64)
-    quotas = sainte_lague([goal[s] for s in names], round(sum(positive) / block), source_caps)
+    targets = np.array([goal[s] for s in names], dtype=float)
+    quotas = np.zeros(len(names), dtype=np.int64)
+    for size in np.unique(block):
+        own = np.flatnonzero(block == size)
+        quotas[own] = sainte_lague(targets[own], round(targets[own].sum() / size), source_caps[own])
     quota = np.zeros(len(cells), dtype=np.int64)
     edges = np.searchsorted(at, np.arange(len(names) + 1))  # cells are in the order of sources
     for k, own in enumerate(map(slice, edges[:-1], edges[1:])):
         quota[own] = sainte_lague(tokens[own], int(quotas[k]), most[own])
     rows = [
-        (int(k), int(j), int(q * block // max(t, 1)), *divmod(int(q * block % max(t, 1)), block), *permutation(seed, k, j, -(-t // block)))
-        for (k, j, t), q in zip(cells, quota, strict=True)
+        (int(k), int(j), int(q * n // max(t, 1)), *divmod(int(q * n % max(t, 1)), n), n, *permutation(seed, k, j, -(-t // n)))
+        for (k, j, t), q, n in zip(cells, quota, block[at].tolist(), strict=True)
     ]
-    plan = spark.createDataFrame(rows, "_k int, _shard int, _passes long, _whole long, _part long, _blocks long, _step long, _shift long")
+    plan = spark.createDataFrame(rows, "_k int, _shard int, _passes long, _whole long, _part long, _block long, _blocks long, _bits int, _factors array<long>, _shifts array<long>")
 
     line = Window.partitionBy("_k", "_shard").orderBy("_hash", "_id", "_size").rowsBetween(Window.unboundedPreceding, 0)
     lined = place(sized).withColumn("_end", F.sum("_size").over(line)).join(
@@ -167,12 +200,14 @@ def mix(
     )
     start, end = F.col("_end") - F.col("_size"), F.col("_end")
 
+    size = F.col("_block")
+
     def given(b):
-        rank = F.pmod(b * F.col("_step") + F.col("_shift"), F.col("_blocks"))
-        taken = F.when(rank < F.col("_whole"), block).when(rank == F.col("_whole"), F.col("_part")).otherwise(0)
-        return F.greatest(F.least(end, b * block + taken) - F.greatest(start, b * block), F.lit(0))
+        rank = rank_of(b, *(F.col(c) for c in ("_blocks", "_bits", "_factors", "_shifts")))
+        taken = F.when(rank < F.col("_whole"), size).when(rank == F.col("_whole"), F.col("_part")).otherwise(0)
+        return F.greatest(F.least(end, b * size + taken) - F.greatest(start, b * size), F.lit(0))
 
-    own = F.sequence(F.expr(f"(_end - _size) div {block}"), F.expr(f"(_end - 1) div {block}"))
+    own = F.sequence(F.expr("(_end - _size) div _block"), F.expr("(_end - 1) div _block"))
     chosen = F.when(F.col("_size") > 0, F.aggregate(own, F.lit(0).cast("long"), lambda s, b: s + given(b))).otherwise(0)
     return lined.select(
         F.col("_id").alias(id_col),

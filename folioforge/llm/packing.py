@@ -83,6 +83,10 @@ class Ids:
         self.words = re.compile(rf"[{of('L')}]+|[{of('N')}]|'(?:[stmd]|re|ve|ll)|[^{white}{of('L')}{of('N')}]+")
         # U+0130 becomes two characters in lower case
         self.odd = re.compile(rf"[^\x00-įı-{chr(_LAST)}]|<\|")
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=bool)  # whether a piece ends a word
+        self.ends[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
+        self.plain = self.plain and held["model"].get("end_of_word_suffix") == "</w>"
         self.known: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}  # the words remembered before these
 
@@ -92,14 +96,14 @@ class Ids:
     def _learn(self, words: list[str]) -> None:
         """A space apart, words are encoded as each is alone."""
         found = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
-        ids, of = np.array(found.ids, dtype="<u4"), np.array(found.word_ids, dtype=np.int64)
-        cuts = np.searchsorted(of, np.arange(len(words) + 1)).tolist()
+        ids = np.array(found.ids, dtype="<u4")
+        cuts = (np.flatnonzero(self.ends[ids]) + 1).tolist()
         held = ids.tobytes()
-        for word, a, b in zip(words, cuts, cuts[1:]):
+        for word, a, b in zip(words, [0, *cuts], cuts, strict=False):
             self.known[word] = held[4 * a : 4 * b]
 
     def _part(self, text: str) -> bytes:
-        if not self.plain or self.odd.search(text):
+        if not self.plain or ("<|" in text if text.isascii() else self.odd.search(text)):
             return self._of(text)
         if len(self.known) > self.MOST:
             self.before, self.known = self.known, {}

@@ -5,8 +5,9 @@ check is dropped and not retried. The field then labels candidates, tokens with
 and runs of short digit groups, as O, email, ip, card or phone. All other tokens are O and constant, so
 leaving them out changes nothing. Neighbouring candidates share a chain potential. Candidates that
 repeat, however far apart in the document, share a skip potential: equal tokens, equal last seven digits
-whatever stands between them, equal address names. Each is linked to the one before it and the first
-one with the same key, so links are linear in the tokens. Loopy sum-product passes messages over both until they settle; a
+whatever stands between them, equal address names. Each is linked to the one before it, the first one, and the first one
+in a pattern span with the same key, so links are linear in the tokens. Links to a pattern span have a potential of
+their own, which is bounded from below: one certain twin is enough. Loopy sum-product passes messages over all until they settle; a
 mention that on its own is doubtful takes the label of its certain twin. A candidate outside all pattern
 spans whose marginal reaches ``certain`` is added. That finds what the patterns lose because they run on
 into the next number and drop the whole, and short or reformatted mentions of a certain one.
@@ -188,18 +189,25 @@ def keys_of(token: str) -> list[str]:
     return out
 
 
-def edges(text: str, spans: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
-    """(chain, skip) pairs of candidate indexes."""
+#: What a link to a pattern span of a kind adds at least to the log odds of that kind against O.
+TWIN = 10.0
+
+
+def edges(text: str, spans: list[tuple[int, int]], cover: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(chain, free, anchored) pairs of candidate indexes: neighbours, alike with none in a pattern span, alike with one or both."""
     chain = [(i, i + 1) for i in range(len(spans) - 1) if spans[i + 1][0] - spans[i][1] <= 3]
-    ends: dict[str, tuple[int, int]] = {}  # the first and the last candidate with a key
+    ends: dict[str, tuple[int, int, int | None]] = {}  # the first, the last and the first certain candidate with a key
     skip = set()
     for i, (a, b) in enumerate(spans):
         for key in keys_of(text[a:b]):
-            first, last = ends.get(key, (i, i))
-            skip |= {(k, i) for k in (first, last) if k != i}
-            ends[key] = first, i
-    skip -= set(chain)
-    return np.array(chain, dtype=np.int64).reshape(-1, 2), np.array(sorted(skip), dtype=np.int64).reshape(-1, 2)
+            first, last, sure = ends.get(key, (i, i, None))
+            skip |= {(k, i) for k in (first, last, sure) if k is not None and k != i}
+            if cover[i] and sure is None:
+                skip |= {(first, i)} if first != i else set()
+                sure = i
+            ends[key] = first, i, sure
+    parts = [sorted(e for e in skip if bool(cover[e[0]] or cover[e[1]]) == sure) for sure in (False, True)]
+    return tuple(np.array(p, dtype=np.int64).reshape(-1, 2) for p in (chain, *parts))
 
 
 def propagate(unary: np.ndarray, pairs: np.ndarray, tables: np.ndarray, *, rounds: int = 30, damping: float = 0.3) -> np.ndarray:
@@ -332,13 +340,13 @@ def made_up(seed: int, n: int):
 
 
 @lru_cache(maxsize=1)
-def fitted() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(weights, chain table, skip table) by pseudo-likelihood: each label given its neighbours' labels."""
+def fitted() -> tuple[np.ndarray, np.ndarray]:
+    """(weights, tables of chain, free and anchored links) by pseudo-likelihood: each label given its neighbours' labels."""
     k = len(LABELS)
     xs, ys, near = [], [], []
     for text, spans, cover, labels in made_up(5, 1_500):
-        counts = np.zeros((len(spans), 2 * k))
-        for which, pairs in enumerate(edges(text, spans)):
+        counts = np.zeros((len(spans), 3 * k))
+        for which, pairs in enumerate(edges(text, spans, cover)):
             for u, v in pairs:
                 counts[u, which * k + labels[v]] += 1
                 counts[v, which * k + labels[u]] += 1
@@ -347,15 +355,18 @@ def fitted() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         near.append(counts)
     x, y, c = np.concatenate(xs), np.concatenate(ys), np.concatenate(near)
     one = np.eye(k)[y]
-    w, t = np.zeros((FEATURES, k)), np.zeros((2 * k, k))
+    w, t = np.zeros((FEATURES, k)), np.zeros((3 * k, k))
     for _ in range(1_000):
         z = x @ w + c @ t
         p = np.exp(z - z.max(axis=1, keepdims=True))
         miss = one - p / p.sum(axis=1, keepdims=True)
         w += 2.0 * (x.T @ miss / len(x) - 1e-5 * w)
         t += 2.0 * (c.T @ miss / len(x) - 1e-5 * t)
-    halves = t.reshape(2, k, k)
-    return w, (halves[0] + halves[0].T) / 2, (halves[1] + halves[1].T) / 2
+    tables = t.reshape(3, k, k)
+    tables = (tables + tables.transpose(0, 2, 1)) / 2
+    for kind in range(1, k):
+        tables[2, kind, kind] = max(tables[2, kind, kind], tables[2, 0, kind] + TWIN)
+    return w, tables
 
 
 def find(text: str, model, certain: float = 0.85) -> tuple[list[list[tuple[int, int]]], list[list[tuple[int, int]]]]:
@@ -367,13 +378,10 @@ def find(text: str, model, certain: float = 0.85) -> tuple[list[list[tuple[int,
     cover = _cover(spans, base)
     if cover.all():
         return base, base
-    weights, chain_table, skip_table = model
-    chain, skip = edges(text, spans)
-    if not len(chain) and not len(skip):
-        pairs, tables = chain, np.zeros((0, len(LABELS), len(LABELS)))
-    else:
-        pairs = np.concatenate((chain, skip))
-        tables = np.concatenate((np.repeat(chain_table[None], len(chain), 0), np.repeat(skip_table[None], len(skip), 0)))
+    weights, potentials = model
+    links = edges(text, spans, cover)
+    pairs = np.concatenate(links)
+    tables = np.repeat(potentials, [len(p) for p in links], axis=0)
     marginal = propagate(features(text, spans, cover) @ weights, pairs, tables)
     both = [list(b) for b in base]
     for i in np.flatnonzero((cover == 0) & (marginal.argmax(axis=1) > 0) & (marginal.max(axis=1) >= certain)):

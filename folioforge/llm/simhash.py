@@ -154,10 +154,11 @@ def hex_of(fp: Column) -> Column:
 
 # ---------------------------------------------------------------- near copies by similarity
 
-#: Shingles that stand in COMMON or more of about SAMPLE texts come last in the order of shingles, at most MOST_COMMON of them.
-SAMPLE = 20_000
+#: Shingles that stand in COMMON or more texts of a sample come last in the order of shingles, the MOST_COMMON commonest of them.
+#: The sample has about SAMPLE texts, and at least one of SHARE, so it follows the corpus.
+SAMPLE, SHARE = 20_000, 64
 COMMON = 3
-MOST_COMMON = 100_000
+MOST_COMMON = 400_000
 #: Words of 64 bits in the parity sketch of a set of shingles.
 SKETCH = 4
 
@@ -202,14 +203,17 @@ def _alike(pairs: DataFrame, bare: DataFrame, shingle: int, similarity: float, n
 
 
 def _common_shingles(bare: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes, sorted, and counts of the commonest shingles of a sample of the texts, by the order of the ids' hash."""
+    """Hashes, sorted, and counts of the commonest shingles of a sample of the texts, by the order of the ids' hash.
+
+    A shingle that isn't held stands in few texts: below COMMON * SHARE of a large corpus, as the sample has it, or in fewer than any that is.
+    """
 
     def keys(texts: list[str]):
         sets = [np.unique(shingle_hashes(words_of(t), size)).view(np.int64) for t in texts]
         whole = np.concatenate([*sets, np.zeros(0, dtype=np.int64)])
         return np.zeros(len(whole), dtype=np.int64), [whole]
 
-    every = max(1, bare.count() // SAMPLE)
+    every = max(1, min(SHARE, bare.count() // SAMPLE))
     sample = bare.where(F.pmod(F.xxhash64("id"), F.lit(every)) == 0)
     counts = map_rows(sample, [], lambda: lambda ids, texts: keys(texts), "key long").groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") >= COMMON)
     held = counts.orderBy(F.desc("n"), "key").limit(MOST_COMMON).collect()
