@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import argparse
 import sys
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +16,7 @@ from folioforge.plans import flows
 from folioforge.session import get_session, ship
 from folioforge.sources import files as S
 from folioforge.sources import sinks as K
+from folioforge.sources.named_files import write_files
 
 
 def _chapters(spark: SparkSession, folder: str) -> DataFrame:
@@ -35,7 +35,7 @@ def repair(spark, a) -> int:
     glossary = flows.Glossary.read(spark, a.glossary)
     fixed, counts = R.repair(_chapters(spark, a.input).select("file", "text"), "text", "file", glossary.restore)
     if not a.dry_run:
-        K.write_named(fixed.where("changed"), a.output, "file", "text")
+        write_files(fixed.where("changed"), a.output, "file", "text", replace=True)
     print(counts.first().asDict())
     return 0
 
@@ -43,16 +43,16 @@ def repair(spark, a) -> int:
 def combine(spark, a) -> int:
     rows = Q.range_blocks(_chapters(spark, a.input), "number", a.start, a.count)
     text = rows.withColumn("body", F.array_join("paragraphs", "\n\n"))
-    K.write_named(K.combined(text, "block", "number", "body"), a.output, "block", "text")
+    blocks = K.combined(text, "block", "number", "body").withColumn("file", F.format_string("combined_%03d.txt", "block"))
+    write_files(blocks, a.output, "file", "text", replace=True)
     return 0
 
 
 def export(spark, a) -> int:
     low, high = _range(a.range)
     books = flows.package(_chapters(spark, a.input).select("number", "title", "paragraphs"), a.block_size, a.basename, a.author, low=low, high=high, kind=a.format)
-    Path(a.output).mkdir(parents=True, exist_ok=True)
-    for row in books.orderBy("block").toLocalIterator():  # one book at a time
-        Path(a.output, f"{a.basename}_{row.block:03d}.{a.format}").write_bytes(row.content)
+    name = F.format_string(f"{a.basename.replace('%', '%%')}_%03d.{a.format}", "block")
+    write_files(books.withColumn("file", name), a.output, "file", "content", replace=True)
     return 0
 
 

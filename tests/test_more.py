@@ -98,3 +98,29 @@ def test_ids_beside_nulls_come_back(spark):
     named = pages.selectExpr("concat('p', page_id) as page_id", "html")
     assert [r.page_id for r in H.extract_chapters(named).collect()] == [f"p{big + 1}", None, f"p{big + 3}"]
     assert [r.result for r in X.map_model(named, X.echo, text_col="html", prompt_col="page_id").collect()] == [f"[{len(str(big)) + 1}] <h1>Chapter 3: On</h1>", "[0] <h1>x</h1>", None]
+
+
+def test_alignment_equals_a_walk_over_all_pairs(spark):
+    import random
+
+    from folioforge.operators import align as A
+
+    rng = random.Random(4)
+    anchors = [("Old", "旧", 200), ("Old", "老", 70), ("Town", "城", 90), ("Oak", "橡", 150), ("Oak", "橡", 10)]
+    said = lambda pool: " ".join(rng.choice(pool) for _ in range(rng.randint(0, 3)))
+    ours = [(b, n, said(["Old", "Town", "Oak", "x"]) + (" (2)" if rng.random() < 0.2 else "")) for b in "ab" for n in range(1, 60)]
+    theirs = [(b, n, said(["旧", "老", "城", "橡", "y"])) for b in "ac" for n in range(1, 45)]
+    want = set()
+    for book in "a":
+        s, t = [r for r in ours if r[0] == book], [r for r in theirs if r[0] == book]
+        has = lambda x, y, term, to: term in x and to in y
+        scores = {}
+        for _, n, x in s:
+            for _, m, y in t:
+                # as a join on the term gives it: every anchor of the term here with every translation there
+                scores[n, m] = sum(w for a, _, w in anchors for b, to, _ in anchors if a == b and has(x, y, a, to))
+        split = {n: x.endswith("(2)") for _, n, x in s}
+        want |= {(book, n, m) for n, m in A.walk([(n, split[n]) for _, n, _ in s], [n for _, n, _ in t], scores)}
+    schema = "book string, number long, text string"
+    got = A.align(spark.createDataFrame(ours, schema), spark.createDataFrame(theirs, schema), spark.createDataFrame(anchors, "term string, translation string, weight int"))
+    assert {tuple(r) for r in got.collect()} == want
