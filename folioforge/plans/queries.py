@@ -299,7 +299,19 @@ def ordered_parallel_map(spark, d):
     return rows.groupBy("doc_id").agg(F.array_join(F.transform(ordered, lambda x: x["u"]), "/").alias("joined"))
 
 
-@query()
+@query(
+    rf"""with j as (select doc_id, array_to_string(list_transform({_LINES}, lambda p: trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(p, '[\x{{4e00}}-\x{{9fff}}\x{{3400}}-\x{{4dbf}}]+', '', 'g'),
+        ' ,', ',', 'g'), ' {{2,}}', ' ', 'g'), '\n{{3,}}', chr(10) || chr(10), 'g'), ' ' || chr(10))), chr(10) || chr(10)) as text from documents),
+    s as (select doc_id, text, string_split_regex(text, '(?i)th[eé] [oó]f') as a, regexp_extract_all(text, '(?i)th[eé] [oó]f') as m from j),
+    t as (select doc_id, case when len(m) < 2 then text else array_to_string(list_transform(range(1, len(a) + 1), lambda i: a[i] || case when i > len(m) then '' when i = len(m) then m[i]
+        else case when regexp_matches(m[i], '^[A-Z]') then 'O' else 'o' end || (['of the', 'of that'])[(len(m) - 1 - i) % 2 + 1][2:] end), '') end as text from s),
+    p as (select doc_id, string_split(text, chr(10) || chr(10)) as ps from t),
+    r as (select doc_id, i, ps[i] as p, i = 1 or not regexp_matches(ps[i], '(?i)^[¡!¿?]*(?:{'|'.join(_WORDS)})[.!?¡¿]*$') as head from p, unnest(range(1, len(ps) + 1)) as u(i)),
+    g as (select *, sum(head::int) over (partition by doc_id order by i) as grp from r),
+    o as (select *, case when head then p when p like '%!' and p not like '¡%' then ' —¡' || p when p like '%?' and p not like '¿%' then ' —¿' || p else ' —' || p end as q from g),
+    w as (select doc_id, grp, trim(string_agg(q, '' order by i), ' ' || chr(9) || chr(10)) as part from o group by doc_id, grp)
+    select doc_id, coalesce(string_agg(part, chr(10) order by grp) filter (part <> ''), '') as cleaned from w group by doc_id"""
+)
 def chapter_cleanup(spark, d):
     out = Q.cleanup_chapter(F.col("paragraphs"), [(" ,", ",")], [("the of", ["of the", "of that"])], _WORDS)
     return _lines(_docs(spark, d)).select("doc_id", F.array_join(out, "\n").alias("cleaned"))
@@ -348,7 +360,14 @@ def restore_damaged_tokens(spark, d):
     return R.restore_all(_docs(spark, d).select("doc_id", said.alias("text")), "text", "doc_id", restore).select("doc_id", "text")
 
 
-@query()
+@query(
+    """with n as (select n_name, trim(regexp_replace(upper('great old ' || n_name), '[^A-Z0-9]+', '_', 'g'), '_') as slug from nation),
+    t(ord, token, term, segments) as (values (0, '<PROTECT_GREAT_OLD_KING_1>', 'Great Old King', ['GREAT', 'OLD', 'KING']), (1, '<PROTECT_RIVER_1>', 'River', ['RIVER'])),
+    w as (select *, regexp_replace(slug, '_[0-9]+\\b', '', 'g') as base, list_filter(list_distinct(string_split(regexp_replace(slug, '_[0-9]+\\b', '', 'g'), '_')), lambda x: x <> '') as words from n),
+    e as (select n_name, ord, term, starts_with(token, '<PROTECT_' || slug) or starts_with(token, '<PROTECT_' || base) as begins,
+        len(list_intersect(words, segments)) / greatest(len(words), len(segments)) as share from w, t)
+    select n_name, coalesce(min_by(term, ord) filter (begins), case when max(share) >= 0.66 then arg_max(term, share - ord / 1e6) end) as term from e group by n_name"""
+)
 def placeholder_lookup(spark, d):
     restore = [("<PROTECT_GREAT_OLD_KING_1>", "Great Old King"), ("<PROTECT_RIVER_1>", "River")]
     return table(spark, d, "nation").select("n_name", R.lookup_placeholder(F.concat(F.lit("great old "), "n_name"), restore).alias("term"))
@@ -658,7 +677,24 @@ def range_and_top_k(spark, d):
     return C.top_k(docs, [F.desc("n_chars"), "doc_id"], 20)
 
 
-@query()
+@query(
+    r"""with recursive d as (select source as book, lang, row_number() over (partition by source, lang order by doc_id) as number, text from documents),
+    s as (select book, number, regexp_matches(array_to_string(string_split(text, chr(10))[1:15], chr(10)), '\([2-9]\)') as split,
+        contains(text, 'tion') as a1, contains(text, 'that') as a2, contains(text, 'thou') as a3 from d where lang = 'en'),
+    t as (select book, list({n: number, b1: contains(text, 'tion'), b2: contains(text, 'ment'), b3: contains(text, 'eau')} order by number) as ts from d where lang = 'fr' group by book),
+    walk(book, number, pos, target) as (
+        select book, 0::bigint, 0::bigint, 0::bigint from t
+        union all
+        select book, number, case when best is null then pos else best end, ts[case when best is null then len(ts) else best + 1 end].n from (
+            select book, number, pos, ts, case when pos < len(ts) - 1 then
+                -list_max(list_transform(range(greatest(0, least(pos, want - 5)), least(len(ts), greatest(0, least(pos, want - 5)) + 50)), lambda i: {
+                    k: (case when a1 and ts[i + 1].b1 then 15 else 0 end + case when a2 and ts[i + 1].b2 then 15 else 0 end + case when a3 and ts[i + 1].b3 then 200 else 0 end - 10 * abs(ts[i + 1].n - want)
+                        + case when split then case when i = pos then 120 else 0 end when i = pos + 1 then 30 when i = pos then 10 else 0 end)::bigint, i: -i})).i end as best
+            from (select w.book, s.number, w.pos, t.ts, s.split, s.a1, s.a2, s.a3,
+                    case when s.split then t.ts[w.pos + 1].n else greatest(greatest(1, round_even(s.number * case when s.number < 200 then 48.0 / 72.0 when s.number < 1000 then 0.5 else 0.38 end, 0)::bigint), t.ts[w.pos + 1].n) end as want
+                from walk w join s on s.book = w.book and s.number = w.number + 1 join t on t.book = w.book))
+    ) select book, number as source, target from walk where number > 0"""
+)
 def align_sequences(spark, d):
     docs = _docs(spark, d).withColumn("book", F.col("source"))
     number = F.row_number().over(Window.partitionBy("book", "lang").orderBy("doc_id")).cast("long")
