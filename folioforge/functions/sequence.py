@@ -125,7 +125,27 @@ def range_blocks(df: DataFrame, number: str, start: int, count: int, patience: i
     """``block``: (number - start) by ``count``. Blocks after ``patience`` empty ones in a row are dropped."""
     rows = df.where(F.col(number) >= start).withColumn("block", F.expr(f"(`{number}` - {start}) div {count}").cast("long"))
     present = rows.select("block").distinct()
-    order = Window.orderBy("block")
-    before = F.coalesce(F.lag("block").over(order), F.lit(-1))
-    kept = present.withColumn("_gap", F.col("block") - before - 1).withColumn("_cut", F.max("_gap").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    return rows.join(kept.where(F.col("_cut") < patience).select("block"), "block", "left_semi")
+    # a block that has one of the next ``patience`` after it goes on; the first that hasn't is the last
+    followed = present.select(F.explode(F.sequence(F.col("block") - patience, F.col("block") - 1)).alias("block"))
+    begin = present.sparkSession.range(-1, 0).select(F.col("id").alias("block"))
+    last = present.union(begin).join(followed, "block", "left_anti").agg(F.min("block").alias("_last"))  # one row
+    return rows.join(F.broadcast(last), F.col("block") <= F.col("_last")).drop("_last")
+
+
+def numbered(df: DataFrame, order: list[str], parts: int = 256) -> DataFrame:
+    """``place``: position in the order, from 0, nulls first; rows equal in the order share their places at random.
+
+    Rows are cut into about ``parts`` ranges at values of the order, taken from a sample by hash; counts of the ranges add up over
+    one small table, and positions inside are a window a range. Any cuts give right places.
+    """
+    key = F.struct(*order)
+    sample = df.select(*order).distinct().orderBy(F.xxhash64(*order), *order).limit(16 * parts)
+    values = sample.orderBy(*order).collect()[15::16]  # at most ``parts``
+    types = {f.name: f.dataType for f in sample.schema.fields}
+    cuts = F.array(*(F.struct(*(F.lit(v[c]).cast(types[c]).alias(c) for c in order)) for v in values)) if values else None
+    ranged = df.withColumn("_part", F.lit(0) if cuts is None else F.size(F.filter(cuts, lambda c: c < key)))
+    counts = ranged.groupBy("_part").agg(F.count("*").alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    counts = counts.select("_part", before.alias("_before"))  # a row a range
+    inside = F.row_number().over(Window.partitionBy("_part").orderBy(*order)) - 1
+    return ranged.join(F.broadcast(counts), "_part").withColumn("place", F.col("_before") + inside).drop("_part", "_before")

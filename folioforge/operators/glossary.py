@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from folioforge.functions.sequence import numbered
+
 
 #: Two to four capitalised ASCII words.
 PHRASE = r"\b[A-Z][a-z]+(?:\s+[A-Z][a-z]+){1,3}\b"
@@ -157,5 +159,5 @@ def merge_classified(never: DataFrame, translations: DataFrame, classified: Data
 
 
 def in_batches(df: DataFrame, order: str, size: int = 20) -> DataFrame:
-    """``batch``: rows of the order in slices of ``size``; for term lists, which are small."""
-    return df.withColumn("batch", F.expr(f"(row_number() over (order by `{order}`) - 1) div {size}"))
+    """``batch``: rows of the order in slices of ``size``; no task numbers all rows."""
+    return numbered(df, [order]).withColumn("batch", F.expr(f"place div {size}").cast("int")).drop("place")

@@ -124,3 +124,24 @@ def test_alignment_equals_a_walk_over_all_pairs(spark):
     schema = "book string, number long, text string"
     got = A.align(spark.createDataFrame(ours, schema), spark.createDataFrame(theirs, schema), spark.createDataFrame(anchors, "term string, translation string, weight int"))
     assert {tuple(r) for r in got.collect()} == want
+
+
+def test_places_in_an_order(spark):
+    import random
+
+    rng = random.Random(6)
+    rows = [(rng.choice([None, "a", "b", "é", "zz"]), rng.choice([None, *range(30)]), k) for k in range(400)] + [("hot", k % 40, 1000 + k) for k in range(300)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "s string, n int, k int").repartition(5)
+    want = sorted(rows, key=lambda r: ((r[0] is not None, (r[0] or "").encode()), (r[1] is not None, r[1] or 0), r[2]))
+    for parts in (1, 4, 32):
+        got = {r.k: r.place for r in Q.numbered(df, ["s", "n", "k"], parts).collect()}
+        assert got == {r[2]: i for i, r in enumerate(want)}
+    assert Q.numbered(df.limit(0), ["s"]).collect() == [] and sorted(r.place for r in Q.numbered(df, ["s"], 3).collect()) == list(range(700))
+
+
+def test_blocks_that_begin_late_are_dropped(spark):
+    rows = spark.createDataFrame([(n,) for n in [500, 510, 900]], "n long")
+    assert Q.range_blocks(rows, "n", 0, 100).collect() == []
+    assert {r.block for r in Q.range_blocks(rows, "n", 0, 100, 6).collect()} == {5, 9}
+    assert {r.n for r in Q.range_blocks(rows, "n", 300, 100).collect()} == {500, 510}
