@@ -126,7 +126,10 @@ def json_recovery(spark, d):
     return found.select("event_id", F.try_element_at("m", F.lit("kind")).alias("kind"), F.try_element_at("m", F.lit("k")).alias("k"))
 
 
-@query("select doc_id, doc_id % 12 between 2 and 9 as split_part, regexp_replace(source || '_' || doc_id, '_\\d+\\b', '') as base from documents")
+@query(
+    r"""select doc_id, regexp_matches(array_to_string(string_split('Part (' || doc_id % 12 || ')' || chr(10) || text, chr(10))[1:15], chr(10)), '\([2-9]\)') as split_part,
+    regexp_replace(source || '_' || doc_id, '_\d+\b', '') as base from documents"""
+)
 def split_parts(spark, d):
     head = F.concat(F.lit("Part ("), F.col("doc_id") % 12, F.lit(")\n"), "text")
     return _docs(spark, d).select("doc_id", T.is_split_part(head).alias("split_part"), T.drop_suffix_number(F.concat("source", F.lit("_"), "doc_id")).alias("base"))
@@ -170,12 +173,14 @@ def chapter_scan(spark, d):
     return got.select("doc_id", "c.title", F.size("c.paragraphs").cast("long").alias("n"), F.array_join("c.paragraphs", "|").alias("joined"))
 
 
-@query("select doc_id, '第' || doc_id || '章 ' || lang as title, '正文' || doc_id || '|第9章 再' as joined from documents")
+@query(
+    rf"""select doc_id, '第' || doc_id || '章 ' || lang as title, array_to_string(list_concat(['第9章 再'], list_filter({_LINES}, lambda x: not contains(x, '　') and not
+        regexp_matches(x, '^\d{{4}}-\d{{2}}-\d{{2}}|作者[：:]|^Chapter\s+\d+:|^\d+\.第\d+章|^[Pp][Ss][：:]|^[Pp]\.[Ss][.．][：:]?'))), '|') as joined from documents"""
+)
 def raw_chapter_scan(spark, d):
-    value = F.concat(
-        F.lit("2020-01-01 x\n作者：n\n　note\n\n第"), "doc_id", F.lit("章 "), "lang", F.lit("（求月票啦）\n  正文"), "doc_id", F.lit("\n第9章 再\n(本章完)\nPS: later")
-    )
-    got = _docs(spark, d).select("doc_id", S.raw_chapter(value).alias("c"))
+    head = F.concat(F.lit("2020-01-01 x\n作者：n\n　note\n\n第"), "doc_id", F.lit("章 "), "lang", F.lit("（note of the day）\n第9章 再\n"))
+    value = F.concat(head, "text", F.lit("\n(本章完)\nlater"))
+    got = _docs(spark, d).select("doc_id", S.raw_chapter(value, ["note"]).alias("c"))
     return got.select("doc_id", "c.title", F.array_join("c.paragraphs", "|").alias("joined"))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from folioforge.functions.rules import CHAPTER_END, CHAPTER_TITLE, TITLE_NOTES
+from folioforge.functions.rules import CHAPTER_END, CHAPTER_TITLE
 from folioforge.functions.text import is_skipped_line, lines, rstrip, strip
 
 SCRAPE_INDEX = "number int, title string, url string, file string, length int, retrieved_at string"
@@ -52,15 +52,19 @@ def chapter(value: Column) -> Column:
     return F.struct(F.coalesce(strip(F.get(all_lines, F.lit(0))), F.lit("")).alias("title"), parts.alias("paragraphs"))
 
 
-def raw_chapter(value: Column) -> Column:
+def raw_chapter(value: Column, notes: list[str] = ()) -> Column:
     """struct(title, paragraphs) of a raw file: stops at the end marker; drops blank lines, indented notes
-    (ideographic space) and metadata; the first chapter line is the title, later ones are paragraphs."""
+    (ideographic space) and metadata; the first chapter line is the title, later ones are paragraphs. Bracketed
+    remarks of the title that begin with one of the patterns ``notes`` go."""
     kept = F.transform(lines(value), lambda x: F.struct(x.alias("raw"), strip(x).alias("line")))
     stop = F.array_position(F.transform(kept, lambda x: x["line"].rlike(CHAPTER_END)), F.lit(True))
     before = F.when(stop > 0, F.slice(kept, 1, F.greatest(stop.cast("int") - 1, F.lit(0)))).otherwise(kept)
     good = F.transform(F.filter(before, lambda x: (x["line"] != "") & ~F.contains(x["raw"], F.lit("　")) & ~is_skipped_line(x["line"])), lambda x: x["line"])
     at = F.array_position(F.transform(good, lambda x: x.rlike(CHAPTER_TITLE)), F.lit(True)).cast("int")
-    title = F.coalesce(strip(F.regexp_replace(F.get(good, at - 1), TITLE_NOTES, "")), F.lit(""))
+    title = F.get(good, at - 1)
+    if notes:
+        title = F.regexp_replace(title, rf"[（(](?:{'|'.join(notes)})[^）)]*[）)]", "")
+    title = F.coalesce(strip(title), F.lit(""))
     rest = F.when(at > 0, F.concat(F.slice(good, 1, F.greatest(at - 1, F.lit(0))), F.slice(good, at + 1, F.greatest(F.size(good), F.lit(1))))).otherwise(good)
     return F.struct(F.when(at > 0, title).otherwise("").alias("title"), rest.alias("paragraphs"))
 

@@ -151,8 +151,9 @@ def test_blocks(spark):
 
 def test_raw_chapter(spark):
     text = "2020-01-01 x\n作者：n\n　note\n第3章 名（求月票啊）\n正文\n第4章 再\n（本章完）\nafter"
-    got = one(spark, S.raw_chapter(F.col("t")), t=text)
+    got = one(spark, S.raw_chapter(F.col("t"), ["求月", "note"]), t=text)
     assert (got.title, got.paragraphs) == ("第3章 名", ["正文", "第4章 再"])
+    assert one(spark, S.raw_chapter(F.col("t")), t=text).title == "第3章 名（求月票啊）"
 
 
 def test_masking(spark):
