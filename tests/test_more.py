@@ -145,3 +145,39 @@ def test_blocks_that_begin_late_are_dropped(spark):
     assert Q.range_blocks(rows, "n", 0, 100).collect() == []
     assert {r.block for r in Q.range_blocks(rows, "n", 0, 100, 6).collect()} == {5, 9}
     assert {r.n for r in Q.range_blocks(rows, "n", 300, 100).collect()} == {500, 510}
+
+
+def test_long_books_in_segments(spark):
+    """Segments' functions compose to the serial walk, also where anchors throw the pointer off what is expected."""
+    import random
+
+    from folioforge.operators import align as A
+
+    rng = random.Random(8)
+    anchors = [("Old", "旧", 400), ("Town", "城", 90), ("Oak", "橡", 150)]
+    said = lambda pool: " ".join(rng.choice(pool) for _ in range(rng.randint(0, 2)))
+    ours = [(b, n, said(["Old", "Town", "Oak", "x"]) + (" (2)" if rng.random() < 0.1 else "")) for b, size in (("a", 300), ("b", 170), ("d", 3)) for n in range(1, size)]
+    theirs = [(b, n, said(["旧", "城", "橡", "y", "z"])) for b, size in (("a", 260), ("b", 60), ("c", 9), ("d", 2)) for n in range(1, size)]
+    schema = "book string, number long, text string"
+    sides = spark.createDataFrame([*ours, (None, 3, "Old"), ("a", None, "Old")], schema), spark.createDataFrame([*theirs, (None, 1, "旧")], schema), spark.createDataFrame(anchors, "term string, translation string, weight int")
+    want = sorted(tuple(r) for r in A.align(*sides).collect())
+    assert len(want) == 299 + 169 + 2
+    assert sorted(tuple(r) for r in A.align(*sides, serial=100, segment=32, band=40, rounds=9).collect()) == want
+    assert sorted(tuple(r) for r in A.align(*sides, serial=0, segment=64, band=2, rounds=2).collect()) == want
+
+
+def test_a_segment_from_every_pointer():
+    import numpy as np
+
+    from folioforge.operators import align as A
+
+    numbers = np.arange(1, 400)
+    chapters = [(n, n % 9 == 0, {"a": 90} if n % 4 == 0 else {}) for n in range(1, 60)]
+    terms = {"a": (np.arange(0, 399, 7), np.ones(57, dtype=np.int64))}
+    shared = A.Shared()
+    shared.source = {n: h for n, _, h in chapters}
+    shared.target = {int(numbers[k]): {"a": 1} for k in range(0, 399, 7)}
+    whole = A.run_segment(chapters, numbers, 0, 399, terms, np.arange(399))
+    part = A.run_segment(chapters, numbers[50:200], 50, 399, {"a": (terms["a"][0][(terms["a"][0] >= 50) & (terms["a"][0] < 200)] - 50, np.ones(21, dtype=np.int64))}, np.arange(399))
+    assert (whole >= 0).all() and whole[0] == int(np.searchsorted(numbers, A.walk([(n, s) for n, s, _ in chapters], numbers.tolist(), shared)[-1][1]))
+    assert ((part == whole) | (part == -1)).all() and (part >= 0).sum() > 30
