@@ -21,7 +21,8 @@ from folioforge.operators import mining as M
 from folioforge.operators import quality as C
 from folioforge.operators import recognize as E
 from folioforge.operators import segment as N
-from folioforge.session import ship, table
+from folioforge.plans import flows as L
+from folioforge.session import ship, table, work_folder
 from folioforge.sources import files as S
 from folioforge.sources import html as H
 from folioforge.sources import sinks as K
@@ -701,11 +702,15 @@ def range_and_top_k(spark, d):
     ) select book, number as source, target from walk where number > 0"""
 )
 def align_sequences(spark, d):
+    return _aligned(spark, d)
+
+
+def _aligned(spark, d, **how):
     docs = _docs(spark, d).withColumn("book", F.col("source"))
     number = F.row_number().over(Window.partitionBy("book", "lang").orderBy("doc_id")).cast("long")
     docs = docs.withColumn("number", number).select("book", "lang", "number", "text")
     anchors = spark.createDataFrame([("tion", "tion", 15), ("that", "ment", 15), ("thou", "eau", 200)], "term string, translation string, weight int")
-    return A.align(docs.where("lang = 'en'").drop("lang"), docs.where("lang = 'fr'").drop("lang"), anchors)
+    return A.align(docs.where("lang = 'en'").drop("lang"), docs.where("lang = 'fr'").drop("lang"), anchors, **how)
 
 
 @query()
@@ -727,6 +732,12 @@ def recognized_names(spark, d):
     return known.groupBy("doc_id").agg(F.count("*").alias("n_names"), F.count_if(F.col("term").isNull()).alias("n_new"))
 
 
+@query(ORACLE_SQL["align_sequences"])
+def align_long_books(spark, d):
+    """As ``align_sequences``, every book in segments."""
+    return _aligned(spark, d, serial=0, segment=32)
+
+
 # ---------------------------------------------------------------- models, sinks
 
 
@@ -841,3 +852,53 @@ def chunk_summary(spark, d):
     return rows.groupBy("lang", "source").agg(
         F.count("*").alias("n_docs"), F.sum(F.size("p")).cast("long").alias("n_paragraphs"), F.sum(F.array_max("ids") + 1).cast("long").alias("n_chunks")
     )
+
+
+@query("select event_id, event_type, event_id % 2 as part from events")
+def json_lines_appended(spark, d):
+    """Two appends of JSON Lines to one folder, read back by a schema."""
+    folder = work_folder(spark, "json-lines")
+    events = table(spark, d, "events").select("event_id", "event_type", (F.col("event_id") % 2).alias("part"))
+    for k in range(2):
+        K.append_json_lines(events.where(F.col("part") == k), folder)
+    return S.json_lines(spark, folder, "event_id long, event_type string, part long")
+
+
+class _Flaky:
+    """Fails for the first call with a text, and always for texts that hold a stop word."""
+
+    def __init__(self, stop: str | None = None):
+        self.stop, self.seen = stop, set()
+
+    def __call__(self, system: str, text: str) -> str:
+        if self.stop and self.stop in text:
+            raise RuntimeError("refused")
+        if text not in self.seen:
+            self.seen.add(text)
+            raise RuntimeError("429 retry in 0s")
+        return X.echo(system, text)
+
+
+def _no_wait(seconds: float) -> None:
+    """Instead of sleeping, as nothing is limited here."""
+
+
+@query("select doc_id, '[6] [' || length('Translate.' || lang) || '] ' || text as result from documents")
+def retried_passes(spark, d):
+    """A model that fails at first, retried, then a second pass with a prompt of its own."""
+    ship(spark)
+    model = X.passes((X.with_retries(_Flaky(), sleep=_no_wait), ""), (X.with_retries(_Flaky(), sleep=_no_wait), "Polish"))
+    docs = _docs(spark, d).select("doc_id", "text", F.concat(F.lit("Translate."), "lang").alias("prompt"))
+    return X.map_model(docs, model, text_col="text", prompt_col="prompt").select("doc_id", "result")
+
+
+@query(
+    f"""with p as (select doc_id, {_LINES} as ps from documents)
+    select doc_id, case when len(ps) = 0 then '' when contains(array_to_string(ps, chr(10)), 'that the') then array_to_string(ps, chr(10)) else '[0] ' || array_to_string(ps, chr(10)) end as text from p"""
+)
+def polished_chapters(spark, d):
+    """Chapters through a polish pass in one chunk each; those that the model refuses stay."""
+    ship(spark)
+    chapters = _lines(_docs(spark, d)).select(F.col("doc_id").alias("number"), F.col("source").alias("title"), "paragraphs")
+    done = L.polish(chapters, X.with_retries(_Flaky("that the"), sleep=_no_wait), most=1_000_000_000)
+    return done.select(F.col("number").alias("doc_id"), F.coalesce(F.array_join("paragraphs", "\n"), F.lit("")).alias("text"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -45,3 +46,17 @@ def ship(spark: SparkSession) -> None:
             out.write(source, source.relative_to(package.parent))
     context.addPyFile(str(archive))
     _shipped.add(context.applicationId)
+
+
+_work: dict[str, str] = {}
+
+
+def work_folder(spark: SparkSession, name: str) -> str:
+    """A new folder for intermediate files that all executors see: below spark.checkpoint.dir, or, on a local master without that, a temporary one."""
+    named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not named and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("no folder that all executors share: set spark.checkpoint.dir")
+    app = spark.sparkContext.applicationId
+    if not named and app not in _work:
+        _work[app] = "file://" + tempfile.mkdtemp(prefix="folioforge-")
+    return f"{(named or _work[app]).rstrip('/')}/{name}-{uuid.uuid4().hex}"
