@@ -220,7 +220,14 @@ def page_headings(spark, d):
     return table(spark, d, "pages").select("page_id", H.first_heading(F.col("html")).alias("heading"))
 
 
-@query()
+@query(
+    r"""with a as (select page_id, regexp_extract(html, '(?is)<h1\b[^>]*>(.*?)</h1>', 1) as h, regexp_extract(html, '(?is)<article\b[^>]*>(.*?)</article>', 1) as art from pages),
+    p as (select page_id, list_transform(list_concat([h], list_transform(string_split_regex(art, '(?i)<p\b[^>]*>')[2:], lambda x: regexp_replace(x, '(?is)</p>.*$', ''))), lambda x:
+        trim(regexp_replace(replace(replace(replace(replace(regexp_replace(x, '<[^>]+>', '', 'g'), '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), '\s+', ' ', 'g'))) as t from a),
+    q as (select page_id, t[1] as heading, list_filter(t[2:], lambda x: length(x) > 1) as ps from p)
+    select page_id, heading, try_cast(nullif(regexp_extract(heading, '(?i)Chapter\s+(\d+)', 1), '') as bigint) as number, len(ps)::int as n, array_to_string(ps, chr(10)) as body,
+        length(array_to_string(ps, chr(10) || chr(10))) < 200 as is_short from q"""
+)
 def page_chapters(spark, d):
     ship(spark)
     found = H.extract_chapters(table(spark, d, "pages"), selectors=("article.chapter", "article"))

@@ -21,11 +21,6 @@ def chapter_text_spaced(title: Column, paragraphs: Column) -> Column:
     return F.concat(F.array_join(F.concat(F.array(title, F.lit("")), paragraphs), "\n\n"), F.lit("\n"))
 
 
-def write_named(df: DataFrame, folder: str, name_col: str, text_col: str) -> None:
-    """One file for each row, in a folder named by the row: ``folder/<name_col>=<name>/part-*.txt``."""
-    df.select(name_col, F.regexp_replace(text_col, "\n$", "").alias("value")).repartition(name_col).write.partitionBy(name_col).mode("overwrite").text(folder)
-
-
 def append_json_lines(df: DataFrame, folder: str) -> None:
     df.write.mode("append").json(folder)
 
