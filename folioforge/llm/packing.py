@@ -74,8 +74,9 @@ class Ids:
         self.tokenizer.no_truncation()
         held = json.loads(self.tokenizer.to_str())
         kinds = [n["type"] for n in (held.get("normalizer") or {}).get("normalizers", [])]
-        first = ((held.get("pre_tokenizer") or {}).get("pretokenizers") or [{}])[0]
+        first, second = ([*((held.get("pre_tokenizer") or {}).get("pretokenizers") or []), {}, {}])[:2]
         self.plain = kinds == ["NFC", "Replace", "Lowercase"] and first.get("pattern") == {"Regex": _CUT} and first.get("invert") is True
+        self.plain = self.plain and second == {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
         common = {c for k in range(_LAST + 1) for c in chr(k) + chr(k).lower()}
         kind = {c: unicodedata.category(c)[0] for c in sorted(common)}
         of = lambda k: "".join(re.escape(c) for c, own in kind.items() if own == k)
@@ -87,6 +88,11 @@ class Ids:
         self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=bool)  # whether a piece ends a word
         self.ends[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
         self.plain = self.plain and held["model"].get("end_of_word_suffix") == "</w>"
+        # the model alone, for words that are cut and lower-cased already, their bytes written as the vocabulary writes them
+        self.model = Tokenizer.from_str(json.dumps(held | {"normalizer": None, "added_tokens": [], "pre_tokenizer": {"type": "CharDelimiterSplit", "delimiter": " "}})) if self.plain else None
+        shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+        hidden = [b for b in range(256) if b not in shown]
+        self.bytes = {b: 256 + k for k, b in enumerate(hidden) if b != 32}
         self.known: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}  # the words remembered before these
 
@@ -95,8 +101,8 @@ class Ids:
 
     def _learn(self, words: list[str]) -> None:
         """A space apart, words are encoded as each is alone."""
-        found = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
-        ids = np.array(found.ids, dtype="<u4")
+        joined = " ".join(words).encode().decode("latin-1").translate(self.bytes)
+        ids = np.array(self.model.encode_batch_fast([joined], add_special_tokens=False)[0].ids, dtype="<u4")
         cuts = (np.flatnonzero(self.ends[ids]) + 1).tolist()
         held = ids.tobytes()
         for word, a, b in zip(words, [0, *cuts], cuts, strict=False):
