@@ -127,12 +127,12 @@ def best_in_groups(queries: DataFrame, rows: DataFrame, dims: int, k: int, same:
     for other rows of the same label, else for other labels. Group, slice and block make a unit.
     """
     n_rows = rows.groupBy("group").agg(F.count("*").alias("n"))
-    n_queries = queries.groupBy("group").agg(F.count("*").alias("m"))
+    n_queries = queries.select("group", "row").distinct().groupBy("group").agg(F.count("*").alias("m"))  # queries of one anchor share a slice
     plan = staged(n_rows.join(n_queries, "group").select("group", F.ceil(F.col("n") / block).cast("int").alias("blocks"), F.ceil(F.col("m") / GROUP).cast("int").alias("slices")), "negatives-units")
     plan = broadcast_if_small(plan, plan.count())
     up_to = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
     own = lambda key, c: F.pmod(F.xxhash64(key), F.col(c)).cast("int")
-    ours = queries.join(plan, "group").select("group", own("q", "slices").alias("slice"), up_to("blocks").alias("block"), "q", "row", "label", "v", "low", "high")
+    ours = queries.join(plan, "group").select("group", own("row", "slices").alias("slice"), up_to("blocks").alias("block"), "q", "row", "label", "v", "low", "high")
     theirs = rows.join(plan, "group").select("group", up_to("slices").alias("slice"), own("row", "blocks").alias("block"), "row", "id", "label", "v")
     schema = StructType([*StructType.fromDDL("q long, other long").fields, rows.schema["id"], *StructType.fromDDL("score long").fields])
     arrow = to_arrow_schema(schema)
