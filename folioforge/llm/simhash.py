@@ -202,6 +202,16 @@ def _alike(pairs: DataFrame, bare: DataFrame, shingle: int, similarity: float, n
     return staged(both.where(enough & (F.col("shared") > 0)).select("u", "v"), f"{name}-links", release=True)
 
 
+def _cut(levels: list[int], keys: list[int], most: int) -> tuple[int, int, int]:
+    """(count, room, its keys): keys with greater counts are held, and of this count's keys a share that fills the room. Counts fall."""
+    held = 0
+    for n, own in zip(levels, keys, strict=True):
+        if held + own > most:
+            return n, most - held, own
+        held += own
+    return 0, 0, 1
+
+
 def _common_shingles(bare: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes, sorted, and counts of the commonest shingles of a sample of the texts, by the order of the ids' hash.
 
@@ -216,8 +226,13 @@ def _common_shingles(bare: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray
     every = max(1, min(SHARE, bare.count() // SAMPLE))
     sample = bare.where(F.pmod(F.xxhash64("id"), F.lit(every)) == 0)
     counts = map_rows(sample, [], lambda: lambda ids, texts: keys(texts), "key long").groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") >= COMMON)
-    held = counts.orderBy(F.desc("n"), "key").limit(MOST_COMMON).collect()
-    keys, n = np.array([r.key for r in held], dtype=np.int64).view(np.uint64), np.array([r.n for r in held], dtype=np.int64)
+    counts = staged(counts, "similar-common")
+    levels = counts.groupBy("n").agg(F.count("*").alias("keys")).orderBy(F.desc("n")).toArrow()  # a row for each count, so below the sample's texts
+    least, room, wide = _cut(levels.column("n").to_pylist(), levels.column("keys").to_pylist(), MOST_COMMON)
+    # sorted on no side: a sort with a limit would gather in rows on the driver, while these columns take 16 bytes a shingle
+    some = F.pmod(F.xxhash64("key"), F.lit(wide)) < room
+    held = counts.where((F.col("n") > least) | ((F.col("n") == least) & some)).toArrow()
+    keys, n = held.column("key").to_numpy().view(np.uint64), held.column("n").to_numpy()
     order = np.argsort(keys)
     return keys[order], n[order]
 
