@@ -17,6 +17,7 @@ _CLOSES_P = frozenset(
     "address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split()
 )
 _SPACE = re.compile(r"\s+")
+_BARE = re.compile(r"&(?!#?\w+;)")
 
 
 class Node:
@@ -84,9 +85,10 @@ class _Builder(HTMLParser):
         self.at.children.append(data)
 
 
-def parse(html: str) -> Node:
+def parse(html: str, *, whole: bool = False) -> Node:
+    """The tree. With ``whole`` a character reference without its semicolon, as of a text cut short, stays as it is."""
     builder = _Builder()
-    builder.feed(html or "")
+    builder.feed(_BARE.sub("&amp;", html or "") if whole else html or "")
     builder.close()
     return builder.root
 
@@ -174,13 +176,13 @@ def body(root: Node, heading: Node | None, selectors: tuple[str, ...], least: in
     return [p for p in out if len(p) > 1]
 
 
-def extract_chapters(pages: DataFrame, *, id_col: str = "page_id", html_col: str = "html", selectors: tuple[str, ...] = ("article.chapter",), least: int = 200) -> DataFrame:
-    """id, heading, number, paragraphs, is_short for every page. Only the HTML goes to Python; ids of any type stay as they are."""
+def extract_chapters(pages: DataFrame, *, id_col: str = "page_id", html_col: str = "html", selectors: tuple[str, ...] = ("article.chapter",), least: int = 200, whole: bool = False) -> DataFrame:
+    """id, heading, number, paragraphs, is_short for every page; ``whole`` as in ``parse``. Only the HTML goes to Python; ids of any type stay as they are."""
 
     def chapters(pages: pa.Array) -> pa.Array:
         rows = []
         for html in pages.to_pylist():
-            root = parse(html)
+            root = parse(html, whole=whole)
             heading = find_heading(root)
             title, number = title_and_number(squeezed(heading.text())) if heading is not None else (None, None)
             found = body(root, heading, selectors, least)
