@@ -2,7 +2,7 @@
 
 Runs of letters, which may be many words without a space, are cut into dictionary words and unknown words. A
 dictionary word has the probability of its count; an unknown one that of one count, times those of its characters by their frequency in the
-dictionary, times that of its length, which is geometric. An automaton finds all dictionary words in a run in one pass;
+dictionary, times that of its length, which is geometric. Hashes find all dictionary words in a run;
 the best path is found over the places of a run from left to right, an unknown word being a state of its own, so the
 time is linear in the run and in the words found in it.
 """
@@ -18,13 +18,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folioforge.functions.automaton import Automaton, slices, streams
+from folioforge.functions.automaton import Hashed, streams
 from folioforge.session import ship
 
 #: Words of a lexicon, the commonest first; it goes to all executors.
 MOST_WORDS = 500_000
-#: Runs that a task remembers.
-REMEMBERED = 100_000
+#: Characters of the runs whose words a task remembers, and texts that it cuts together.
+REMEMBERED, ROWS = 1 << 21, 256
 RUN = r"[^\W\d_]+"
 
 
@@ -65,18 +65,17 @@ class Segmenter:
 
     def __init__(self, held: Lexicon, run: str = RUN):
         self.held, self.run, self.remembered = held, re.compile(run), {}
+        self.size = 0
         self.terms = sorted(held.words)
         coded = [t.encode() for t in self.terms]
         self.scores = [held.words[t] for t in self.terms]
-        self.parts = [(a, Automaton(coded[a:b])) for a, b in slices(coded)]
+        self.found = Hashed(coded)
 
     def learn(self, runs: list[str]) -> None:
         """The paths of runs, from now on remembered."""
         data = [r.encode() for r in runs]
         for own, starts, stream in streams(data):
-            found = [automaton.occurrences(stream) for _, automaton in self.parts]
-            end = np.concatenate([e for e, _ in found]) if found else np.zeros(0, dtype=np.int64)
-            term = np.concatenate([t + a for (a, _), (_, t) in zip(self.parts, found, strict=True)]) if found else end
+            end, term = self.found.occurrences(stream)
             # bytes that begin a character, counted up to each place of the stream
             first = np.concatenate(([0], np.cumsum((np.frombuffer(stream, dtype=np.uint8) & 0xC0) != 0x80)))
             text = np.searchsorted(starts, end, side="left") - 1
@@ -115,10 +114,12 @@ class Segmenter:
     def __call__(self, texts: list[str | None]) -> list[list[str] | None]:
         runs = [None if t is None else self.run.findall(t) for t in texts]
         new = {r for own in runs if own for r in own} - self.remembered.keys()
-        if len(self.remembered) + len(new) > REMEMBERED:
+        if sum(map(len, new)) + self.size > REMEMBERED:
             self.remembered.clear()
+            self.size = 0
             new = {r for own in runs if own for r in own}
         if new:
+            self.size += sum(map(len, new))
             self.learn(sorted(new))
         return [None if own is None else [w for r in own for w in self.remembered[r]] for own in runs]
 
@@ -131,6 +132,8 @@ def segmenter(spark, held: Lexicon, run: str = RUN) -> Callable[[Column], Column
     def words(texts: pa.Array) -> pa.Array:
         if not made:  # once a task
             made.append(Segmenter(sent.value, run))
-        return pa.array(made[0](texts.to_pylist()), type=pa.list_(pa.string()))
+        kind = pa.list_(pa.string())
+        lots = [pa.array(made[0](texts.slice(k, ROWS).to_pylist()), type=kind) for k in range(0, len(texts), ROWS)]
+        return pa.concat_arrays(lots) if lots else pa.array([], type=kind)
 
     return F.arrow_udf(words, "array<string>")
