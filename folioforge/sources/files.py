@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -56,17 +58,30 @@ def raw_chapter(value: Column, notes: list[str] = ()) -> Column:
     """struct(title, paragraphs) of a raw file: stops at the end marker; drops blank lines, indented notes
     (ideographic space) and metadata; the first chapter line is the title, later ones are paragraphs. Bracketed
     remarks of the title that begin with one of the patterns ``notes`` go."""
+
+    def once(x: Column, body: Callable[[Column], Column]) -> Column:  # a step that is named often is worked out once
+        return F.get(F.transform(F.array(x), body), F.lit(0))
+
+    def before(kept: Column) -> Column:
+        stop = F.array_position(F.transform(kept, lambda x: x["line"].rlike(CHAPTER_END)), F.lit(True))
+        return once(stop, lambda k: F.when(k > 0, F.slice(kept, 1, F.greatest(k.cast("int") - 1, F.lit(0)))).otherwise(kept))
+
+    def split(good: Column, at: Column) -> Column:
+        title = F.get(good, at - 1)
+        if notes:
+            title = F.regexp_replace(title, rf"[（(](?:{'|'.join(notes)})[^）)]*[）)]", "")
+        title = F.coalesce(strip(title), F.lit(""))
+        rest = F.when(at > 0, F.concat(F.slice(good, 1, F.greatest(at - 1, F.lit(0))), F.slice(good, at + 1, F.greatest(F.size(good), F.lit(1))))).otherwise(good)
+        return F.struct(F.when(at > 0, title).otherwise("").alias("title"), rest.alias("paragraphs"))
+
+    def parts(good: Column) -> Column:
+        at = F.array_position(F.transform(good, lambda x: x.rlike(CHAPTER_TITLE)), F.lit(True)).cast("int")
+        return once(at, lambda k: split(good, k))
+
     kept = F.transform(lines(value), lambda x: F.struct(x.alias("raw"), strip(x).alias("line")))
-    stop = F.array_position(F.transform(kept, lambda x: x["line"].rlike(CHAPTER_END)), F.lit(True))
-    before = F.when(stop > 0, F.slice(kept, 1, F.greatest(stop.cast("int") - 1, F.lit(0)))).otherwise(kept)
-    good = F.transform(F.filter(before, lambda x: (x["line"] != "") & ~F.contains(x["raw"], F.lit("　")) & ~is_skipped_line(x["line"])), lambda x: x["line"])
-    at = F.array_position(F.transform(good, lambda x: x.rlike(CHAPTER_TITLE)), F.lit(True)).cast("int")
-    title = F.get(good, at - 1)
-    if notes:
-        title = F.regexp_replace(title, rf"[（(](?:{'|'.join(notes)})[^）)]*[）)]", "")
-    title = F.coalesce(strip(title), F.lit(""))
-    rest = F.when(at > 0, F.concat(F.slice(good, 1, F.greatest(at - 1, F.lit(0))), F.slice(good, at + 1, F.greatest(F.size(good), F.lit(1))))).otherwise(good)
-    return F.struct(F.when(at > 0, title).otherwise("").alias("title"), rest.alias("paragraphs"))
+    keeps = lambda x: (x["line"] != "") & ~F.contains(x["raw"], F.lit("　")) & ~is_skipped_line(x["line"])
+    good = F.transform(F.filter(once(kept, before), keeps), lambda x: x["line"])
+    return once(good, parts)
 
 
 def json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
