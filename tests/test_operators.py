@@ -215,3 +215,38 @@ def test_long_book_reads_texts_once_a_table_and_keeps_its_pace(spark, monkeypatc
     long = sorted(map(tuple, A.align(source, target, anchors, serial=0, segment=16, band=8).collect()))
     assert {"ours", "theirs", "chapters", "targets", "found"} <= {n for n, _ in seen} and not any("text" in c for _, c in seen)
     assert long == sorted(map(tuple, A.align(source, target, anchors).collect())) and len(long) == 119
+
+
+def test_lift_sends_no_pairs_and_counts_frequent_entities(spark, monkeypatch):
+    """Frequent entities as pairs, all others as arrays in pieces, in a few slices and lots: the same rows."""
+    rng = random.Random(7)
+    entities, words = set(), set()
+    for k in range(80):
+        entities |= {(k, f"e{int(rng.expovariate(0.2))}") for _ in range(5)}
+        words |= {(k, f"w{int(rng.expovariate(0.1))}") for _ in range(9)}
+        words |= {(k, f"v{e[1:]}") for j, e in entities if j == k and rng.random() < 0.7}
+    make = lambda rows, name: spark.createDataFrame(sorted(rows), f"k int, {name} string")
+    want, real = plain_lift(entities, words), M._counted
+    for many, often, piece, slices, lot in ((0, 50, 2, 3, 1), (4, 15, 3, 1, 40), (1_000, 50, 512, 256, 1 << 22)):
+        for name, value in {"MANY": many, "OFTEN": often, "PIECE": piece, "SLICES": slices, "LOT": lot}.items():
+            monkeypatch.setattr(M, name, value)
+        sent = []
+        monkeypatch.setattr(M, "_counted", lambda *a, f=real: sent.append(f(*a)) or sent[-1])
+        found = M.lift(make(entities, "entity"), make(words, "word"), "k")
+        assert {(r.entity, r.word, r.n) for r in found.collect()} == want
+        # a key's words travel once a slice: no rows of (entity, word) reach an exchange
+        assert "MapInArrow" in sent[0]._jdf.queryExecution().toString() and sent[0].count() <= 2 * len({x for _, x in entities})
+
+
+def test_slices_that_go_on_in_the_next_batch(spark):
+    rows = [(k, "a") for k in range(9)] + [(k, "b") for k in range(9, 16)]
+    held = [(k, f"x{k % 2}") for k in range(16)] + [(k, "only b") for k in range(10, 16)] + [(k, f"u{k}") for k in range(16, 60)]
+    rows += [(k, "c") for k in range(16, 60)]
+    make = lambda rows, name: spark.createDataFrame(rows, f"k int, {name} string")
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")
+    try:
+        got = {(r.entity, r.word, r.n) for r in M.lift(make(rows, "entity"), make(held, "word"), "k").collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert got == plain_lift(set(rows), set(held)) and ("b", "only b", 6) in got
