@@ -12,8 +12,10 @@ from __future__ import annotations
 import math
 import re
 from bisect import bisect_left
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 
 
 def segments_of(token: str) -> frozenset[str]:
@@ -82,3 +84,48 @@ class Restorer:
                 if k is not None:
                     return self.terms[k]
         return None
+
+
+def begun(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(start, ord): the least ord of the tokens that begin with each start, of one range of the starts and tokens (s, ord) in order; a start has no ord.
+
+    Starts that the last string begins with are the only ones open. One that a former range left open begins this range's first token, if
+    any of its tokens: so for each beginning of that one there is a row too, with the least ord of the tokens that share it.
+    """
+    schema = pa.schema([("start", pa.string()), ("ord", pa.int64())])
+    open_starts: list[list] = []
+    head, least, shared = None, {}, 0
+    made: list[tuple[str, int]] = []
+
+    def close() -> None:
+        start, own = open_starts.pop()
+        if own is not None:
+            made.append((start, own))
+            if open_starts and (open_starts[-1][1] is None or own < open_starts[-1][1]):
+                open_starts[-1][1] = own
+
+    for batch in batches:
+        for s, place in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            while open_starts and not s.startswith(open_starts[-1][0]):
+                close()
+            if place is None:
+                open_starts.append([s, None])
+                continue
+            if open_starts and (open_starts[-1][1] is None or place < open_starts[-1][1]):
+                open_starts[-1][1] = place
+            if head is None:
+                head, shared = s, len(s)
+            while not s.startswith(head[:shared]):
+                shared -= 1
+            least[shared] = min(place, least.get(shared, place))
+        if made:
+            yield pa.RecordBatch.from_pylist([{"start": a, "ord": b} for a, b in made], schema=schema)
+            made.clear()
+    while open_starts:
+        close()
+    own = None
+    for n in range(len(head or ""), 0, -1):
+        own = min((x for x in (own, least.get(n)) if x is not None), default=None)
+        if own is not None:
+            made.append((head[:n], own))
+    yield pa.RecordBatch.from_pylist([{"start": a, "ord": b} for a, b in made], schema=schema)

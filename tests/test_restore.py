@@ -72,3 +72,22 @@ def test_columns_agree(spark, monkeypatch):
         found.append(({r.id: r.term for r in looked_up.collect()}, {r.id: r.t for r in R.restore_all(df, "t", "id", restore, {"X": "OLD"}).collect()}))
         assert R.restore_all(df, "t", "id", restore).columns == df.columns
     assert found[0] == found[1]
+
+
+def test_table_equals_the_rules(spark):
+    """Names and tokens as tables, in many small ranges: equal, beginning, shared segments, ties, nulls."""
+    rng = random.Random(5)
+    pool = ["OLD", "OLDER", "TOWN", "WALL", "KING", "RIVER", "W"]
+    restore = made(rng, 120, pool)
+    said = lambda: " ".join(rng.choice(["old", "Town", "wall", "Kíng", "x", "river_2", "3", "w"]) for _ in range(rng.randint(0, 4)))
+    names = spark.createDataFrame([(k, None if k == 5 else said()) for k in range(300)], "id int, name string").repartition(3)
+    table = spark.createDataFrame([(10 * k, token, term) for k, (token, term) in enumerate(restore)] + [(7, None, "none")], "ord long, token string, term string")
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for segments in (None, {"X": "OLD"}):
+            want = {r.id: r.term for r in names.select("id", R.lookup_placeholder(F.col("name"), restore, segments).alias("term")).collect()}
+            got = R.lookup_placeholders(names, "name", table, segments).select("id", "term").collect()
+            assert len(got) == 300 and {r.id: r.term for r in got} == want
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
