@@ -225,27 +225,153 @@ def names_in(text: str, model: Model, ok: np.ndarray | None = None) -> list[tupl
     out = []
     for sentence in sentences(text):
         tags = decode(model.emit[feature_table([t for t, _, _ in sentence])].sum(axis=1), model.step + ok)
-        first = None
-        for i, tag in enumerate([*tags.tolist(), 0]):
-            if first is not None and (tag == 0 or tag % 2 == 1):
-                a, b = sentence[first][1], sentence[i - 1][2]
-                out.append((text[a:b], model.kinds[(tags[first] - 1) // 2], a, b))
-                first = None
-            if tag and tag % 2 == 1:
-                first = i
+        out.extend(_spans(text, model, sentence, tags))
     return out
 
 
+def _spans(text: str, model: Model, sentence: list[tuple[str, int, int]], tags: np.ndarray) -> Iterator[tuple[str, str, int, int]]:
+    first = None
+    for i, tag in enumerate([*tags.tolist(), 0]):
+        if first is not None and (tag == 0 or tag % 2 == 1):
+            a, b = sentence[first][1], sentence[i - 1][2]
+            yield text[a:b], model.kinds[(tags[first] - 1) // 2], a, b
+            first = None
+        if tag and tag % 2 == 1:
+            first = i
+
+
+class Reader:
+    """``names_in`` of many texts at a time: words and pairs of words have their features hashed once, and sentences are decoded side by side.
+
+    Weights add up in the order of ``feature_table``, so sums are the same to the last bit.
+    """
+
+    #: Words that are remembered, and tokens that are decoded together.
+    MOST, TOKENS = 50_000, 100_000
+
+    def __init__(self, model: Model):
+        self.model, self.ok = model, allowed(model.step.shape[1])
+        self.words: dict[str, int] = {}
+        self.forget()
+
+    def forget(self) -> None:
+        self.words.clear()
+        self.held, self.low, self.shape = [], [], []  # by word: what its own features weigh, its lower case, its shape
+        self.lows, self.shapes, self.pairs = {}, {}, {}
+        self.low_names, self.shape_names = [], []
+        for mark in "^$":  # before and after a sentence
+            self._word(mark, mark, mark)
+
+    def _weights(self, name: str) -> np.ndarray:
+        return self.model.emit[zlib.crc32(name.encode()) % BUCKETS]
+
+    def _word(self, token: str, low: str, kind: str) -> int:
+        own = self._weights("b")
+        for name in (f"w{low}", f"s{kind}", f"p{token[:3]}", f"e{token[-3:]}"):
+            own = own + self._weights(name)
+        self.held.append(own)
+        for value, known, names, out in ((low, self.lows, self.low_names, self.low), (kind, self.shapes, self.shape_names, self.shape)):
+            if value not in known:
+                known[value] = len(names)
+                names.append(value)
+            out.append(known[value])
+        return len(self.held) - 1
+
+    def word(self, token: str) -> int:
+        at = self.words.get(token)
+        if at is None:
+            at = self.words[token] = self._word(token, token.lower(), shape(token))
+        return at
+
+    def _sums(self, kind: str, first: np.ndarray, second: np.ndarray, n: int, name: Callable[[int, int], str]) -> np.ndarray:
+        """Weights of the feature that each pair of numbers names; ``second`` is below ``n``."""
+        pairs, at = np.unique(first.astype(np.int64) * n + second, return_inverse=True)
+        known, rows = self.pairs, []
+        for pair in pairs.tolist():
+            a, b = divmod(pair, n)
+            key = (kind, a, b)
+            if key not in known:
+                known[key] = zlib.crc32(name(a, b).encode()) % BUCKETS
+            rows.append(known[key])
+        return self.model.emit[np.array(rows, dtype=np.int64)][at]
+
+    def tags(self, found: list[list[tuple[str, int, int]]]) -> list[np.ndarray]:
+        """Tags of sentences, which aren't empty."""
+        if len(self.words) > self.MOST or len(self.pairs) > 4 * self.MOST:
+            self.forget()
+        sizes = np.array([len(s) for s in found], dtype=np.int64)
+        begin = np.cumsum(sizes) - sizes
+        word = np.fromiter((self.word(t) for s in found for t, _, _ in s), dtype=np.int64, count=int(sizes.sum()))
+        last = begin + sizes - 1
+        before, after = np.concatenate(([0], word[:-1])), np.concatenate((word[1:], [1]))
+        before[begin], after[last] = 0, 1
+        opens = np.zeros(len(word), dtype=np.int64)
+        opens[begin] = 1
+        lows, shapes = np.array(self.low), np.array(self.shape)
+        low, kind, n = self.low_names, self.shape_names, len(self.shape_names)
+        own = shapes[word]
+        emit = np.array(self.held)[word]
+        emit += self._sums("l", lows[before], np.zeros_like(own), 1, lambda a, b: f"l{low[a]}")
+        emit += self._sums("r", lows[after], np.zeros_like(own), 1, lambda a, b: f"r{low[a]}")
+        emit += self._sums("k", shapes[before], own, n, lambda a, b: f"k{kind[a]}/{kind[b]}")
+        emit += self._sums("n", own, shapes[after], n, lambda a, b: f"n{kind[a]}/{kind[b]}")
+        emit += self._sums("L", lows[before], own, n, lambda a, b: f"L{low[a]}/{kind[b]}")
+        emit += self._sums("R", lows[after], own, n, lambda a, b: f"R{low[a]}/{kind[b]}")
+        emit += self._sums("f", opens, own, n, lambda a, b: f"f{bool(a)}/{kind[b]}")
+        return self._decode(emit, begin, sizes)
+
+    def _decode(self, emit: np.ndarray, begin: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
+        """As ``decode``, sentence beside sentence, the longest first."""
+        order = np.argsort(-sizes, kind="stable")
+        at, left = begin[order], -sizes[order]
+        step = self.model.step + self.ok
+        best, inner = step[-1] + emit[at], step[:-1]
+        came = []
+        for k in range(1, int(sizes.max(initial=1))):
+            n = int(np.searchsorted(left, -k, side="left"))  # sentences of more than k tokens
+            score = best[:n, :, None] + inner
+            came.append(score.argmax(axis=1))
+            best[:n] = score.max(axis=1) + emit[at[:n] + k]
+        tag, flat = best.argmax(axis=1), np.zeros(len(emit), dtype=np.int64)
+        for k in range(len(came), 0, -1):
+            n = len(came[k - 1])
+            flat[at[:n] + k] = tag[:n]
+            tag[:n] = came[k - 1][np.arange(n), tag[:n]]
+        flat[at] = tag
+        return np.split(flat, begin[1:])
+
+    def __call__(self, texts: list[str | None]) -> list[list[tuple[str, str, int, int]] | None]:
+        out: list[list | None] = [None if t is None else [] for t in texts]
+        own, found, tokens = [], [], 0
+        for k, text in enumerate(texts):
+            for sentence in sentences(text or ""):
+                own.append(k)
+                found.append(sentence)
+                tokens += len(sentence)
+                if tokens >= self.TOKENS:
+                    self._put(out, texts, own, found)
+                    own, found, tokens = [], [], 0
+        if found:
+            self._put(out, texts, own, found)
+        return out
+
+    def _put(self, out: list, texts: list[str], own: list[int], found: list[list[tuple[str, int, int]]]) -> None:
+        for k, sentence, tags in zip(own, found, self.tags(found), strict=True):
+            if tags.any():
+                out[k].extend(_spans(texts[k], self.model, sentence, tags))
+
+
 def recognizer(spark, model: Model) -> Callable[[Column], Column]:
     """A function from a text column to its names, an array of (name, kind, start, end); null for null."""
     ship(spark)
     sent = spark.sparkContext.broadcast(model)
     kind = pa.list_(pa.struct([("name", pa.string()), ("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
+    held: list[Reader] = []
 
     def found(texts: pa.Array) -> pa.Array:
-        held = sent.value
-        ok = allowed(held.step.shape[1])
-        rows = [None if t is None else [dict(zip(("name", "kind", "start", "end"), x, strict=True)) for x in names_in(t, held, ok)] for t in texts.to_pylist()]
+        if not held:  # once a task
+            held.append(Reader(sent.value))
+        rows = [None if own is None else [dict(zip(("name", "kind", "start", "end"), x, strict=True)) for x in own] for own in held[0](texts.to_pylist())]
         return pa.array(rows, type=kind)
 
     return F.arrow_udf(found, "array<struct<name: string, kind: string, start: long, end: long>>")

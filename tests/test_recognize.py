@@ -85,3 +85,23 @@ def test_names_that_the_glossary_lacks(spark):
 def test_nothing_to_learn_from(spark):
     empty = N.fit(spark.createDataFrame([], "id int, text string"), spark.createDataFrame([], "term string, kind string"), id_col="id")
     assert N.names_in("Ann went to Rome.", empty) == []
+
+
+def test_reader_equals_text_by_text(monkeypatch):
+    """Names of many texts at a time are those of one after the other, however little is remembered, and sums are equal to the last bit."""
+    rng, values = random.Random(4), np.random.default_rng(4)
+    model = N.blank(("person", "place"))
+    model.emit[:], model.step[:] = values.normal(size=model.emit.shape), values.normal(size=model.step.shape)
+    word = lambda: rng.choice(["Ann", "ANN", "saw", "Rome", "x", "^", "$", "7", "l'Été", ".", "!", "\n", "ﬁn"])
+    texts = [None, "", " ", *(" ".join(word() for _ in range(rng.choice([1, 5, 60, 700]))) for _ in range(60))]
+    want = [None if t is None else N.names_in(t, model) for t in texts]
+    for most, tokens in ((200_000, 100_000), (3, 50), (5, 1)):
+        monkeypatch.setattr(N.Reader, "MOST", most)
+        monkeypatch.setattr(N.Reader, "TOKENS", tokens)
+        assert N.Reader(model)(texts) == want
+    found = list(N.sentences(texts[-1]))
+    seen = []
+    reader = N.Reader(model)
+    monkeypatch.setattr(reader, "_decode", lambda emit, begin, sizes: seen.append(emit) or [])
+    reader.tags(found)
+    assert (seen[0] == np.concatenate([model.emit[N.feature_table([t for t, _, _ in s])].sum(axis=1) for s in found])).all()
