@@ -115,9 +115,15 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """For a join in which no side is to be broadcast. Spark takes an exploded table for as small as what it is made of, so
+    left to itself it may send all of its rows through the driver."""
+    return df.hint("merge")
+
+
 def broadcast_if_small(df: DataFrame, rows: int, most: int = 200_000) -> DataFrame:
-    """A broadcast hint only where the counted rows stay below ``most``; else Spark shuffles."""
-    return F.broadcast(df) if rows <= most else df
+    """A broadcast hint only where the counted rows stay below ``most``; else Spark shuffles, whatever size it takes a side for."""
+    return F.broadcast(df) if rows <= most else shuffled(df)
 
 
 def packed(docs: DataFrame, **columns: Column) -> DataFrame:

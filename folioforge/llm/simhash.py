@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folioforge.llm.common import SPACES, broadcast_if_small, map_rows, packed, staged, text_of
+from folioforge.llm.common import SPACES, broadcast_if_small, map_rows, packed, shuffled, staged, text_of
 from folioforge.llm.components import components
 
 SEED = 42
@@ -103,7 +103,7 @@ def _buckets(nodes: DataFrame, radius: int) -> DataFrame:
     masks = F.array(*(F.lit(m) for m in covering_masks(radius)))
     placed = nodes.select("fp", F.posexplode(F.transform(masks, lambda m: m.bitwiseAND(F.col("fp")))).alias("t", "key"))
     sizes = placed.groupBy("t", "key").agg(F.count("*").alias("n")).where("n > 1")
-    return placed.join(sizes, ["t", "key"])
+    return placed.join(shuffled(sizes), ["t", "key"])
 
 
 def _pairs(buckets: DataFrame) -> DataFrame:
@@ -126,7 +126,7 @@ def links_within_two(nodes: DataFrame) -> DataFrame:
         "fp", "t", F.explode(F.concat(F.array("fp"), F.transform(flips, lambda b: F.col("fp").bitwiseXOR(b)))).alias("ball")
     )
     least = keyed.groupBy("t", "ball").agg(F.min("fp").alias("least"), F.count("*").alias("n")).where("n > 1")
-    star = keyed.join(least, ["t", "ball"]).where("fp > least").select(F.col("least").alias("u"), F.col("fp").alias("v"))
+    star = keyed.join(shuffled(least), ["t", "ball"]).where("fp > least").select(F.col("least").alias("u"), F.col("fp").alias("v"))
     return near.union(star)
 
 
@@ -184,7 +184,7 @@ def _tables(nodes: DataFrame, radius: int) -> DataFrame:
     masks = F.array(*(F.lit(m) for m in covering_masks(radius)))
     placed = nodes.select("*", F.posexplode(F.transform(masks, lambda m: m.bitwiseAND(F.col("fp")))).alias("t", "key"))
     sizes = placed.groupBy("t", "key").agg(F.count("*").alias("n"), F.min("node").alias("least")).where("n > 1")
-    return placed.join(sizes, ["t", "key"])
+    return placed.join(shuffled(sizes), ["t", "key"])
 
 
 def _alike(pairs: DataFrame, bare: DataFrame, shingle: int, similarity: float, name: str) -> DataFrame:
@@ -289,8 +289,8 @@ def _prefix_pairs(bare: DataFrame, groups: DataFrame, shingle: int, similarity:
     mixed = staged(mixed, "similar-mixed", release=True)
     met = staged(placed.join(broadcast_if_small(mixed, mixed.count()), "key"), "similar-met", release=True)
     largest = met.groupBy("key", "group").agg(F.count("*").alias("n")).groupBy("key").agg(F.max_by("group", F.struct("n", "group")).alias("largest"))
-    full = met.join(made.select("node", "size", "sketch").distinct(), ["node", "size"]).select("key", F.struct("node", "group", "size", "pos", "sketch").alias("y"))
-    strangers = full.join(largest, "key").where(F.col("y.group") != F.col("largest")).select("key", F.col("y").alias("x"))
+    full = met.join(shuffled(made.select("node", "size", "sketch").distinct()), ["node", "size"]).select("key", F.struct("node", "group", "size", "pos", "sketch").alias("y"))
+    strangers = full.join(shuffled(largest), "key").where(F.col("y.group") != F.col("largest")).select("key", F.col("y").alias("x"))
     both = F.col("x.size") + F.col("y.size")
     apart = sum((distance(F.col("x.sketch")[k], F.col("y.sketch")[k]) for k in range(1, SKETCH)), distance(F.col("x.sketch")[0], F.col("y.sketch")[0]))
     allowed = (
@@ -299,7 +299,7 @@ def _prefix_pairs(bare: DataFrame, groups: DataFrame, shingle: int, similarity:
         & (F.least(F.col("x.size") - F.col("x.pos"), F.col("y.size") - F.col("y.pos")) * (1 + similarity) >= similarity * both - 1e-6)
         & (apart * (1 + similarity) <= (1 - similarity) * both + 1e-6)
     )
-    pairs = strangers.join(full, "key").where(allowed)
+    pairs = strangers.join(shuffled(full), "key").where(allowed)
     return pairs.select(F.least("x.node", "y.node").alias("u"), F.greatest("x.node", "y.node").alias("v")).distinct()
 
 
