@@ -1,10 +1,10 @@
 """Name recognition: an averaged structured perceptron with Viterbi decoding, trained on texts that a glossary labels.
 
 A glossary of (term, kind) labels the texts that hold its terms, and the perceptron learns what names look like and what
-stands around them, so it finds names that the glossary lacks. Training is by iterative parameter mixing:
-texts are dealt to ``parts`` partitions by a hash of their id; in each round every partition starts from the mixed
-weights, goes over its texts once, and the partitions' weights are averaged. Partitions are sorted and summed in
-their order, so weights are the same in every run. Weights have a fixed size, whatever the number of texts.
+stands around them, so it finds names that the glossary lacks. Training is by iterative parameter mixing over all texts:
+they are dealt to parts by a hash of their id, more parts where there are more texts; in each round every part starts from
+the mixed weights, goes over its texts once, and the parts' weights are averaged. What is summed over the parts are whole numbers,
+so weights are the same in every run. Weights have a fixed size, whatever the number of texts.
 """
 
 from __future__ import annotations
@@ -25,6 +25,8 @@ TOKEN = re.compile(r"\w+(?:['’]\w+)*|[^\w\s]")
 #: Where a sentence ends, and how long one may be.
 _END, LONGEST = frozenset(".!?\n"), 200
 BUCKETS = 1 << 16
+#: Sentences that a learner decodes side by side before it moves its weights, and characters of a part at most, about.
+SIDE, PART = 64, 16_000_000
 
 
 def sentences(text: str) -> Iterator[list[tuple[str, int, int]]]:
@@ -103,6 +105,26 @@ def decode(emit: np.ndarray, step: np.ndarray) -> np.ndarray:
     return np.array(out[::-1], dtype=np.int64)
 
 
+def side_by_side(emit: np.ndarray, begin: np.ndarray, sizes: np.ndarray, step: np.ndarray) -> np.ndarray:
+    """As ``decode``, sentence beside sentence, the longest first; tags of all tokens."""
+    order = np.argsort(-sizes, kind="stable")
+    at, left = begin[order], -sizes[order]
+    best, inner = step[-1] + emit[at], step[:-1]
+    came = []
+    for k in range(1, int(sizes.max(initial=1))):
+        n = int(np.searchsorted(left, -k, side="left"))  # sentences of more than k tokens
+        score = best[:n, :, None] + inner
+        came.append(score.argmax(axis=1))
+        best[:n] = score.max(axis=1) + emit[at[:n] + k]
+    tag, flat = best.argmax(axis=1), np.zeros(len(emit), dtype=np.int64)
+    for k in range(len(came), 0, -1):
+        n = len(came[k - 1])
+        flat[at[:n] + k] = tag[:n]
+        tag[:n] = came[k - 1][np.arange(n), tag[:n]]
+    flat[at] = tag
+    return flat
+
+
 class Glossary:
     """Finds terms among tokens: at each place the longest."""
 
@@ -136,15 +158,18 @@ class Learner:
         self.emit_sum, self.step_sum = np.zeros_like(model.emit), np.zeros_like(model.step)
         self.ok, self.n = allowed(model.step.shape[1]), 0
 
-    def see(self, table: np.ndarray, tags: np.ndarray) -> None:
+    def see(self, table: np.ndarray, tags: np.ndarray, begin: np.ndarray | None = None, sizes: np.ndarray | None = None) -> None:
+        """A sentence, or sentences that begin at ``begin``: all are decoded by the weights as they are, then these move."""
         emit, step = self.model.emit, self.model.step
-        got = decode(emit[table].sum(axis=1), step + self.ok)
+        begin, sizes = (np.array([0]), np.array([len(tags)])) if begin is None else (begin, sizes)
+        got = side_by_side(emit[table].sum(axis=1), begin, sizes, step + self.ok)
         if (got != tags).any():
             wrong = np.flatnonzero(got != tags)
             for own, sign in ((tags, 1.0), (got, -1.0)):
                 rows = table[wrong].ravel()
                 at = np.repeat(own[wrong], table.shape[1])
-                before = np.concatenate(([len(self.model.step) - 1], own[:-1]))
+                before = np.concatenate(([0], own[:-1]))
+                before[begin] = len(self.model.step) - 1
                 for held, summed, place in ((emit, self.emit_sum, (rows, at)), (step, self.step_sum, (before, own))):
                     np.add.at(held, place, sign)
                     np.add.at(summed, place, sign * self.n)
@@ -156,11 +181,11 @@ class Learner:
         return Model(self.model.kinds, self.model.emit - self.emit_sum / n, self.model.step - self.step_sum / n)
 
 
-def fit(texts: DataFrame, glossary: DataFrame, *, id_col: str, text_col: str = "text", parts: int = 8, rounds: int = 5, most: int = 20_000, terms: int = 200_000) -> Model:
-    """Trains on sentences that hold a term and, for each, one that doesn't, in the texts' order.
+def fit(texts: DataFrame, glossary: DataFrame, *, id_col: str, text_col: str = "text", parts: int = 8, rounds: int = 5, terms: int = 200_000) -> Model:
+    """Trains on all texts: on every sentence that holds a term and, to balance the tags, for each the next one that doesn't.
 
-    glossary: (term, kind). Texts are the first ``most`` by the hash of their id, which bounds what training
-    reads; glossaries beyond ``terms`` rows are refused.
+    glossary: (term, kind); beyond ``terms`` rows it is refused. There are ``parts`` parts, or one for each ``PART`` characters. The
+    driver gets a row for each weight that moved, whatever the number of texts and parts.
     """
     spark = texts.sparkSession
     ship(spark)
@@ -169,54 +194,89 @@ def fit(texts: DataFrame, glossary: DataFrame, *, id_col: str, text_col: str = "
         raise ValueError(f"a glossary of over {terms} terms")
     kinds = tuple(sorted({r["kind"] for r in rows}))
     held = spark.sparkContext.broadcast(sorted((r["term"], r["kind"]) for r in rows))
+    whole = texts.where(F.col(text_col).isNotNull())
+    parts = max(parts, (whole.agg(F.sum(F.length(text_col))).first()[0] or 0) // PART + 1)
     key = F.xxhash64(F.col(id_col).cast("string"), F.col(text_col))
-    own = texts.where(F.col(text_col).isNotNull()).select(key.alias("key"), F.col(text_col).alias("text")).orderBy("key", "text").limit(most)
-    dealt = own.repartition(parts, F.pmod("key", F.lit(parts))).withColumn("part", F.pmod("key", F.lit(parts)).cast("int")).sortWithinPartitions("part", "key", "text")
+    own = whole.select(key.alias("key"), F.col(text_col).alias("text")).withColumn("part", F.pmod("key", F.lit(parts)).cast("int"))
+    dealt = own.repartitionById(parts, F.col("part")).sortWithinPartitions("part", "key", "text")
     model = blank(kinds)
     total = Model(kinds, np.zeros_like(model.emit), np.zeros_like(model.step))
-    made = pa.schema([("part", pa.int32()), ("n", pa.int64()), ("end", pa.binary()), ("mean", pa.binary())])
+    made = pa.schema([("at", pa.int64()), ("end", pa.int64()), ("mean", pa.int64())])
     for _ in range(rounds):
         sent = spark.sparkContext.broadcast(model)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names, number = Glossary(held.value), {t: k for k, t in enumerate(sent.value.tags)}
-            learners: dict[int, Learner] = {}
+            learner, part, reader = None, None, Reader(sent.value)
+            found: list[list[tuple[str, int, int]]] = []
+            own_tags: list[np.ndarray] = []
+            tokens = spare = 0
+
+            def learn() -> None:
+                nonlocal tokens
+                if found:
+                    table, begin, sizes = reader.table(found)
+                    tags = np.concatenate(own_tags)
+                    for k in range(0, len(found), SIDE):
+                        own, size = begin[k : k + SIDE], sizes[k : k + SIDE]
+                        a, z = own[0], own[-1] + size[-1]
+                        learner.see(table[a:z], tags[a:z], own - a, size)
+                found.clear()
+                own_tags.clear()
+                tokens = 0
+
             for batch in batches:
-                for part, text in zip(batch.column("part").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                    learner = learners.setdefault(part, Learner(sent.value))
-                    spare = 0
+                for p, text in zip(batch.column("part").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                    if p != part:
+                        if learner is not None:
+                            learn()
+                            yield from _moved(learner, sent.value, made)
+                        learner, part, spare = Learner(sent.value), p, 0
                     for sentence in sentences(text):
-                        tokens = [t for t, _, _ in sentence]
-                        tags = names.tags(tokens, number)
-                        if tags.any() or spare > 0:
-                            spare += 1 if tags.any() else -1
-                            learner.see(feature_table(tokens), tags)
-            for part, learner in learners.items():
-                mean = learner.mean()
-                yield pa.RecordBatch.from_pydict({"part": [part], "n": [learner.n], "end": [_bytes(learner.model)], "mean": [_bytes(mean)]}, schema=made)
-
-        found = dealt.mapInArrow(run, "part int, n long, end binary, mean binary").where("n > 0").collect()  # a row a part
-        found.sort(key=lambda r: r.part)
-        if not found:
+                        tags = names.tags([t for t, _, _ in sentence], number)
+                        held_one = bool(tags.any())
+                        if not held_one and not spare:
+                            continue
+                        spare += 1 if held_one else -1
+                        found.append(sentence)
+                        own_tags.append(tags)
+                        tokens += len(sentence)
+                        if tokens >= Reader.TOKENS:
+                            learn()
+            if learner is not None:
+                learn()
+                yield from _moved(learner, sent.value, made)
+
+        sums = dealt.mapInArrow(run, "at long, end long, mean long").groupBy("at").agg(F.sum("end").alias("end"), F.sum("mean").alias("mean")).toArrow()
+        at, end, mean = (sums.column(c).to_numpy() for c in ("at", "end", "mean"))
+        seen = at < 0
+        if not seen.any():
             return model
-        model = _mean([_model(r["end"], kinds) for r in found])
-        mean = _mean([_model(r["mean"], kinds) for r in found])
-        total = Model(kinds, total.emit + mean.emit / rounds, total.step + mean.step / rounds)
+        learners, steps = int(end[seen][0]), int(mean[seen][0])
+        start, total = model, _plus(total, 1 / rounds, model)
+        model = _plus(start, 1 / learners, at=at[~seen], by=end[~seen])
+        total = _plus(total, 1 / (rounds * steps), at=at[~seen], by=mean[~seen])
     return total
 
 
-def _bytes(model: Model) -> bytes:
-    return zlib.compress(model.emit.astype("<f8").tobytes() + model.step.astype("<f8").tobytes(), 1)
-
-
-def _model(held: bytes, kinds: tuple[str, ...]) -> Model:
-    n = 1 + 2 * len(kinds)
-    flat = np.frombuffer(zlib.decompress(bytes(held)), dtype="<f8")
-    return Model(kinds, flat[: BUCKETS * n].reshape(BUCKETS, n), flat[BUCKETS * n :].reshape(n + 1, n))
+def _moved(learner: Learner, start: Model, made: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """By weight how far it is from the start at the end, and on average times the steps: whole numbers; at -1 the learner and its steps."""
+    if learner.n:
+        flat = lambda m: np.concatenate((m.emit.ravel(), m.step.ravel()))
+        end = np.rint(flat(learner.model) - flat(start)).astype(np.int64)
+        mean = learner.n * end - np.concatenate((learner.emit_sum.ravel(), learner.step_sum.ravel())).astype(np.int64)
+        at = np.flatnonzero((end != 0) | (mean != 0))
+        columns = (np.append(at, -1), np.append(end[at], 1), np.append(mean[at], learner.n))
+        yield pa.RecordBatch.from_arrays([pa.array(c, type=pa.int64()) for c in columns], schema=made)
 
 
-def _mean(models: list[Model]) -> Model:
-    return Model(models[0].kinds, sum(m.emit for m in models) / len(models), sum(m.step for m in models) / len(models))
+def _plus(model: Model, share: float, other: Model | None = None, *, at: np.ndarray | None = None, by: np.ndarray | None = None) -> Model:
+    """The model with a share of another, or of what ``by`` has for the weights ``at``, added."""
+    if other is not None:
+        return Model(model.kinds, model.emit + other.emit * share, model.step + other.step * share)
+    flat = np.concatenate((model.emit.ravel(), model.step.ravel()))
+    flat[at] += by * share
+    return Model(model.kinds, flat[: model.emit.size].reshape(model.emit.shape), flat[model.emit.size :].reshape(model.step.shape))
 
 
 def names_in(text: str, model: Model, ok: np.ndarray | None = None) -> list[tuple[str, str, int, int]]:
@@ -256,20 +316,19 @@ class Reader:
 
     def forget(self) -> None:
         self.words.clear()
-        self.held, self.low, self.shape = [], [], []  # by word: what its own features weigh, its lower case, its shape
+        self.held, self.own, self.low, self.shape = [], [], [], []  # by word: what its own features weigh, these, its lower case, its shape
         self.lows, self.shapes, self.pairs = {}, {}, {}
         self.low_names, self.shape_names = [], []
         for mark in "^$":  # before and after a sentence
             self._word(mark, mark, mark)
 
-    def _weights(self, name: str) -> np.ndarray:
-        return self.model.emit[zlib.crc32(name.encode()) % BUCKETS]
-
     def _word(self, token: str, low: str, kind: str) -> int:
-        own = self._weights("b")
-        for name in (f"w{low}", f"s{kind}", f"p{token[:3]}", f"e{token[-3:]}"):
-            own = own + self._weights(name)
-        self.held.append(own)
+        own = [zlib.crc32(name.encode()) % BUCKETS for name in ("b", f"w{low}", f"s{kind}", f"p{token[:3]}", f"e{token[-3:]}")]
+        held = self.model.emit[own[0]]
+        for at in own[1:]:
+            held = held + self.model.emit[at]
+        self.held.append(held)
+        self.own.append(own)
         for value, known, names, out in ((low, self.lows, self.low_names, self.low), (kind, self.shapes, self.shape_names, self.shape)):
             if value not in known:
                 known[value] = len(names)
@@ -283,8 +342,8 @@ class Reader:
             at = self.words[token] = self._word(token, token.lower(), shape(token))
         return at
 
-    def _sums(self, kind: str, first: np.ndarray, second: np.ndarray, n: int, name: Callable[[int, int], str]) -> np.ndarray:
-        """Weights of the feature that each pair of numbers names; ``second`` is below ``n``."""
+    def _pairs(self, kind: str, first: np.ndarray, second: np.ndarray, n: int, name: Callable[[int, int], str]) -> np.ndarray:
+        """The feature that each pair of numbers names; ``second`` is below ``n``."""
         pairs, at = np.unique(first.astype(np.int64) * n + second, return_inverse=True)
         known, rows = self.pairs, []
         for pair in pairs.tolist():
@@ -293,10 +352,10 @@ class Reader:
             if key not in known:
                 known[key] = zlib.crc32(name(a, b).encode()) % BUCKETS
             rows.append(known[key])
-        return self.model.emit[np.array(rows, dtype=np.int64)][at]
+        return np.array(rows, dtype=np.int64)[at]
 
-    def tags(self, found: list[list[tuple[str, int, int]]]) -> list[np.ndarray]:
-        """Tags of sentences, which aren't empty."""
+    def _columns(self, found: list[list[tuple[str, int, int]]]) -> tuple[np.ndarray, list[np.ndarray], np.ndarray, np.ndarray]:
+        """Of sentences, which aren't empty: words by number, features of pairs, where sentences begin, their sizes."""
         if len(self.words) > self.MOST or len(self.pairs) > 4 * self.MOST:
             self.forget()
         sizes = np.array([len(s) for s in found], dtype=np.int64)
@@ -310,35 +369,32 @@ class Reader:
         lows, shapes = np.array(self.low), np.array(self.shape)
         low, kind, n = self.low_names, self.shape_names, len(self.shape_names)
         own = shapes[word]
+        columns = [
+            self._pairs("l", lows[before], np.zeros_like(own), 1, lambda a, b: f"l{low[a]}"),
+            self._pairs("r", lows[after], np.zeros_like(own), 1, lambda a, b: f"r{low[a]}"),
+            self._pairs("k", shapes[before], own, n, lambda a, b: f"k{kind[a]}/{kind[b]}"),
+            self._pairs("n", own, shapes[after], n, lambda a, b: f"n{kind[a]}/{kind[b]}"),
+            self._pairs("L", lows[before], own, n, lambda a, b: f"L{low[a]}/{kind[b]}"),
+            self._pairs("R", lows[after], own, n, lambda a, b: f"R{low[a]}/{kind[b]}"),
+            self._pairs("f", opens, own, n, lambda a, b: f"f{bool(a)}/{kind[b]}"),
+        ]
+        return word, columns, begin, sizes
+
+    def table(self, found: list[list[tuple[str, int, int]]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``feature_table`` of sentences, one after the other; where they begin, their sizes."""
+        word, columns, begin, sizes = self._columns(found)
+        return np.column_stack([np.array(self.own)[word], *columns]), begin, sizes
+
+    def tags(self, found: list[list[tuple[str, int, int]]]) -> list[np.ndarray]:
+        """Tags of sentences, which aren't empty."""
+        word, columns, begin, sizes = self._columns(found)
         emit = np.array(self.held)[word]
-        emit += self._sums("l", lows[before], np.zeros_like(own), 1, lambda a, b: f"l{low[a]}")
-        emit += self._sums("r", lows[after], np.zeros_like(own), 1, lambda a, b: f"r{low[a]}")
-        emit += self._sums("k", shapes[before], own, n, lambda a, b: f"k{kind[a]}/{kind[b]}")
-        emit += self._sums("n", own, shapes[after], n, lambda a, b: f"n{kind[a]}/{kind[b]}")
-        emit += self._sums("L", lows[before], own, n, lambda a, b: f"L{low[a]}/{kind[b]}")
-        emit += self._sums("R", lows[after], own, n, lambda a, b: f"R{low[a]}/{kind[b]}")
-        emit += self._sums("f", opens, own, n, lambda a, b: f"f{bool(a)}/{kind[b]}")
+        for column in columns:
+            emit += self.model.emit[column]
         return self._decode(emit, begin, sizes)
 
     def _decode(self, emit: np.ndarray, begin: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
-        """As ``decode``, sentence beside sentence, the longest first."""
-        order = np.argsort(-sizes, kind="stable")
-        at, left = begin[order], -sizes[order]
-        step = self.model.step + self.ok
-        best, inner = step[-1] + emit[at], step[:-1]
-        came = []
-        for k in range(1, int(sizes.max(initial=1))):
-            n = int(np.searchsorted(left, -k, side="left"))  # sentences of more than k tokens
-            score = best[:n, :, None] + inner
-            came.append(score.argmax(axis=1))
-            best[:n] = score.max(axis=1) + emit[at[:n] + k]
-        tag, flat = best.argmax(axis=1), np.zeros(len(emit), dtype=np.int64)
-        for k in range(len(came), 0, -1):
-            n = len(came[k - 1])
-            flat[at[:n] + k] = tag[:n]
-            tag[:n] = came[k - 1][np.arange(n), tag[:n]]
-        flat[at] = tag
-        return np.split(flat, begin[1:])
+        return np.split(side_by_side(emit, begin, sizes, self.model.step + self.ok), begin[1:])
 
     def __call__(self, texts: list[str | None]) -> list[list[tuple[str, str, int, int]] | None]:
         out: list[list | None] = [None if t is None else [] for t in texts]
